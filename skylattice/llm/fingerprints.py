@@ -128,16 +128,19 @@ def op5_fingerprints(spark, sf_dir: str) -> DataFrame:
     """Fingerprint every document and its edited text: the last third replaced by the start of the next document."""
     docs = read_table(spark, sf_dir, "documents")
     text = F.coalesce(F.col("text"), F.lit(""))
-    pairs = with_next(docs, [F.col("doc_id"), text.alias("text"), sketch(F.col("text")).alias("sketch")])
+    # Only texts move; a sketch is cheaper to make again than to shuffle.
+    pairs = with_next(docs, [F.col("doc_id"), text.alias("text")])
     n, third = F.char_length("own.text"), F.floor(F.char_length("own.text") / 3).cast("int")
     edited = F.concat(F.substring(F.col("own.text"), F.lit(1), n - third), F.substring(F.col("next.text"), F.lit(1), third))
-    rows = pairs.withColumn("edited", edited).withColumn("edited_sketch", sketch(F.col("edited")))
+    rows = pairs.withColumn("edited", edited)
+    for name, of in (("own_sketch", "own.text"), ("next_sketch", "next.text"), ("edited_sketch", "edited")):
+        rows = rows.withColumn(name, sketch(F.col(of)))
     return rows.select(
         F.col("own.doc_id").alias("doc_id"),
         n.cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
-        as_text(F.col("own.sketch")).alias("fingerprint"),
+        as_text(F.col("own_sketch")).alias("fingerprint"),
         as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
-        resemblance(F.col("own.sketch"), F.col("edited_sketch")).alias("near_edited"),
-        resemblance(F.col("own.sketch"), F.col("next.sketch")).alias("near_next"),
+        resemblance(F.col("own_sketch"), F.col("edited_sketch")).alias("near_edited"),
+        resemblance(F.col("own_sketch"), F.col("next_sketch")).alias("near_next"),
     )
