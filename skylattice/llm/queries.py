@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from .fingerprints import op5_fingerprints
 from .mixing import op8_mix_sources
+from .packing import op10_pack
+from .quality_rules import op1_quality_rules
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
     "op5_fingerprints": op5_fingerprints,
     "op8_mix_sources": op8_mix_sources,
+    "op10_pack": op10_pack,
 }
 
 SQL: dict[str, str] = {}

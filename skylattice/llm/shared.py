@@ -41,3 +41,37 @@ def written(df: DataFrame) -> DataFrame:
 def word_count(text):
     """Words of a text column; null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def by_batch(df: DataFrame, columns: list, schema: str, start, rows: int = 1000) -> DataFrame:
+    """Arrow batches through plain Python. start() is called once a task and gives work(*columns), which takes lists of
+    at most `rows` values and returns one sequence per column of schema. Nulls arrive as None, integers exactly."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    wanted = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches):
+        import pyarrow as pa
+
+        work = start()
+        for batch in batches:
+            for k in range(0, batch.num_rows, rows):
+                out = work(*[c.to_pylist() for c in batch.slice(k, rows).columns])
+                yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(out, wanted, strict=True)], schema=wanted)
+
+    return df.select(*columns).mapInArrow(run, schema)
+
+
+def label_sample(labels: DataFrame, label: str, most: int, fold: tuple[int, int] | None = None) -> DataFrame:
+    """(doc_id, _y): at most `most` rows labelled 0 or 1, those whose doc_id hashes lowest. fold = (modulus, remainder)
+    names the held-out fold by crc32 of doc_id as text; its labels are never taken. A bound on what a model is fitted
+    on, not on what it is applied to."""
+    y = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).cast("int").alias("_y"))
+    if fold:
+        y = y.where(~held_out(F.col("doc_id"), *fold))
+    return y.orderBy(F.xxhash64("doc_id"), "doc_id", "_y").limit(most)
+
+
+def held_out(doc_id, modulus: int, held: int):
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus == held, F.lit(False))
