@@ -5,12 +5,16 @@ from __future__ import annotations
 from .fingerprints import op5_fingerprints
 from .mixing import op8_mix_sources
 from .packing import op10_pack
+from .quality_model import op9_quality_model
 from .quality_rules import op1_quality_rules
+from .toxicity import op7_toxicity
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op5_fingerprints": op5_fingerprints,
+    "op7_toxicity": op7_toxicity,
     "op8_mix_sources": op8_mix_sources,
+    "op9_quality_model": op9_quality_model,
     "op10_pack": op10_pack,
 }
 
