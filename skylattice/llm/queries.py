@@ -5,6 +5,7 @@ from __future__ import annotations
 from .fingerprints import op5_fingerprints
 from .licenses import op6_license_scan
 from .mixing import op8_mix_sources
+from .ngram_join import op4_ngram_join
 from .packing import op10_pack
 from .quality_model import op9_quality_model
 from .quality_rules import op1_quality_rules
@@ -14,6 +15,7 @@ from .toxicity import op7_toxicity
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op3_token_counts": op3_token_counts,
+    "op4_ngram_join": op4_ngram_join,
     "op5_fingerprints": op5_fingerprints,
     "op6_license_scan": op6_license_scan,
     "op7_toxicity": op7_toxicity,
