@@ -7,11 +7,11 @@ each give such a filter, and a candidate must pass all of them before its sets a
 1. Prefixes under a first hash order, of all documents, are sorted by token; documents with too few prefix tokens that
    any other document's prefix holds have no link and are done.
 2. The same under a second hash order, for what is left.
-3. Stars: documents with the same first token under either order are compared with a few leaders, streaming. This finds
-   most links of large groups of near copies in linear time; components of these links need no pair inside compared.
-4. Prefixes under a third order, commonest tokens (by a sketch of fixed size) last: pairs of different components that
-   share enough prefix tokens and whose lengths allow it are candidates. They must share prefix tokens under the first
-   and second order as well; then the whole sets are compared. This is exact: every link between components is found.
+3. Stars: documents with the same first token under either order are compared with a bounded number of those met before
+   that are not yet joined to them. This joins large groups of near copies in linear time; components of these links need no pair inside compared.
+4. Prefixes under a third order, commonest tokens (by a sketch of fixed size) last: each document is tried on two of the
+   largest component that each of its prefix tokens leads to; then all that are still apart and hold enough such tokens
+   are compared with what those tokens lead to, whole sets in blocks. This is exact: every link between components is found.
 
 Documents with equal sets are one node. Defined results: a null, empty or blank text has no shingle and links with
 nothing; a shorter text than a shingle is one shingle; rows that repeat are linked; other columns are ignored. Distinct
@@ -144,8 +144,45 @@ def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (both - shared)
 
 
-def _stars(sets: DataFrame, percent: int, group_rows: int, leaders: int) -> DataFrame:
-    """(u, v) links found by comparing each node with up to `leaders` recent leaders that have its first token."""
+class Group:
+    """Nodes that share a first token, met one after another: links are looked for between what is not yet joined."""
+
+    def __init__(self, percent: int, kept: int, tries: int):
+        self.percent, self.kept, self.tries = percent, kept, tries
+        self.up: dict[int, int] = {}
+        self.known: list[tuple[int, np.ndarray]] = []
+
+    def root(self, x: int) -> int:
+        while self.up[x] != x:
+            self.up[x] = self.up[self.up[x]]
+            x = self.up[x]
+        return x
+
+    def meet(self, node: int, tokens: np.ndarray) -> list[tuple[int, int]]:
+        self.up[node], tried, found = node, 0, []
+        mine = node
+        for other, its in reversed(self.known):
+            if self.root(other) == mine:
+                continue
+            tried += 1
+            if _linked(its, tokens, self.percent):
+                found.append((other, node))
+                self.up[mine] = self.root(other)
+                mine = self.root(mine)
+            if tried >= self.tries:
+                break
+        self.known.append((node, tokens))
+        if len(self.known) > self.kept:
+            # Of what is best represented the oldest goes, so that loners stay to be found.
+            roots = [self.root(k) for k, _ in self.known]
+            most = max(set(roots), key=roots.count)
+            self.known.pop(roots.index(most))
+        return found
+
+
+def _stars(sets: DataFrame, percent: int, group_rows: int, kept: int, tries: int) -> DataFrame:
+    """(u, v) links, found by comparing each node with up to `tries` of the `kept` nodes that have its first token under
+    either hash order and are not yet joined to it. Groups are salted down to `group_rows`."""
     keyed = sets.select("node", "n", "tokens", F.explode(F.array("first", "second")).alias("key"))
     sizes = keyed.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1")
     salted = keyed.join(sizes, "key").withColumn("salt", F.pmod(F.xxhash64("node"), F.expr(f"rows div {group_rows} + 1")))
@@ -153,25 +190,18 @@ def _stars(sets: DataFrame, percent: int, group_rows: int, leaders: int) -> Data
     def run(batches):
         import pyarrow as pa
 
-        here, known = None, []
+        here, group = None, None
         for batch in batches:
-            key, salt, node = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1, 2))
+            key, salt, node = (batch.column(k).to_numpy(zero_copy_only=False).tolist() for k in (0, 1, 2))
             found = []
             for i, tokens in enumerate(_lists(batch.column(3))):
                 if here != (key[i], salt[i]):
-                    here, known = (key[i], salt[i]), []
-                for k, (leader, its) in enumerate(known):
-                    if _linked(its, tokens, percent):
-                        found.append((leader, node[i]))
-                        known.insert(0, known.pop(k))
-                        break
-                else:
-                    known.insert(0, (node[i], tokens.copy()))
-                    del known[leaders:]
+                    here, group = (key[i], salt[i]), Group(percent, kept, tries)
+                found += group.meet(node[i], tokens.copy())
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], names=["u", "v"])
 
-    dealt = salted.repartition("key", "salt").sortWithinPartitions("key", "salt", "n")
+    dealt = salted.repartition("key", "salt").sortWithinPartitions("key", "salt", "n", "node")
     return dealt.select("key", "salt", "node", "tokens").mapInArrow(run, "u long, v long")
 
 
@@ -215,18 +245,71 @@ def _third_prefixes(sets: DataFrame, sketch: np.ndarray, percent: int) -> DataFr
     return prefixes.select("node", "n", "component", F.explode("prefix").alias("token"))
 
 
-def _candidates(rows: DataFrame, percent: int) -> DataFrame:
-    """(u, v): pairs of different components with enough third-order prefix tokens in common. In each token's group one
-    component, the largest, is never paired with itself, and a token whose nodes are all of one component gives none."""
-    by_part = rows.groupBy("token", "component").agg(F.count("*").alias("members"))
-    mixed = by_part.groupBy("token").agg(F.max_by("component", F.struct("members", "component")).alias("largest"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
-    some = rows.join(mixed, "token")
-    left = some.where("component <> largest").select("token", F.col("node").alias("a"), F.col("n").alias("an"), F.col("component").alias("ac"))
-    right = some.select("token", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("component").alias("bc"), "largest")
-    near = f"{percent} * greatest(an, bn) <= 100 * least(an, bn)"
-    pairs = left.join(right, "token").where(f"ac <> bc and (bc = largest or a < b) and {near}")
-    extra = F.least(F.greatest(F.lit(1), F.expr("an div 20")), F.greatest(F.lit(1), F.expr("bn div 20")))
-    return pairs.groupBy(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"), extra.alias("needed")).agg(F.count("*").alias("common")).where("common >= needed").select("u", "v")
+def _mixed(rows: DataFrame) -> DataFrame:
+    """(token, largest, u, v): tokens that nodes of several components hold, the component that most of them are of,
+    and two of its nodes."""
+    some = F.struct(F.xxhash64("token", "node").alias("h"), F.col("node"))  # others for each token
+    by_part = rows.groupBy("token", "component").agg(F.count("*").alias("members"), F.min(some).alias("x"), F.max(some).alias("y"))
+    top = F.max(F.struct("members", "component", "x", "y"))
+    return by_part.groupBy("token").agg(top.alias("top"), F.count("*").alias("parts")).where("parts > 1").select(
+        "token", F.col("top.component").alias("largest"), F.col("top.x.node").alias("u"), F.col("top.y.node").alias("v")
+    )
+
+
+def _tries(rows: DataFrame) -> DataFrame:
+    """(u, v): each node with two of the largest other component for each prefix token: rows in proportion to the
+    prefixes. It spares the exact step the pairs inside of large groups."""
+    near = rows.join(_mixed(rows), "token").where("component <> largest")
+    pairs = near.select(F.col("node").alias("a"), F.explode(F.array("u", "v")).alias("b"))
+    return pairs.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
+
+
+def _across(rows: DataFrame, parted: DataFrame, percent: int, block_rows: int = 256) -> DataFrame:
+    """(u, v): every link between components, at least one for each pair of components and node. A token that several
+    components hold leads its other nodes to its largest component. Each node so led, if enough of its prefix tokens are
+    of that kind, is compared with that component's nodes and with the others led there, block by block: a pair that
+    shares a prefix token meets in such a group, and no row is made for a pair."""
+    some = rows.join(_mixed(rows).select("token", "largest"), "token")
+    needed = F.greatest(F.lit(1), F.least(F.greatest(F.lit(1), F.expr("n div 20")), F.expr(f"(({percent} * n + 99) div 100) div 20")))
+    able = some.groupBy("node", "n").agg(F.count("*").alias("tokens")).where(F.col("tokens") >= needed).select("node")
+    led = some.where("component <> largest").select("node", F.col("largest").alias("group")).distinct().join(able, "node")
+    groups = led.select("group").distinct()
+    own = parted.select("node", F.col("component").alias("group")).join(able, "node").join(groups, "group")
+    places = written(own.select("node", "group", F.lit(False).alias("asks")).unionByName(led.select("node", "group", F.lit(True).alias("asks"))))
+    blocks = places.groupBy("group").agg(F.expr(f"(count(*) div {block_rows}) + 1").alias("blocks"))
+    filled = places.join(blocks, "group").join(parted.select("node", "component", "tokens"), "node")
+    kept = filled.select("group", F.pmod(F.xxhash64("node"), "blocks").alias("block"), F.lit(0).alias("kind"), "node", "component", "tokens")
+    asks = filled.where("asks").select("group", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block"), F.lit(1).alias("kind"), "node", "component", "tokens")
+
+    def run(batches):
+        import pyarrow as pa
+
+        here, held, block = None, [], None
+        for batch in batches:
+            group, at, kind, node, part = (batch.column(k).to_numpy(zero_copy_only=False).tolist() for k in range(5))
+            found = []
+            for i, tokens in enumerate(_lists(batch.column(5))):
+                if here != (group[i], at[i]):
+                    here, held, block = (group[i], at[i]), [], None
+                if kind[i] == 0:
+                    held.append((node[i], part[i], tokens.copy()))
+                    continue
+                if not held:
+                    continue
+                if block is None:
+                    sizes = np.array([len(t) for _, _, t in held])
+                    block = np.concatenate([t for _, _, t in held]), np.append(0, np.cumsum(sizes)[:-1]), sizes, np.array([c for _, c, _ in held])
+                values, starts, sizes, parts = block
+                k = np.minimum(np.searchsorted(tokens, values), len(tokens) - 1)
+                shared = np.add.reduceat((tokens[k] == values).astype("int64"), starts)
+                hit = np.flatnonzero((100 * shared >= percent * (sizes + len(tokens) - shared)) & (parts != part[i]))
+                for c in np.unique(parts[hit], return_index=True)[1] if len(hit) else ():
+                    found.append((node[i], held[hit[c]][0]))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], names=["u", "v"])
+
+    dealt = kept.unionByName(asks).repartition("group", "block").sortWithinPartitions("group", "block", "kind")
+    return dealt.mapInArrow(run, "u long, v long")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -252,7 +335,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(run, "u long, v long")
 
 
-def ngram_join(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT, group_rows: int = 5000, leaders: int = 24, broadcast_rows: int = 500_000) -> DataFrame:
+def ngram_join(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT, group_rows: int = 5000, kept: int = 96, tries: int = 64, broadcast_rows: int = 500_000) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of docs(doc_id, text)."""
     import xxhash
 
@@ -298,12 +381,16 @@ def ngram_join(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT, g
     again = _enough(_in_other_sets(sets.select("node", "prefix")), sets.select("node", "n"), percent)
     sets = written(sets.drop("prefix").join(again.select("node"), "node").repartitionByRange("first"))
 
-    inside = components(_stars(sets, percent, group_rows, leaders))
+    inside = components(_stars(sets, percent, group_rows, kept, tries))
     parted = written(sets.join(inside, "node", "left").withColumn("component", F.coalesce("component", "node")))
     rows = written(_third_prefixes(parted, _sketch(sets), percent))
-    more = written(_verified(written(_candidates(rows, percent)), sets, percent))
-    whole = written(inside.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more))
-    label = components(whole)
+    label = inside
+    tried = written(_verified(written(_tries(rows)), sets, percent))
+    for step in ("try", "all"):
+        more = tried if step == "try" else written(_across(rows, parted, percent))
+        if more.count():
+            label = components(label.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more))
+            rows, parted = (x.withColumnRenamed("component", "was").join(label, "node", "left").withColumn("component", F.coalesce("component", "was")).drop("was") for x in (rows, parted))
 
     linked = table.select("doc_id", F.col("n").alias("n_shingles"), "node").join(label, "node", "left").withColumn("part", F.coalesce("component", "node"))
     least = linked.where("part is not null").groupBy("part").agg(F.min("doc_id").alias("component_id"))
