@@ -92,9 +92,13 @@ def _range(key: Column, cuts: list[int]) -> Column:
         return F.lit(0)
     table = F.array(*[F.lit(c) for c in cuts])
     found, step = F.lit(0), 1 << (len(cuts).bit_length() - 1)
-    while step:
+
+    def halved(by: int):
         # get() beyond the end is null, which is not below.
-        found = F.transform(F.array(found), lambda f, s=step: F.when(F.get(table, f + (s - 1)) < key, f + s).otherwise(f))[0]
+        return lambda f: F.when(F.get(table, f + (by - 1)) < key, f + by).otherwise(f)
+
+    while step:
+        found = F.transform(F.array(found), halved(step))[0]
         step //= 2
     return found
 
