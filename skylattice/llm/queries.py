@@ -9,11 +9,13 @@ from .ngram_join import op4_ngram_join
 from .packing import op10_pack
 from .quality_model import op9_quality_model
 from .quality_rules import op1_quality_rules
+from .repeats import op2_suffix_dedup
 from .token_counts import op3_token_counts
 from .toxicity import op7_toxicity
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_token_counts": op3_token_counts,
     "op4_ngram_join": op4_ngram_join,
     "op5_fingerprints": op5_fingerprints,
