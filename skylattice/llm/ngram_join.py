@@ -397,5 +397,16 @@ def ngram_join(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT, g
     return linked.join(least, "part", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def one_of_each(docs: DataFrame, broadcast_rows: int = 1_000_000, **options) -> DataFrame:
+    """The rows of docs whose document has the least doc_id of its component, with all their columns. Rows with one
+    doc_id stay or go together, but exact repeats of a row's doc_id and text are given once."""
+    joined = written(ngram_join(docs, **options))
+    gone = joined.where("component_id <> doc_id").select("doc_id").distinct()
+    gone = F.broadcast(gone) if gone.count() <= broadcast_rows else gone.hint("merge")
+    kept = docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    repeated = joined.where("n_shingles > 0").groupBy("doc_id").count().where("count > 1").limit(1).count()
+    return kept.dropDuplicates(["doc_id", "text"]) if repeated else kept
+
+
 def op4_ngram_join(spark, sf_dir: str) -> DataFrame:
     return ngram_join(read_table(spark, sf_dir, "documents"))

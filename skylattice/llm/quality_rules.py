@@ -14,6 +14,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -204,5 +205,27 @@ def quality_rules(docs: DataFrame, labels: DataFrame, *, sample: int = 50_000, *
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
 
 
+def passing(docs: DataFrame, labels: DataFrame, *, sample: int = 50_000, **options) -> DataFrame:
+    """The rows of docs that quality_rules keeps, with all their columns; texts are read once and not moved. Only what
+    is labelled is read before, to learn the list."""
+    # Broadcast: at most `sample` rows of two numbers.
+    chosen = label_sample(labels, "quality", sample)
+    train = text_stats(docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id"))
+    names = list(measures())
+    train = train.where(~base_failed()).withColumns(measures()).join(chosen, "doc_id").select("doc_id", *names, "_y").toPandas().sort_values(["doc_id", "_y"])
+    rules = learn_rules({n: train[n].to_numpy("float64") for n in names}, (train["_y"] == 0).to_numpy(), **options)
+    fields = STATS.split(", ", 1)[1]
+    columns = [f.split()[0] for f in fields.split(", ")]
+
+    @F.pandas_udf(fields)
+    def counts(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([text_counts(t) for t in texts], columns=columns, dtype="int64")
+
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    stats = docs.select(whole, counts("text").alias("_stats")).select("_row", "_stats.*").withColumn("base_failed", base_failed())
+    kept = stats.withColumns(measures()).where(~F.col("base_failed") & (verdict(rules) == 0))
+    return kept.select("_row.*")
+
+
 def op1_quality_rules(spark, sf_dir: str) -> DataFrame:
     return quality_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))

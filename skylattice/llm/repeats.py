@@ -21,11 +21,12 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bwt import repeated
-from .shared import by_batch, read_table, written
+from .shared import WORD, by_batch, read_table, written
 
 LENGTH = 400
 GRAM = 24
@@ -259,6 +260,28 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, broadcast_rows: int
     return by_batch(joined, ["doc_id", "text", "hits"], "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long", start, rows=200)
 
 
+def without_repeats(docs: DataFrame, *, length: int = LENGTH, broadcast_rows: int = 3_000_000, **options) -> DataFrame:
+    """docs with repeated bytes removed from `text` (a character that is cut is dropped) and n_chars, where it is a
+    column, counted again. Documents left without a word by it go; all other rows and columns stay."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    joined = _with_hits(docs.select("doc_id", "text", whole), ["doc_id", "text", "_row"], length, broadcast_rows, **options)
+
+    @F.pandas_udf("string")
+    def rest(texts: pd.Series, places: pd.Series, masks: pd.Series) -> pd.Series:
+        out = []
+        for text, at, mask in zip(texts, places, masks, strict=True):
+            hits = [{"at": int(a), "mask": int(m)} for a, m in zip(at, mask, strict=True)] if at is not None else None
+            out.append(cut(text.encode("utf-8", "replace"), hits, length)[0].decode("utf-8", "ignore") if text and hits else text)
+        return pd.Series(out, dtype="object")
+
+    hit = F.col("hits").isNotNull()
+    cut_text = rest(F.col("text"), F.transform("hits", lambda h: h["at"]), F.transform("hits", lambda h: h["mask"]))
+    out = joined.select("_row", hit.alias("_hit"), cut_text.alias("_text")).where(~F.col("_hit") | F.col("_text").rlike(WORD))
+    kinds = dict(docs.dtypes)
+    own = {"text": F.col("_text"), "n_chars": F.when(F.col("_hit"), F.char_length("_text")).otherwise(F.col("_row.n_chars")).cast(kinds["n_chars"]) if "n_chars" in kinds else None}
+    return out.select(*[own[c].alias(c) if own.get(c) is not None else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
+
+
 def op2_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     """Digest of what is left of every document."""
     out = remove_repeats(read_table(spark, sf_dir, "documents"))
