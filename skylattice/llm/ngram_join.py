@@ -10,8 +10,8 @@ each give such a filter, and a candidate must pass all of them before its sets a
 3. Stars: documents with the same first token under either order are compared with a bounded number of those met before
    that are not yet joined to them. This joins large groups of near copies in linear time; components of these links need no pair inside compared.
 4. Prefixes under a third order, commonest tokens (by a sketch of fixed size) last: each document is tried on two of the
-   largest component that each of its prefix tokens leads to; then all that are still apart and hold enough such tokens
-   are compared with what those tokens lead to, whole sets in blocks. This is exact: every link between components is found.
+   largest component that its frequent prefix tokens lead to; then pairs still apart that share enough rare prefix tokens
+   are compared, and what shares a frequent one is compared with what that token leads to, whole sets in blocks. This is exact: every link between components is found.
 
 Documents with equal sets are one node. Defined results: a null, empty or blank text has no shingle and links with
 nothing; a shorter text than a shingle is one shingle; rows that repeat are linked; other columns are ignored. Distinct
@@ -28,7 +28,7 @@ from .components import components
 from .shared import by_batch, read_table, written
 
 WORDS, PERCENT = 4, 85
-SKETCH = 1 << 18
+SKETCH = 1 << 19
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -180,29 +180,25 @@ class Group:
         return found
 
 
-def _stars(sets: DataFrame, percent: int, group_rows: int, kept: int, tries: int) -> DataFrame:
-    """(u, v) links, found by comparing each node with up to `tries` of the `kept` nodes that have its first token under
-    either hash order and are not yet joined to it. Groups are salted down to `group_rows`."""
-    keyed = sets.select("node", "n", "tokens", F.explode(F.array("first", "second")).alias("key"))
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1")
-    salted = keyed.join(sizes, "key").withColumn("salt", F.pmod(F.xxhash64("node"), F.expr(f"rows div {group_rows} + 1")))
+def _stars(sets: DataFrame, key: str, percent: int, kept: int, tries: int) -> DataFrame:
+    """(u, v) links, found by comparing each node with up to `tries` of the `kept` nodes that have its first token and
+    are not yet joined to it, in the order of the sorted partition. Where a partition ends, a group ends."""
 
     def run(batches):
         import pyarrow as pa
 
         here, group = None, None
         for batch in batches:
-            key, salt, node = (batch.column(k).to_numpy(zero_copy_only=False).tolist() for k in (0, 1, 2))
+            keys, node = (batch.column(k).to_numpy(zero_copy_only=False).tolist() for k in (0, 1))
             found = []
-            for i, tokens in enumerate(_lists(batch.column(3))):
-                if here != (key[i], salt[i]):
-                    here, group = (key[i], salt[i]), Group(percent, kept, tries)
+            for i, tokens in enumerate(_lists(batch.column(2))):
+                if here != keys[i]:
+                    here, group = keys[i], Group(percent, kept, tries)
                 found += group.meet(node[i], tokens.copy())
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], names=["u", "v"])
 
-    dealt = salted.repartition("key", "salt").sortWithinPartitions("key", "salt", "n", "node")
-    return dealt.select("key", "salt", "node", "tokens").mapInArrow(run, "u long, v long")
+    return sets.sortWithinPartitions(key, "n", "node").select(key, "node", "tokens").mapInArrow(run, "u long, v long")
 
 
 def _sketch(sets: DataFrame) -> np.ndarray:
@@ -246,51 +242,66 @@ def _third_prefixes(sets: DataFrame, sketch: np.ndarray, percent: int) -> DataFr
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
-    """(token, largest, u, v): tokens that nodes of several components hold, the component that most of them are of,
-    and two of its nodes."""
-    some = F.struct(F.xxhash64("token", "node").alias("h"), F.col("node"))  # others for each token
+    """(token, holders, largest, u, v): tokens that nodes of several components hold, how many nodes, the component that
+    most of them are of, and two of its nodes, others for each token."""
+    some = F.struct(F.xxhash64("token", "node").alias("h"), F.col("node"))
     by_part = rows.groupBy("token", "component").agg(F.count("*").alias("members"), F.min(some).alias("x"), F.max(some).alias("y"))
     top = F.max(F.struct("members", "component", "x", "y"))
-    return by_part.groupBy("token").agg(top.alias("top"), F.count("*").alias("parts")).where("parts > 1").select(
-        "token", F.col("top.component").alias("largest"), F.col("top.x.node").alias("u"), F.col("top.y.node").alias("v")
-    )
+    by_token = by_part.groupBy("token").agg(top.alias("top"), F.count("*").alias("parts"), F.sum("members").alias("holders"))
+    return by_token.where("parts > 1").select("token", "holders", F.col("top.component").alias("largest"), F.col("top.x.node").alias("u"), F.col("top.y.node").alias("v"))
 
 
-def _tries(rows: DataFrame) -> DataFrame:
-    """(u, v): each node with two of the largest other component for each prefix token: rows in proportion to the
-    prefixes. It spares the exact step the pairs inside of large groups."""
-    near = rows.join(_mixed(rows), "token").where("component <> largest")
-    pairs = near.select(F.col("node").alias("a"), F.explode(F.array("u", "v")).alias("b"))
+def _tries(rows: DataFrame, few: int, tries: int = 24) -> DataFrame:
+    """(u, v): each node with some of the largest component that its frequent prefix tokens lead to: at most `tries` for
+    a node and component. It spares the exact step most of what large groups have outside of their component."""
+    near = rows.join(_mixed(rows).where(F.col("holders") > few), "token").where("component <> largest")
+    found = near.groupBy("node", "largest").agg(F.collect_set("u").alias("us"), F.collect_set("v").alias("vs"))  # at most one a prefix token
+    pairs = found.select(F.col("node").alias("a"), F.explode(F.slice(F.array_union("us", "vs"), 1, tries)).alias("b"))
     return pairs.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
 
 
-def _across(rows: DataFrame, parted: DataFrame, percent: int, block_rows: int = 256) -> DataFrame:
-    """(u, v): every link between components, at least one for each pair of components and node. A token that several
-    components hold leads its other nodes to its largest component. Each node so led, if enough of its prefix tokens are
-    of that kind, is compared with that component's nodes and with the others led there, block by block: a pair that
-    shares a prefix token meets in such a group, and no row is made for a pair."""
-    some = rows.join(_mixed(rows).select("token", "largest"), "token")
+def _rare_pairs(rows: DataFrame, percent: int, few: int) -> DataFrame:
+    """(u, v): pairs of different components that share enough prefix tokens, counting those of at most `few` holders:
+    no more than `few` rows for a prefix token. Pairs that share a more frequent one are met in _across."""
+    some = rows.join(_mixed(rows).where(F.col("holders") <= few).select("token"), "token")
+    left = some.select("token", F.col("node").alias("u"), F.col("n").alias("un"), F.col("component").alias("uc"))
+    right = some.select("token", F.col("node").alias("v"), F.col("n").alias("vn"), F.col("component").alias("vc"))
+    pairs = left.join(right, "token").where(f"u < v and uc <> vc and {percent} * greatest(un, vn) <= 100 * least(un, vn)")
+    extra = F.least(F.greatest(F.lit(1), F.expr("un div 20")), F.greatest(F.lit(1), F.expr("vn div 20")))
+    return pairs.groupBy("u", "v", extra.alias("needed")).agg(F.count("*").alias("common")).where("common >= needed").select("u", "v")
+
+
+def _across(rows: DataFrame, sets: DataFrame, percent: int, few: int, block_rows: int = 256) -> DataFrame:
+    """(u, v): links between components by tokens of more than `few` holders, at least one for each node and component.
+    Such a token leads its other nodes to its largest component. Each node so led, if it shares enough prefix tokens at
+    all, is compared with that component's nodes and with the others led there, block by block: a pair that shares such
+    a token meets there, and no row is made for a pair."""
+    mixed = _mixed(rows).select("token", "holders", "largest")
+    some = rows.join(mixed, "token")
     needed = F.greatest(F.lit(1), F.least(F.greatest(F.lit(1), F.expr("n div 20")), F.expr(f"(({percent} * n + 99) div 100) div 20")))
     able = some.groupBy("node", "n").agg(F.count("*").alias("tokens")).where(F.col("tokens") >= needed).select("node")
-    led = some.where("component <> largest").select("node", F.col("largest").alias("group")).distinct().join(able, "node")
+    led = some.where((F.col("component") != F.col("largest")) & (F.col("holders") > few)).select("node", "component", F.col("largest").alias("group")).distinct().join(able, "node")
     groups = led.select("group").distinct()
-    own = parted.select("node", F.col("component").alias("group")).join(able, "node").join(groups, "group")
-    places = written(own.select("node", "group", F.lit(False).alias("asks")).unionByName(led.select("node", "group", F.lit(True).alias("asks"))))
+    parts = rows.select("node", "component").distinct()
+    own = parts.select("node", "component", F.col("component").alias("group")).join(able, "node").join(groups, "group")
+    columns = ["node", "component", "group"]
+    places = written(own.select(*columns, F.lit(False).alias("asks")).unionByName(led.select(*columns, F.lit(True).alias("asks"))))
     blocks = places.groupBy("group").agg(F.expr(f"(count(*) div {block_rows}) + 1").alias("blocks"))
-    filled = places.join(blocks, "group").join(parted.select("node", "component", "tokens"), "node")
-    kept = filled.select("group", F.pmod(F.xxhash64("node"), "blocks").alias("block"), F.lit(0).alias("kind"), "node", "component", "tokens")
-    asks = filled.where("asks").select("group", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block"), F.lit(1).alias("kind"), "node", "component", "tokens")
+    filled = places.join(blocks, "group").join(sets.select("node", "tokens"), "node")
+    here = F.struct(F.pmod(F.xxhash64("node"), "blocks").alias("block"), F.lit(0).alias("kind"))
+    asked = F.transform(F.expr("sequence(0L, blocks - 1)"), lambda b: F.struct(b.alias("block"), F.lit(1).alias("kind")))
+    spread = filled.withColumn("to", F.explode(F.when(F.col("asks"), F.concat(F.array(here), asked)).otherwise(F.array(here))))
 
     def run(batches):
         import pyarrow as pa
 
-        here, held, block = None, [], None
+        now, held, block = None, [], None
         for batch in batches:
             group, at, kind, node, part = (batch.column(k).to_numpy(zero_copy_only=False).tolist() for k in range(5))
             found = []
             for i, tokens in enumerate(_lists(batch.column(5))):
-                if here != (group[i], at[i]):
-                    here, held, block = (group[i], at[i]), [], None
+                if now != (group[i], at[i]):
+                    now, held, block = (group[i], at[i]), [], None
                 if kind[i] == 0:
                     held.append((node[i], part[i], tokens.copy()))
                     continue
@@ -299,17 +310,17 @@ def _across(rows: DataFrame, parted: DataFrame, percent: int, block_rows: int =
                 if block is None:
                     sizes = np.array([len(t) for _, _, t in held])
                     block = np.concatenate([t for _, _, t in held]), np.append(0, np.cumsum(sizes)[:-1]), sizes, np.array([c for _, c, _ in held])
-                values, starts, sizes, parts = block
+                values, starts, sizes, parts_ = block
                 k = np.minimum(np.searchsorted(tokens, values), len(tokens) - 1)
                 shared = np.add.reduceat((tokens[k] == values).astype("int64"), starts)
-                hit = np.flatnonzero((100 * shared >= percent * (sizes + len(tokens) - shared)) & (parts != part[i]))
-                for c in np.unique(parts[hit], return_index=True)[1] if len(hit) else ():
+                hit = np.flatnonzero((100 * shared >= percent * (sizes + len(tokens) - shared)) & (parts_ != part[i]))
+                for c in np.unique(parts_[hit], return_index=True)[1] if len(hit) else ():
                     found.append((node[i], held[hit[c]][0]))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], names=["u", "v"])
 
-    dealt = kept.unionByName(asks).repartition("group", "block").sortWithinPartitions("group", "block", "kind")
-    return dealt.mapInArrow(run, "u long, v long")
+    flat = spread.select("group", F.col("to.block").alias("block"), F.col("to.kind").alias("kind"), "node", "component", "tokens")
+    return flat.repartition("group", "block").sortWithinPartitions("group", "block", "kind").mapInArrow(run, "u long, v long")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -335,17 +346,23 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(run, "u long, v long")
 
 
-def ngram_join(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT, group_rows: int = 5000, kept: int = 96, tries: int = 64, broadcast_rows: int = 500_000) -> DataFrame:
+def ngram_join(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT, kept: int = 96, tries: int = 64, few: int = 32, broadcast_rows: int = 500_000) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of docs(doc_id, text)."""
     import xxhash
 
+    def small(df: DataFrame) -> DataFrame:
+        """For a join with narrow rows: broadcast if there are few, by count, else left to a shuffle."""
+        return F.broadcast(df) if df.count() <= broadcast_rows else df.hint("merge")
+
+    def node_of(s: np.ndarray) -> int:
+        return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
+
     def first_start():
         shingles = Shingles(words)
 
         def work(doc_ids, texts):
             sets = [shingles.of(t) for t in texts]
-            node = [xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else None for s in sets]
-            return [doc_ids, node, [len(s) for s in sets], _array([s[: _prefix(len(s), percent)] for s in sets])]
+            return [doc_ids, [node_of(s) if len(s) else None for s in sets], [len(s) for s in sets], _array([s[: _prefix(len(s), percent)] for s in sets])]
 
         return work
 
@@ -354,43 +371,51 @@ def ngram_join(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT, g
     nodes = some.groupBy("node").agg(F.min("n").alias("n"), F.min("doc_id").alias("own"))
     left = written(_enough(_in_other_sets(some), nodes, percent))
 
-    # The whole sets of what is left, one document a node. Its ids are broadcast if they are few, else shuffled.
-    ids = left.select(F.col("own").alias("doc_id"), "node")
-    ids = F.broadcast(ids) if left.count() <= broadcast_rows else ids.hint("merge")
-
-    def second_start():
-        shingles = Shingles(words)
-
-        def work(nodes_, texts):
-            out = {}
-            for node, text in zip(nodes_, texts, strict=True):
-                s = shingles.of(text)
-                # Rows that repeat a doc_id with another text are told by their hash.
-                if node not in out and len(s) and xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) == node:
-                    out[node] = s
-            keys, values = list(out), list(out.values())
-            second = [_second(s) for s in values]
-            return [keys, [len(s) for s in values], _array(values), [s[0] for s in values], [x.min() for x in second],
-                    _array([np.sort(x)[: _prefix(len(x), percent)] for x in second])]
-
-        return work
-
-    schema = "node long, n long, tokens array<long>, first long, second long, prefix array<long>"
-    found = by_batch(docs.select("doc_id", "text").join(ids, "doc_id"), ["node", "text"], schema, second_start)
-    sets = written(found.dropDuplicates(["node"]) if table.count() != table.select("doc_id").distinct().count() else found)
-    again = _enough(_in_other_sets(sets.select("node", "prefix")), sets.select("node", "n"), percent)
-    sets = written(sets.drop("prefix").join(again.select("node"), "node").repartitionByRange("first"))
-
-    inside = components(_stars(sets, percent, group_rows, kept, tries))
-    parted = written(sets.join(inside, "node", "left").withColumn("component", F.coalesce("component", "node")))
-    rows = written(_third_prefixes(parted, _sketch(sets), percent))
-    label = inside
-    tried = written(_verified(written(_tries(rows)), sets, percent))
-    for step in ("try", "all"):
-        more = tried if step == "try" else written(_across(rows, parted, percent))
+    def sets_of(nodes_: DataFrame, second_prefix: bool) -> DataFrame:
+        """The sets of nodes_(node, own), one document a node, or their prefixes under the second order."""
+
+        def start():
+            shingles = Shingles(words)
+
+            def work(nodes_, texts):
+                sets = [shingles.of(t) for t in texts]
+                # Another row may have the doc_id of a node's document with another text.
+                pairs = [(k, s) for k, s in zip(nodes_, sets, strict=True) if len(s) and node_of(s) == k]
+                keys, values = [p[0] for p in pairs], [p[1] for p in pairs]
+                second = [np.sort(_second(s)) for s in values]
+                sizes = [len(s) for s in values]
+                if second_prefix:
+                    return [keys, sizes, _array([x[: _prefix(len(x), percent)] for x in second])]
+                return [keys, sizes, _array(values), [s[0] for s in values], [x[0] for x in second]]
+
+            return work
+
+        schema = "node long, n long, prefix array<long>" if second_prefix else "node long, n long, tokens array<long>, first long, second long"
+        return by_batch(docs.select("doc_id", "text").join(small(nodes_.select(F.col("own").alias("doc_id"), "node")), "doc_id"), ["node", "text"], schema, start)
+
+    prefixes = written(sets_of(left, True))
+    again = _enough(_in_other_sets(prefixes.select("node", "prefix")), left, percent)
+    sets = sets_of(written(again), False)
+    if table.count() != table.select("doc_id").distinct().count():
+        sets = sets.dropDuplicates(["node"])
+    # Kept in ranges of the first token: near copies mostly lie together.
+    sets = written(sets.repartitionByRange("first", "node"))
+
+    stars = _stars(sets, "first", percent, kept, tries).unionByName(_stars(sets.repartitionByRange("second", "node"), "second", percent, kept, tries))
+    label = components(stars)
+
+    def labelled(df: DataFrame) -> DataFrame:
+        return df.drop("component").join(small(label), "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+    rows = written(_third_prefixes(labelled(sets), _sketch(sets), percent))
+    for find in (
+        lambda r: _verified(written(_tries(r, few)), sets, percent),
+        lambda r: _across(r, sets, percent, few).unionByName(_verified(written(_rare_pairs(r, percent, few)), sets, percent)),
+    ):
+        more = written(find(rows))
         if more.count():
             label = components(label.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more))
-            rows, parted = (x.withColumnRenamed("component", "was").join(label, "node", "left").withColumn("component", F.coalesce("component", "was")).drop("was") for x in (rows, parted))
+            rows = labelled(rows)
 
     linked = table.select("doc_id", F.col("n").alias("n_shingles"), "node").join(label, "node", "left").withColumn("part", F.coalesce("component", "node"))
     least = linked.where("part is not null").groupBy("part").agg(F.min("doc_id").alias("component_id"))
