@@ -2,5 +2,11 @@
 
 from __future__ import annotations
 
+from importlib import import_module
+
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
+for _name in ("pixel_queries",):
+    _reg = import_module(f".{_name}", __package__).REG
+    QUERIES |= _reg.queries
+    SQL |= _reg.sql
