@@ -208,75 +208,80 @@ def _repeated_windows(strings: DataFrame, shard_symbols: int, task_symbols: int)
     return strings.select("core", "left", "right", "whole", "n").mapInArrow(run, "core long, whole long, mask long")
 
 
-def removed_windows(docs: DataFrame, *, length: int = LENGTH, shard_symbols: int = 100_000, task_symbols: int = 400_000, broadcast_rows: int = 3_000_000) -> DataFrame:
-    """docs(rid, text) -> (rid, starts): for documents that lose bytes, packed runs start << 8 | windows of repeated
-    windows."""
-    left = written(_not_alone(_core_rows(docs, length)).distinct())
+def spans_of(ats: list[int], masks: list[int], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(begins, ends) of the removed runs: windows that overlap or touch are one."""
+    bits = (np.array(masks, "int64")[:, None] >> np.arange(FINE)) & 1
+    row, k = np.nonzero(bits)
+    starts = np.unique(np.array(ats, "int64")[row] + k)
+    edge = np.flatnonzero(np.diff(starts) > length)
+    return starts[np.append(0, edge + 1)], starts[np.append(edge, len(starts) - 1)] + length
+
+
+def removed_spans(docs: DataFrame, *, length: int = LENGTH, shard_symbols: int = 100_000, task_symbols: int = 400_000) -> DataFrame:
+    """docs(rid, text) -> (rid, begins, ends): removed runs of the documents that lose bytes."""
+    left = _not_alone(_core_rows(docs, length)).distinct()
     places = left.groupBy("rid").agg(F.collect_list("at").alias("ats"))  # at most a few for each 95 bytes of the document
-    places = F.broadcast(places) if left.count() <= broadcast_rows else places.hint("merge")
-    rows = written(_window_rows(docs.join(places, "rid"), length))
+    rows = written(_window_rows(docs.join(places.hint("merge"), "rid"), length))
     # Equal strings are counted first; a core that comes once only has nothing to be equal to.
     counted = rows.groupBy("core", "left", "right", "whole").agg(F.count("*").alias("n"))
     dealt = counted.repartition("core").sortWithinPartitions("core", "whole")
     masks = written(_repeated_windows(dealt, shard_symbols, task_symbols))
     hit = rows.select("core", "whole", "rid", "at").join(masks, ["core", "whole"])
-    return hit.groupBy("rid").agg(F.collect_list(F.struct("at", "mask")).alias("hits"))
+    hits = hit.groupBy("rid").agg(F.collect_list("at").alias("ats"), F.collect_list("mask").alias("masks"))
 
+    def start():
+        def work(rids, ats, masks_):
+            spans = [spans_of(a, m, length) for a, m in zip(ats, masks_, strict=True)]
+            return [rids, [s[0].tolist() for s in spans], [s[1].tolist() for s in spans]]
+
+        return work
+
+    return by_batch(hits, ["rid", "ats", "masks"], "rid long, begins array<long>, ends array<long>", start, rows=500)
 
-def _with_hits(docs: DataFrame, columns: list[str], length: int, broadcast_rows: int, **options) -> DataFrame:
+
+def _with_spans(docs: DataFrame, columns: list[str], length: int, broadcast_rows: int, **options) -> DataFrame:
     docs = docs.select(*columns, F.xxhash64("doc_id", "text").alias("rid"))
-    hits = written(removed_windows(docs.select("rid", "text"), length=length, broadcast_rows=broadcast_rows, **options))
-    n = hits.agg(F.coalesce(F.sum(F.size("hits")), F.lit(0))).first()[0]
-    return docs.join(F.broadcast(hits) if n <= broadcast_rows else hits.hint("merge"), "rid", "left")
+    spans = written(removed_spans(docs.select("rid", "text"), length=length, **options))
+    n = spans.agg(F.coalesce(F.sum(F.size("begins")), F.lit(0))).first()[0]
+    return docs.join(F.broadcast(spans) if n <= broadcast_rows else spans.hint("merge"), "rid", "left")
 
 
-def cut(data: bytes, hits, length: int = LENGTH) -> tuple[bytes, int, int]:
+def cut(data: bytes, begins, ends) -> tuple[bytes, int, int]:
     """(what is left, bytes removed, removed runs)."""
-    if not hits:
+    if begins is None or not len(begins):
         return data, 0, 0
-    change = np.zeros(len(data) + 1, "int32")
-    for hit in hits:
-        starts = [k for k in range(FINE) if hit["mask"] >> k & 1]
-        for k in starts:
-            change[hit["at"] + k] += 1
-            change[hit["at"] + k + length] -= 1
-    gone = np.cumsum(change)[:-1] > 0
-    runs = int(np.count_nonzero(gone[1:] & ~gone[:-1])) + int(gone[0])
-    return np.frombuffer(data, "uint8")[~gone].tobytes(), int(gone.sum()), runs
-
-
-def remove_repeats(docs: DataFrame, *, length: int = LENGTH, broadcast_rows: int = 3_000_000, **options) -> DataFrame:
+    kept = b"".join([data[a:b] for a, b in zip([0, *ends], [*begins, len(data)], strict=True)])
+    return kept, len(data) - len(kept), len(begins)
+
+
+def remove_repeats(docs: DataFrame, *, length: int = LENGTH, broadcast_rows: int = 1_000_000, **options) -> DataFrame:
     """doc_id, kept (binary: the bytes that stay), n_bytes, n_removed, n_spans for every row of docs(doc_id, text)."""
-    joined = _with_hits(docs, ["doc_id", "text"], length, broadcast_rows, **options)
+    joined = _with_spans(docs, ["doc_id", "text"], length, broadcast_rows, **options)
 
     def start():
-        def work(doc_ids, texts, hits):
+        def work(doc_ids, texts, begins, ends):
             data = [(t or "").encode("utf-8", "replace") for t in texts]
-            out = [cut(d, h, length) for d, h in zip(data, hits, strict=True)]
+            out = [cut(*x) for x in zip(data, begins, ends, strict=True)]
             return [doc_ids, [o[0] for o in out], [len(d) for d in data], [o[1] for o in out], [o[2] for o in out]]
 
         return work
 
-    return by_batch(joined, ["doc_id", "text", "hits"], "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long", start, rows=200)
+    return by_batch(joined, ["doc_id", "text", "begins", "ends"], "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long", start, rows=200)
 
 
-def without_repeats(docs: DataFrame, *, length: int = LENGTH, broadcast_rows: int = 3_000_000, **options) -> DataFrame:
+def without_repeats(docs: DataFrame, *, length: int = LENGTH, broadcast_rows: int = 1_000_000, **options) -> DataFrame:
     """docs with repeated bytes removed from `text` (a character that is cut is dropped) and n_chars, where it is a
     column, counted again. Documents left without a word by it go; all other rows and columns stay."""
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    joined = _with_hits(docs.select("doc_id", "text", whole), ["doc_id", "text", "_row"], length, broadcast_rows, **options)
+    joined = _with_spans(docs.select("doc_id", "text", whole), ["doc_id", "text", "_row"], length, broadcast_rows, **options)
 
     @F.pandas_udf("string")
-    def rest(texts: pd.Series, places: pd.Series, masks: pd.Series) -> pd.Series:
-        out = []
-        for text, at, mask in zip(texts, places, masks, strict=True):
-            hits = [{"at": int(a), "mask": int(m)} for a, m in zip(at, mask, strict=True)] if at is not None else None
-            out.append(cut(text.encode("utf-8", "replace"), hits, length)[0].decode("utf-8", "ignore") if text and hits else text)
+    def rest(texts: pd.Series, begins: pd.Series, ends: pd.Series) -> pd.Series:
+        out = [t if a is None or not t else cut(t.encode("utf-8", "replace"), a, b)[0].decode("utf-8", "ignore") for t, a, b in zip(texts, begins, ends, strict=True)]
         return pd.Series(out, dtype="object")
 
-    hit = F.col("hits").isNotNull()
-    cut_text = rest(F.col("text"), F.transform("hits", lambda h: h["at"]), F.transform("hits", lambda h: h["mask"]))
-    out = joined.select("_row", hit.alias("_hit"), cut_text.alias("_text")).where(~F.col("_hit") | F.col("_text").rlike(WORD))
+    hit = F.col("begins").isNotNull()
+    out = joined.select("_row", hit.alias("_hit"), rest("text", "begins", "ends").alias("_text")).where(~F.col("_hit") | F.col("_text").rlike(WORD))
     kinds = dict(docs.dtypes)
     own = {"text": F.col("_text"), "n_chars": F.when(F.col("_hit"), F.char_length("_text")).otherwise(F.col("_row.n_chars")).cast(kinds["n_chars"]) if "n_chars" in kinds else None}
     return out.select(*[own[c].alias(c) if own.get(c) is not None else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
