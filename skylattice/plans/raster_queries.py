@@ -98,11 +98,11 @@ def n06_nearest_regrid(spark, sf_dir):
     with_tables("grid")
     + f""", {_TARGET.format(f='0.7')}, p as (select row, col, (row + 0.5) * 0.7 - 0.5 as y, (col + 0.5) * 0.7 - 0.5 as x from t), d as (select a.x as dy, b.x as dx from range(0, 2) a(x), range(0, 2) b(x)),
 q as (select p.row, p.col, floor(y) + dy as r, floor(x) + dx as c, (case dy when 1 then y - floor(y) else 1 - (y - floor(y)) end) * (case dx when 1 then x - floor(x) else 1 - (x - floor(x)) end) as w from p, d)
-select q.row, q.col, round(sum(w * value) / nullif(sum(case when value is not null then w end), 0), 4) as value from q left join grid g on g.row = q.r and g.col = q.c group by 1, 2"""
+select q.row, q.col, round(sum(w * value) / nullif(sum(case when value is not null then w end), 0), 6) as value from q left join grid g on g.row = q.r and g.col = q.c group by 1, 2"""
 )
 def n07_bilinear_regrid(spark, sf_dir):
     g = _grid(spark, sf_dir)
-    return rounded(N.bilinear(g, _target(g, 0.7), 0.7).drop("scene_id"), 4)
+    return rounded(N.bilinear(g, _target(g, 0.7), 0.7).drop("scene_id"))
 
 
 @REG.add(with_tables("grid") + "select row // 3 as row, col // 3 as col, round(avg(value), 6) as value from grid group by 1, 2")

@@ -31,8 +31,8 @@ c_acctbal / 1000 as mean_velocity, (c_custkey % 40) / 10.0 as mean_velocity_std
 POLYGONS = """select s_suppkey as id, -32 + 77.0 * ((s_suppkey * 7919) % 10007) / 10007.0 as cx, 27 + 45.0 * ((s_suppkey * 104729) % 10007) / 10007.0 as cy,
 0.5 + s_suppkey % 3 as half from supplier"""
 ITEMS = """select event_id as id, ts as sensing, value % 100 as cloud, user_id % 5 as orbit, event_type as platform, user_id % 7 as tile from events"""
-SCORES = """select p_size % 5 as aoi, div(p_size, 5) % 2 as season, 0.08 + 0.005 * (p_size % 45) as wigt, -0.2 + 0.01 * (p_partkey % 31) as awgt,
-avg(((p_partkey * 31) % 997) / 997.0) as f1 from part group by 1, 2, 3, 4"""
+SCORES = """select p_size % 5 as aoi, div(p_size, 5) % 2 as season, cast(0.08 as double) + cast(0.005 as double) * (p_size % 45) as wigt, cast(-0.2 as double) + cast(0.01 as double) * (p_partkey % 31) as awgt,
+avg(cast((p_partkey * 31) % 997 as double) / 997) as f1 from part group by 1, 2, 3, 4"""
 
 ALL = {
     "pairs": PAIRS, "binary_pairs": BINARY, "grid": GRID, "bands": BANDS, "classes": CLASSES, "stack": STACK, "ifg": IFG,
