@@ -188,7 +188,9 @@ def mixed_texts(docs: DataFrame, **options) -> DataFrame:
     rows = rows.where("size > 0").withColumn("nth", F.row_number().over(W.partitionBy("doc_id", "size").orderBy("h")))
     starts = runs.select("doc_id", "size", F.col("nth").alias("_nth"), "from_word", "to_word")
     # A difference is no join key, so the rows stay where the window has put them and texts move once.
-    joined = rows.join(starts, ["doc_id", "size"]).where(F.col("nth") - F.col("_nth") == 0)
+    starts = starts.withColumnsRenamed({"doc_id": "_doc_id", "size": "_size"})
+    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("size") == F.col("_size"))
+    joined = rows.join(starts, same & (F.col("nth") - F.col("_nth") == 0))
     words = F.split(F.regexp_replace(F.col("_row.text"), f"^[{SPACE}]+", ""), f"(?<=[{SPACE}])(?=[^{SPACE}])")
     cut = F.array_join(F.slice(words, (F.col("from_word") + 1).cast("int"), (F.col("to_word") - F.col("from_word")).cast("int")), "")
     whole = (F.col("from_word") == 0) & (F.col("to_word") == F.col("size"))
