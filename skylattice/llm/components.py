@@ -11,7 +11,7 @@ from .shared import written
 def _round(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
     down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     low = down.groupBy("u").agg(F.min("v").alias("m"))
     small = down.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))

@@ -166,9 +166,10 @@ class Group:
                 continue
             tried += 1
             if _linked(its, tokens, self.percent):
-                found.append((other, node))
-                self.up[mine] = self.root(other)
-                mine = self.root(mine)
+                # Told of the joined sets' first nodes: the links of a group are a star, not a chain.
+                first = self.root(other)
+                found.append((first, mine))
+                self.up[mine] = mine = first
             if tried >= self.tries:
                 break
         self.known.append((node, tokens))
