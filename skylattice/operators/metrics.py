@@ -6,37 +6,42 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-P, R = F.col("predicted"), F.col("reference")
+
+def sides() -> tuple[Column, Column]:
+    return F.col("predicted"), F.col("reference")
 
 
 def both(pairs: DataFrame) -> DataFrame:
-    return pairs.where(P.isNotNull() & R.isNotNull())
+    p, r = sides()
+    return pairs.where(p.isNotNull() & r.isNotNull())
 
 
 def continuous(pairs: DataFrame, *keys: str) -> DataFrame:
     """rmse, correlation, bias, n over pairs where both sides are there. The correlation is null of a constant, 0 of
     fewer than two pairs; moments are merged around running means, so that large offsets lose no digits."""
-    d = P - R
+    p, r = sides()
+    d = p - r
     agg = both(pairs).groupBy(*keys).agg(
         F.sqrt(F.avg(d * d)).alias("rmse"),
         F.avg(d).alias("bias"),
         F.count("*").alias("n"),
-        F.covar_pop(P, R).alias("_c"),
-        F.var_pop(P).alias("_vp"),
-        F.var_pop(R).alias("_vr"),
+        F.covar_pop(p, r).alias("_c"),
+        F.var_pop(p).alias("_vp"),
+        F.var_pop(r).alias("_vr"),
     )
-    r = F.when(F.col("n") < 2, 0.0).otherwise(F.try_divide(F.col("_c"), F.sqrt(F.col("_vp") * F.col("_vr"))))
-    return agg.select(*keys, F.coalesce("rmse", F.lit(0.0)).alias("rmse"), r.alias("correlation"), F.coalesce("bias", F.lit(0.0)).alias("bias"), "n")
+    corr = F.when(F.col("n") < 2, 0.0).otherwise(F.try_divide(F.col("_c"), F.sqrt(F.col("_vp") * F.col("_vr"))))
+    return agg.select(*keys, F.coalesce("rmse", F.lit(0.0)).alias("rmse"), corr.alias("correlation"), F.coalesce("bias", F.lit(0.0)).alias("bias"), "n")
 
 
 def confusion(where: Column | None = None) -> list[Column]:
     ok = F.lit(True) if where is None else where
+    p, r = sides()
     return [
-        F.count_if(ok & (P == 1) & (R == 1)).alias("tp"),
-        F.count_if(ok & (P == 1) & (R == 0)).alias("fp"),
-        F.count_if(ok & (P == 0) & (R == 1)).alias("fn"),
-        F.count_if(ok & (P == 0) & (R == 0)).alias("tn"),
-        F.count_if(ok & (P == R)).alias("correct"),
+        F.count_if(ok & (p == 1) & (r == 1)).alias("tp"),
+        F.count_if(ok & (p == 1) & (r == 0)).alias("fp"),
+        F.count_if(ok & (p == 0) & (r == 1)).alias("fn"),
+        F.count_if(ok & (p == 0) & (r == 0)).alias("tn"),
+        F.count_if(ok & (p == r)).alias("correct"),
         F.count_if(ok).alias("total"),
     ]
 
