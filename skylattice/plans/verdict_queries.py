@@ -85,7 +85,7 @@ def c03_by_area(spark, sf_dir):
     return rounded(s.groupBy("aoi").agg(F.avg(F.when(F.col("season") == 0, F.col("f1"))).alias("wet"), F.avg(F.when(F.col("season") == 1, F.col("f1"))).alias("dry"), F.avg("f1").alias("mean")))
 
 
-_CV = "cv as (select p_size % 5 as aoi, 0.08 + 0.005 * (p_partkey % 9) as wigt, -0.2 + 0.01 * (p_partkey % 7) as awgt, avg(p_retailprice) as f1 from part group by 1, 2, 3)"
+_CV = "cv as (select p_size % 5 as aoi, 0.08::double + 0.005::double * (p_partkey % 9) as wigt, -0.2::double + 0.01::double * (p_partkey % 7) as awgt, avg(p_retailprice) as f1 from part group by 1, 2, 3)"
 
 
 @REG.add(f"with {_CV}, o as (select *, (sum(f1) over w - f1) / nullif(count(*) over w - 1, 0) as others from cv window w as (partition by wigt, awgt)), r as (select *, row_number() over (partition by aoi order by round(others, 9) desc, wigt, awgt) as k from o where others is not null) select aoi, round(wigt, 6) as wigt, round(awgt, 6) as awgt, round(f1, 4) as left_out_f1, round(others, 4) as fitted_f1 from r where k = 1")
