@@ -26,10 +26,10 @@ value / 50 as phase, cos(value / 50) * (1 + div(div(event_id, 10), 10) % 3) as r
 12 * (event_id % 10) as days, 1 - (value % 100) / 250 as coh from events"""
 IFG = """select event_id % 10 as ifg_idx, cast(div(div(event_id, 10), 10) as int) as row, cast(div(event_id, 10) % 10 as int) as col,
 0.05 * (div(event_id, 10) % 10) + 0.03 * div(div(event_id, 10), 10) + 0.001 * value as phase, 1 - (value % 100) / 250 as coh from events where event_id % 10 < 9"""
-POINTS = """select c_custkey as pid, -32 + 77.0 * ((c_custkey * 7919) % 10007) / 10007.0 as lon, 27 + 45.0 * ((c_custkey * 104729) % 10007) / 10007.0 as lat,
-c_acctbal / 1000 as mean_velocity, (c_custkey % 40) / 10.0 as mean_velocity_std from customer"""
-POLYGONS = """select s_suppkey as id, -32 + 77.0 * ((s_suppkey * 7919) % 10007) / 10007.0 as cx, 27 + 45.0 * ((s_suppkey * 104729) % 10007) / 10007.0 as cy,
-0.5 + s_suppkey % 3 as half from supplier"""
+POINTS = """select c_custkey as pid, -32 + cast(77 * ((c_custkey * 7919) % 10007) as double) / 10007 as lon, 27 + cast(45 * ((c_custkey * 104729) % 10007) as double) / 10007 as lat,
+c_acctbal / 1000 as mean_velocity, cast(c_custkey % 40 as double) / 10 as mean_velocity_std from customer"""
+POLYGONS = """select s_suppkey as id, -32 + cast(77 * ((s_suppkey * 7919) % 10007) as double) / 10007 as cx, 27 + cast(45 * ((s_suppkey * 104729) % 10007) as double) / 10007 as cy,
+cast(0.5 as double) + s_suppkey % 3 as half from supplier"""
 ITEMS = """select event_id as id, ts as sensing, value % 100 as cloud, user_id % 5 as orbit, event_type as platform, user_id % 7 as tile from events"""
 SCORES = """select p_size % 5 as aoi, div(p_size, 5) % 2 as season, cast(0.08 as double) + cast(0.005 as double) * (p_size % 45) as wigt, cast(-0.2 as double) + cast(0.01 as double) * (p_partkey % 31) as awgt,
 avg(cast((p_partkey * 31) % 997 as double) / 997) as f1 from part group by 1, 2, 3, 4"""

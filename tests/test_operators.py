@@ -112,3 +112,19 @@ def test_streams(spark, tmp_path):
     scored = source.select(F.col("sensing").alias("ts"), F.lit(1).alias("predicted"), (F.col("id") % 2).alias("reference"))
     days = run(streams.daily_agreement(scored), "days")
     assert {r.day.day: r.total for r in days if r.day.month == 1} == {1: 2, 2: 1}
+
+
+def test_files(spark, tmp_path):
+    from skylattice.sources import io
+
+    (tmp_path / "a.csv").write_text("Longitude,LATITUDE,mean_velocity,velocity_std\n1.5,2.5,3,0.5\n")
+    (tmp_path / "b.csv").write_text("lon,lat,mean_velocity\n1,2,-3\n")
+    (tmp_path / "c.csv").write_text("easting,mean_velocity\n1,2\n")
+    got = io.read_points(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")]).orderBy("lon").collect()
+    assert [tuple(r) for r in got] == [(1.0, 2.0, -3.0, None), (1.5, 2.5, 3.0, 0.5)]
+    with pytest.raises(ValueError, match="c.csv"):
+        io.read_points(spark, [str(tmp_path / "c.csv")])
+    df = spark.createDataFrame([(1, 0, 0.5), (1, 1, 0.6), (2, 0, 0.7)], "aoi int, season int, f1 double")
+    io.write_scores(df, str(tmp_path / "s"))
+    io.write_scores(df.where("aoi = 1 and season = 0").withColumn("f1", F.lit(0.9)), str(tmp_path / "s"))
+    assert sorted(r.f1 for r in spark.read.parquet(str(tmp_path / "s")).collect()) == [0.6, 0.7, 0.9]
