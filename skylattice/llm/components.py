@@ -18,22 +18,21 @@ def _round(edges: DataFrame) -> DataFrame:
     return small.where("u <> v").distinct()
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """edges(u, v: long) -> (node, component): the least node reachable, for every node that has an edge to another."""
-    now = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+def _unsettled(edges: DataFrame) -> int:
+    """How many nodes still point to two nodes, or point on while being pointed to: none when all is stars."""
+    roles = edges.select(F.col("u").alias("x"), F.lit(1).alias("up")).unionByName(edges.select(F.col("v").alias("x"), F.lit(0).alias("up")))
+    per_node = roles.groupBy("x").agg(F.sum("up").alias("ups"), F.count("*").alias("all"))
+    return per_node.where("ups > 1 or (ups = 1 and all > 1)").limit(1).count()
 
-    def mark(e: DataFrame):
-        return e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("u", "v") % 1_000_003)).first()
 
-    last = mark(now)
+def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+    """edges(u, v: long) -> (node, component): the least node reachable, for every node that has an edge to another."""
+    now = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    now = written(now.distinct())
     for _ in range(most_rounds):
-        if not last[0]:
+        if not _unsettled(now):
             break
         now = written(_round(now))
-        this = mark(now)
-        if this == last:
-            break
-        last = this
     else:
         raise RuntimeError("components did not settle")
     roots = now.select(F.col("v").alias("node")).distinct()

@@ -397,16 +397,17 @@ def ngram_join(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT, k
     prefixes = written(sets_of(left, True))
     again = _enough(_in_other_sets(prefixes.select("node", "prefix")), left, percent)
     sets = sets_of(written(again), False)
-    if table.count() != table.select("doc_id").distinct().count():
+    if table.groupBy("doc_id").count().where("count > 1").limit(1).count():
         sets = sets.dropDuplicates(["node"])
     # Kept in ranges of the first token: near copies mostly lie together.
     sets = written(sets.repartitionByRange("first", "node"))
 
     stars = _stars(sets, "first", percent, kept, tries).unionByName(_stars(sets.repartitionByRange("second", "node"), "second", percent, kept, tries))
     label = components(stars)
+    handy = small(label)
 
     def labelled(df: DataFrame) -> DataFrame:
-        return df.drop("component").join(small(label), "node", "left").withColumn("component", F.coalesce("component", "node"))
+        return df.drop("component").join(handy, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
     rows = written(_third_prefixes(labelled(sets), _sketch(sets), percent))
     for find in (
@@ -416,6 +417,7 @@ def ngram_join(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT, k
         more = written(find(rows))
         if more.count():
             label = components(label.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more))
+            handy = small(label)
             rows = labelled(rows)
 
     linked = table.select("doc_id", F.col("n").alias("n_shingles"), "node").join(label, "node", "left").withColumn("part", F.coalesce("component", "node"))
