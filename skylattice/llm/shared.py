@@ -13,6 +13,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"\x20\x09-\x0D"
 
 
+#: Rows of an Arrow batch.
+BATCH_ROWS = 1000
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -49,6 +53,8 @@ def by_batch(df: DataFrame, columns: list, schema: str, start, rows: int = 1000)
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
+    # Texts are long: small batches bound what a task holds outside the heap and in Python.
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     wanted = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches):
