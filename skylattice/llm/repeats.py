@@ -11,6 +11,9 @@ anchors to 377 bytes. Windows of an anchor that lie alike around it share a core
 3. In each task the strings are laid out in shards; each shard's Burrows-Wheeler transform is sorted once, and the shards
    are merged by interleave refinement (see bwt). Places whose common prefix reaches 24 symbols are intervals of equal
    windows; an interval of two windows or more is repeated, and its windows are removed where they occur.
+4. A core with very many different strings (the edge of a passage that many documents share) would fill a task. Such
+   cores are found by a sample of the strings' hashes before anything is dealt; their windows are dealt one by one, by
+   core, offset and a hash of the 23 bytes around the core, and counted before they move, so equal windows still meet.
 
 Defined results: a null text is empty; documents shorter than 400 bytes lose nothing; rows that repeat are documents of
 their own, so long ones are removed in each; other columns are ignored. Cores are told apart by 64-bit hashes.
@@ -208,6 +211,28 @@ def _repeated_windows(strings: DataFrame, shard_symbols: int, task_symbols: int)
     return strings.select("core", "left", "right", "whole", "n").mapInArrow(run, "core long, whole long, mask long")
 
 
+def _crowded_cores(rows: DataFrame, most_strings: int) -> DataFrame:
+    """(core) of cores with more than about most_strings different strings, from one string in most_strings / 32. Which
+    way a core goes does not change the result."""
+    share = max(1, most_strings // 32)
+    sample = rows.where(F.pmod("whole", F.lit(share)) == 0).select("core", "whole").distinct()
+    return sample.groupBy("core").agg((F.count("*") * share).alias("n")).where(F.col("n") > most_strings).select("core")
+
+
+def _windows_one_by_one(counted: DataFrame) -> DataFrame:
+    """strings(core, left, right, whole, n) -> (core, whole, mask), as _repeated_windows, with no group of a core: each
+    window is a row, and what comes together is (core, window). A window that comes once gives its bit back."""
+    size = F.length("left") + F.length("right") - (FINE - 2)
+    around = F.expr(f"concat(substring(left, k + 1, length(left) - k), substring(right, 1, k + {FINE - 1} - length(left)))")
+    rows = counted.select("core", "whole", "left", "right", "n", F.explode(F.sequence(F.lit(0), (size - 1).cast("int"))).alias("k"))
+    windows = rows.select("core", F.xxhash64(F.length("left") - F.col("k"), around).alias("window"), "whole", "k", "n")
+    single = windows.groupBy("core", "window").agg(F.sum("n").alias("n"), F.min("whole").alias("whole"), F.min("k").alias("k")).where("n = 1")
+    every = counted.select("core", "whole", (F.expr("shiftleft(1L, cast(length(left) + length(right) as int) - %d)" % (FINE - 2)) - 1).alias("all"), F.lit(0).cast("long").alias("one"))
+    ones = single.select("core", "whole", F.lit(0).cast("long").alias("all"), F.expr("shiftleft(1L, k)").alias("one"))
+    both = every.union(ones).groupBy("core", "whole").agg(F.bit_or("all").alias("all"), F.bit_or("one").alias("one"))
+    return both.select("core", "whole", F.col("all").bitwiseAND(F.bitwise_not("one")).alias("mask")).where("mask <> 0")
+
+
 def spans_of(ats: list[int], masks: list[int], length: int) -> tuple[np.ndarray, np.ndarray]:
     """(begins, ends) of the removed runs: windows that overlap or touch are one."""
     bits = (np.array(masks, "int64")[:, None] >> np.arange(FINE)) & 1
@@ -217,15 +242,23 @@ def spans_of(ats: list[int], masks: list[int], length: int) -> tuple[np.ndarray,
     return starts[np.append(0, edge + 1)], starts[np.append(edge, len(starts) - 1)] + length
 
 
-def removed_spans(docs: DataFrame, *, length: int = LENGTH, shard_symbols: int = 100_000, task_symbols: int = 400_000) -> DataFrame:
+def removed_spans(docs: DataFrame, *, length: int = LENGTH, shard_symbols: int = 100_000, task_symbols: int = 400_000, most_strings: int = 2048, broadcast_cores: int = 1_000_000) -> DataFrame:
     """docs(rid, text) -> (rid, begins, ends): removed runs of the documents that lose bytes."""
     left = _not_alone(_core_rows(docs, length)).distinct()
     places = left.groupBy("rid").agg(F.collect_list("at").alias("ats"))  # at most a few for each 95 bytes of the document
     rows = written(_window_rows(docs.join(places.hint("merge"), "rid"), length))
     # Equal strings are counted first; a core that comes once only has nothing to be equal to.
-    counted = rows.groupBy("core", "left", "right", "whole").agg(F.count("*").alias("n"))
-    dealt = counted.repartition("core").sortWithinPartitions("core", "whole")
-    masks = written(_repeated_windows(dealt, shard_symbols, task_symbols))
+    count = lambda r: r.groupBy("core", "left", "right", "whole").agg(F.count("*").alias("n"))
+    crowded, few = written(_crowded_cores(rows, most_strings)), rows
+    n = crowded.count()
+    if n:
+        crowded = F.broadcast(crowded) if n <= broadcast_cores else crowded
+        few = rows.join(crowded, "core", "left_anti")
+    dealt = count(few).repartition("core").sortWithinPartitions("core", "whole")
+    masks = _repeated_windows(dealt, shard_symbols, task_symbols)
+    if n:
+        masks = masks.union(_windows_one_by_one(count(rows.join(crowded, "core", "left_semi"))))
+    masks = written(masks)
     hit = rows.select("core", "whole", "rid", "at").join(masks, ["core", "whole"])
     hits = hit.groupBy("rid").agg(F.collect_list("at").alias("ats"), F.collect_list("mask").alias("masks"))
 

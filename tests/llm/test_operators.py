@@ -127,6 +127,32 @@ def test_suffix_dedup(spark, docs, empty):
     assert cut.columns == docs.columns and cut.where("text is not null and n_chars <> char_length(text)").count() == 0
 
 
+def test_suffix_dedup_of_a_crowded_core(spark, monkeypatch):
+    rng = random.Random(8)
+    passage = words(rng, 90)[:420]
+    texts = [words(rng, 40) + f" {i} " + passage[: 385 + i % 36] + f" {i * 7} " + words(rng, 40) for i in range(90)]
+    rows = [(i, t) for i, t in enumerate([*texts, *texts[:5], words(rng, 200), None])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    whole, one_by_one, crowded = repeats._repeated_windows, repeats._windows_one_by_one, []
+    most = 12
+
+    def few(strings, *rest):
+        assert strings.groupBy("core").count().where(f"count > {most}").count() == 0
+        return whole(strings, *rest)
+
+    def many(strings):
+        crowded.append(strings.groupBy("core").count().where(f"count > {most}").count())
+        return one_by_one(strings)
+
+    monkeypatch.setattr(repeats, "_repeated_windows", few)
+    monkeypatch.setattr(repeats, "_windows_one_by_one", many)
+    for cores in (1_000_000, 0):
+        out = repeats.remove_repeats(docs, most_strings=most, broadcast_cores=cores)
+        kept = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in out.collect()]
+        assert sorted(kept, key=key) == removed_by_hand(rows)
+    assert len(crowded) == 2 and min(crowded) > 0
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.lists(st.integers(1, 3), min_size=5, max_size=12), min_size=1, max_size=12), st.integers(6, 60))
 def test_bwt_merge_finds_repeats(strings, shard):
