@@ -1,7 +1,8 @@
 """License scans by conditional compression.
 
-Candidate blocks are the runs of lines that hold a cue word, cut into windows of at most `window` words with an overlap
-of half a window, so a text of any length is scanned whole. Each block is compressed with zstandard alone and with every
+Candidate blocks are the words around each cue, across line ends, as many on both sides as the longest template may take
+with its differences; blocks that overlap are one. They are cut into windows of at most `window` words with an overlap of
+half a window, so a text of any length is scanned whole. Each block is compressed with zstandard alone and with every
 template as a raw-content dictionary; a template that says what the block says makes it much smaller. The templates are
 ranked by that reduction, and the leaders are confirmed by their exact wording: words of the template that the block
 lacks, and words that it has in between, may be no more than a stated share of the template.
@@ -12,9 +13,10 @@ reductions the one with fewer differences, then the first template, wins; rows t
 
 from __future__ import annotations
 
-import difflib
 import re
+from bisect import bisect_left, bisect_right
 
+import numpy as np
 from pyspark.sql import DataFrame
 
 from .shared import by_batch, read_table
@@ -43,7 +45,8 @@ TEMPLATES = {
     "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0.",
     "proprietary": "All rights reserved.",
 }
-CUES = (b"licen", b"permission", b"redistribut", b"free software", b"public domain", b"rights reserved", b"cc by", b"cc0")
+# Words of a cue may stand on two lines, with comment marks between.
+_CUES = re.compile(r"licen|permission|redistribut|free[\W_]+software|public[\W_]+domain|rights[\W_]+reserved|cc[\W_]+by|cc0")
 _WORDS = re.compile(r"[^\W_]+(?:[.+][^\W_]+)*")
 
 
@@ -58,33 +61,46 @@ class Scanner:
         self.window, self.least, self.most, self.leaders = window, least_reduction, most_differences, leaders
         self.plain = z.ZstdCompressor(level=3, write_content_size=False)
         self.known = []
+        self.margin = max((int(len(words_of(t)) * (1 + most_differences)) for t in templates.values()), default=0)
         for name, text in templates.items():
             data = z.ZstdCompressionDict(text.encode(), dict_type=z.DICT_TYPE_RAWCONTENT)
             self.known.append((name, words_of(text), z.ZstdCompressor(level=3, dict_data=data, write_content_size=False, write_dict_id=False)))
 
     def blocks(self, text: str) -> list[str]:
-        low = text.encode("utf-8", "replace").lower()
-        if not any(c in low for c in CUES):
+        cues = [m.span() for m in _CUES.finditer(text.lower())]
+        if not cues:
             return []
-        out, run = [], []
-        for line in [*text.split("\n"), ""]:
-            low = line.encode("utf-8", "replace").lower()
-            if any(c in low for c in CUES):
-                run += line.split()
-            elif run:
-                step = max(1, self.window // 2)
-                out += [" ".join(run[k : k + self.window]) for k in range(0, max(1, len(run) - step), step)]
-                run = []
+        text = text.lower() if len(text.lower()) != len(text) else text  # a few capitals grow: then cues have other places
+        words = [m.span() for m in _WORDS.finditer(text)]
+        begins, ends = [w[0] for w in words], [w[1] for w in words]
+        runs = []
+        for begin, end in cues:
+            a, b = max(0, bisect_right(ends, begin) - self.margin), min(len(words), bisect_left(begins, end) + self.margin)
+            if runs and a <= runs[-1][1]:
+                runs[-1][1] = b
+            else:
+                runs.append([a, b])
+        step, out = max(1, self.window // 2), []
+        for a, b in runs:
+            for k in range(a, max(a + 1, b - step), step):
+                z = min(b, k + self.window)
+                out.append(" ".join(text[begins[k] : begins[z] if z < len(words) else len(text)].split()))
         return out
 
     def differences(self, template: list[str], block: list[str]) -> int:
         """Template words that the best alignment leaves out, and block words between those it matches."""
-        found = [m for m in difflib.SequenceMatcher(None, template, block, autojunk=False).get_matching_blocks() if m.size]
-        if not found:
+        most = int(self.most * len(template))
+        have = set(block)
+        if sum(w not in have for w in template) > most:
             return len(template)
-        span = found[-1].b + found[-1].size - found[0].b
-        matched = sum(m.size for m in found)
-        return len(template) - matched + span - matched
+        places = np.arange(len(block) + 1)
+        row = np.zeros(len(block) + 1, "int64")  # by where the alignment ends; it may begin anywhere
+        for w in template:
+            new = row + 1
+            equal = np.flatnonzero([w == x for x in block]) + 1
+            new[equal] = np.minimum(new[equal], row[equal - 1])
+            row = np.minimum.accumulate(new - places) + places
+        return int(row.min())
 
     def block(self, block: str) -> tuple[str, float, int] | None:
         """(template, reduction, differences) of the winner, if it is confirmed."""

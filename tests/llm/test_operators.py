@@ -257,6 +257,20 @@ def test_license_scan(docs, empty):
     assert licenses.license_scan(docs).count() == docs.count() and licenses.license_scan(empty).count() == 0
 
 
+@pytest.mark.parametrize("width", [40, 60, 80])
+def test_license_scan_of_wrapped_notices(width):
+    import textwrap
+
+    s = licenses.Scanner(licenses.TEMPLATES)
+    rng = random.Random(width)
+    for name, template in licenses.TEMPLATES.items():
+        for before in (0, 3, 200):
+            text = f"{words(rng, before)} {template} {words(rng, before)}"
+            for mark in ("", "# ", " * "):
+                wrapped = "\n".join(mark + x for x in textwrap.wrap(text, width, break_long_words=False, break_on_hyphens=False))
+                assert s.text(wrapped)[3] == name, (name, before, mark)
+
+
 def _auc(y, z):
     r = np.argsort(np.argsort(z)) + 1
     return (r[y].sum() - y.sum() * (y.sum() + 1) / 2) / (y.sum() * (~y).sum())
