@@ -2,13 +2,14 @@
 
 Candidate blocks are the words around each cue, across line ends, as many on both sides as the longest template may take
 with its differences; blocks that overlap are one. They are cut into windows of at most `window` words with an overlap of
-half a window, so a text of any length is scanned whole. Each block is compressed with zstandard alone and with every
-template as a raw-content dictionary; a template that says what the block says makes it much smaller. The templates are
-ranked by that reduction, and the leaders are confirmed by their exact wording: words of the template that the block
-lacks, and words that it has in between, may be no more than a stated share of the template.
-
-Defined results: a null or empty text has no blocks; a document without a confirmed template has license null; of equal
-reductions the one with fewer differences, then the first template, wins; rows that repeat are scanned each.
+half a window, so a text of any length is scanned whole. The exact wording tells where in a block a template may stand:
+words of the template that the stretch lacks, and words that it has in between, may be no more than a stated share of
+the template. Each such stretch is compressed with zstandard alone and with the template as a raw-content dictionary,
+and confirmed if the template makes it much smaller, whatever else is in the block. Of stretches that overlap, the one
+with most matched words less differences stays, then the greater reduction, then the first template.
+
+Defined results: a null or empty text has no blocks; a document without a confirmed template has license null; license
+is the confirmed one with fewest differences, then the greatest reduction, then by name; rows that repeat are scanned each.
 """
 
 from __future__ import annotations
@@ -55,10 +56,10 @@ def words_of(text: str) -> list[str]:
 
 
 class Scanner:
-    def __init__(self, templates: dict[str, str], *, window: int = 300, least_reduction: float = 0.2, most_differences: float = 0.2, leaders: int = 3):
+    def __init__(self, templates: dict[str, str], *, window: int = 300, least_reduction: float = 0.2, most_differences: float = 0.2):
         import zstandard as z
 
-        self.window, self.least, self.most, self.leaders = window, least_reduction, most_differences, leaders
+        self.window, self.least, self.most = window, least_reduction, most_differences
         self.plain = z.ZstdCompressor(level=3, write_content_size=False)
         self.known = []
         self.margin = max((int(len(words_of(t)) * (1 + most_differences)) for t in templates.values()), default=0)
@@ -66,7 +67,8 @@ class Scanner:
             data = z.ZstdCompressionDict(text.encode(), dict_type=z.DICT_TYPE_RAWCONTENT)
             self.known.append((name, words_of(text), z.ZstdCompressor(level=3, dict_data=data, write_content_size=False, write_dict_id=False)))
 
-    def blocks(self, text: str) -> list[str]:
+    def blocks(self, text: str) -> list[tuple[int, str]]:
+        """(number of its first word in the text, block)"""
         cues = [m.span() for m in _CUES.finditer(text.lower())]
         if not cues:
             return []
@@ -84,49 +86,52 @@ class Scanner:
         for a, b in runs:
             for k in range(a, max(a + 1, b - step), step):
                 z = min(b, k + self.window)
-                out.append(" ".join(text[begins[k] : begins[z] if z < len(words) else len(text)].split()))
+                out.append((k, " ".join(text[begins[k] : begins[z] if z < len(words) else len(text)].split())))
         return out
 
-    def differences(self, template: list[str], block: list[str]) -> int:
-        """Template words that the best alignment leaves out, and block words between those it matches."""
-        most = int(self.most * len(template))
+    def matches(self, template: list[str], block: list[str]) -> list[tuple[int, int, int]]:
+        """(begin, end, differences) by end, of the best alignments with few enough differences: template words left out,
+        and block words between those matched."""
+        most = self.most * len(template)
         have = set(block)
         if sum(w not in have for w in template) > most:
-            return len(template)
+            return []
         places = np.arange(len(block) + 1)
-        row = np.zeros(len(block) + 1, "int64")  # by where the alignment ends; it may begin anywhere
+        row, begin = np.zeros(len(block) + 1, "int64"), places  # by where the alignment ends; it may begin anywhere
         for w in template:
-            new = row + 1
+            new, start = row + 1, begin.copy()
             equal = np.flatnonzero([w == x for x in block]) + 1
-            new[equal] = np.minimum(new[equal], row[equal - 1])
-            row = np.minimum.accumulate(new - places) + places
-        return int(row.min())
-
-    def block(self, block: str) -> tuple[str, float, int] | None:
-        """(template, reduction, differences) of the winner, if it is confirmed."""
-        data = block.encode("utf-8", "replace")
-        alone = len(self.plain.compress(data))
-        words = words_of(block)
-        # How many bytes a template saves, against the bytes that it would take by itself.
-        gains = sorted(((1 - len(c.compress(data)) / alone, -k) for k, (_, _, c) in enumerate(self.known)), reverse=True)
-        winners = []
-        for gain, k in gains[: self.leaders]:
-            name, template, _ = self.known[-k]
-            if gain < min(self.least, 0.5 * len(template) / max(1, len(words))):
-                continue
-            n = self.differences(template, words)
-            if n <= self.most * len(template):
-                winners.append((-round(gain, 6), n, -k, name))
-        if not winners:
-            return None
-        # Leaders within a byte of each other are told apart by wording.
-        top = min(winners)
-        close = min((w for w in winners if w[0] <= top[0] + 1.01 / alone), key=lambda w: (w[1], w[0], w[2]))
-        return close[3], -close[0], close[1]
+            equal = equal[row[equal - 1] <= new[equal]]
+            new[equal], start[equal] = row[equal - 1], begin[equal - 1]
+            ahead = new - places
+            least = np.minimum.accumulate(ahead)
+            source = np.maximum.accumulate(np.where(ahead == least, places, 0))
+            row, begin = least + places, start[source]
+        ends = np.flatnonzero((row <= most) & (begin < places))
+        return list(zip(begin[ends].tolist(), ends.tolist(), row[ends].tolist(), strict=True))
+
+    def block(self, block: str) -> list[tuple[int, float, int, int, int, int]]:
+        """(matched words less differences, reduction, -template, begin, end, differences) of all matches confirmed."""
+        places = [m.span() for m in _WORDS.finditer(block)]
+        words = [block[a:b].lower() for a, b in places]
+        out = []
+        for k, (_, template, c) in enumerate(self.known):
+            for begin, end, n in self.matches(template, words):
+                data = block[places[begin][0] : places[end - 1][1]].encode("utf-8", "replace")
+                gain = 1 - len(c.compress(data)) / len(self.plain.compress(data))
+                if gain >= self.least:
+                    out.append(((len(template) + end - begin - n) // 2 - n, round(gain, 6), -k, begin, end, n))
+        return out
 
     def text(self, text: str | None) -> tuple[int, int, str | None, str | None, float | None, int | None]:
         blocks = self.blocks(text or "")
-        found = [x for x in map(self.block, blocks) if x]
+        every = [(score, gain, k, at + begin, at + end, n) for at, b in blocks for score, gain, k, begin, end, n in self.block(b)]
+        found, taken = [], []
+        for _, gain, k, begin, end, n in sorted(every, key=lambda m: (-m[0], -m[1], -m[2], m[3], m[4])):
+            at = bisect_left(taken, (begin, end))
+            if (at == 0 or taken[at - 1][1] <= begin) and (at == len(taken) or end <= taken[at][0]):
+                taken.insert(at, (begin, end))
+                found.append((self.known[-k][0], gain, n))
         if not found:
             return len(blocks), 0, None, None, None, None
         best = min(found, key=lambda x: (x[2], -x[1], x[0]))
@@ -134,7 +139,7 @@ class Scanner:
 
 
 def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, **options) -> DataFrame:
-    """n_blocks, n_confirmed, licenses (all, by name), license, reduction and n_differences of the best, for every row."""
+    """n_blocks, n_confirmed (notices that do not overlap), licenses (all, by name), license, reduction and n_differences of the best, for every row."""
     templates = templates or TEMPLATES
 
     def start():

@@ -271,6 +271,20 @@ def test_license_scan_of_wrapped_notices(width):
                 assert s.text(wrapped)[3] == name, (name, before, mark)
 
 
+def test_license_scan_returns_every_notice():
+    s = licenses.Scanner(licenses.TEMPLATES)
+    two = s.text("Released under the MIT License.\nLicensed under the Apache License, Version 2.0.")
+    assert two[1:3] == (2, "Apache-2.0,MIT")
+    rng = random.Random(4)
+    names = list(licenses.TEMPLATES)
+    for k in range(40):
+        chosen = rng.sample(names, len(names) if k == 0 else rng.randrange(1, 9))
+        got = s.text(f"\n{words(rng, rng.choice([0, 2, 30]))}\n".join(licenses.TEMPLATES[n] for n in chosen))
+        assert got[1:3] == (len(chosen), ",".join(sorted(chosen))), chosen
+    again = s.text(("Released under the MIT License. " + words(rng, 100) + "\n") * 6)
+    assert again[1:3] == (6, "MIT")
+
+
 def _auc(y, z):
     r = np.argsort(np.argsort(z)) + 1
     return (r[y].sum() - y.sum() * (y.sum() + 1) / 2) / (y.sum() * (~y).sum())
