@@ -347,8 +347,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(run, "u long, v long")
 
 
-def ngram_join(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT, kept: int = 96, tries: int = 64, few: int = 32, broadcast_rows: int = 500_000) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of docs(doc_id, text)."""
+def _row_hash():
+    """Names a row, null doc_id or not."""
+    return F.xxhash64("doc_id", "text")
+
+
+def _parts(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT, kept: int = 96, tries: int = 64, few: int = 32, broadcast_rows: int = 500_000) -> DataFrame:
+    """(row, doc_id, n_shingles, part) for every row of docs(doc_id, text): part names the component, null without shingles."""
     import xxhash
 
     def small(df: DataFrame) -> DataFrame:
@@ -361,26 +366,26 @@ def ngram_join(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT, k
     def first_start():
         shingles = Shingles(words)
 
-        def work(doc_ids, texts):
+        def work(rows, doc_ids, texts):
             sets = [shingles.of(t) for t in texts]
-            return [doc_ids, [node_of(s) if len(s) else None for s in sets], [len(s) for s in sets], _array([s[: _prefix(len(s), percent)] for s in sets])]
+            return [rows, doc_ids, [node_of(s) if len(s) else None for s in sets], [len(s) for s in sets], _array([s[: _prefix(len(s), percent)] for s in sets])]
 
         return work
 
-    table = written(by_batch(docs, ["doc_id", "text"], "doc_id long, node long, n long, prefix array<long>", first_start))
+    table = written(by_batch(docs, [_row_hash().alias("row"), "doc_id", "text"], "row long, doc_id long, node long, n long, prefix array<long>", first_start))
     some = table.where("n > 0")
-    nodes = some.groupBy("node").agg(F.min("n").alias("n"), F.min("doc_id").alias("own"))
+    nodes = some.groupBy("node").agg(F.min("n").alias("n"), F.min("row").alias("own"))
     left = written(_enough(_in_other_sets(some), nodes, percent))
 
     def sets_of(nodes_: DataFrame, second_prefix: bool) -> DataFrame:
-        """The sets of nodes_(node, own), one document a node, or their prefixes under the second order."""
+        """The sets of nodes_(node, own), one row a node, or their prefixes under the second order."""
 
         def start():
             shingles = Shingles(words)
 
             def work(nodes_, texts):
                 sets = [shingles.of(t) for t in texts]
-                # Another row may have the doc_id of a node's document with another text.
+                # Another row may have the hash of a node's row.
                 pairs = [(k, s) for k, s in zip(nodes_, sets, strict=True) if len(s) and node_of(s) == k]
                 keys, values = [p[0] for p in pairs], [p[1] for p in pairs]
                 second = [np.sort(_second(s)) for s in values]
@@ -392,12 +397,12 @@ def ngram_join(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT, k
             return work
 
         schema = "node long, n long, prefix array<long>" if second_prefix else "node long, n long, tokens array<long>, first long, second long"
-        return by_batch(docs.select("doc_id", "text").join(small(nodes_.select(F.col("own").alias("doc_id"), "node")), "doc_id"), ["node", "text"], schema, start)
+        return by_batch(docs.select(_row_hash().alias("row"), "text").join(small(nodes_.select(F.col("own").alias("row"), "node")), "row"), ["node", "text"], schema, start)
 
     prefixes = written(sets_of(left, True))
     again = _enough(_in_other_sets(prefixes.select("node", "prefix")), left, percent)
     sets = sets_of(written(again), False)
-    if table.groupBy("doc_id").count().where("count > 1").limit(1).count():
+    if table.groupBy("row").count().where("count > 1").limit(1).count():
         sets = sets.dropDuplicates(["node"])
     # Kept in ranges of the first token: near copies mostly lie together.
     sets = written(sets.repartitionByRange("first", "node"))
@@ -420,7 +425,13 @@ def ngram_join(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT, k
             handy = small(label)
             rows = labelled(rows)
 
-    linked = table.select("doc_id", F.col("n").alias("n_shingles"), "node").join(label, "node", "left").withColumn("part", F.coalesce("component", "node"))
+    return table.select("row", "doc_id", F.col("n").alias("n_shingles"), "node").join(label, "node", "left").select("row", "doc_id", "n_shingles", F.coalesce("component", "node").alias("part"))
+
+
+def ngram_join(docs: DataFrame, **options) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of docs(doc_id, text). Rows with a null doc_id link others and get
+    their component_id; it is null where all of a component have none."""
+    linked = _parts(docs, **options)
     least = linked.where("part is not null").groupBy("part").agg(F.min("doc_id").alias("component_id"))
     return linked.join(least, "part", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 

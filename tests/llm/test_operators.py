@@ -196,6 +196,19 @@ def test_ngram_join(spark, docs, empty, options):
         assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} >= {0, 4, 5}
 
 
+def _bridge():
+    """Two texts that only the one between links, by 4-word shingles at 85 %."""
+    base = words(random.Random(6), 200, 10**6).split()
+    return " ".join([f"a{k}" for k in range(10)] + base[10:]), " ".join(base), " ".join(base[:-10] + [f"b{k}" for k in range(10)])
+
+
+def test_ngram_join_through_a_null_id(spark):
+    a, base, b = _bridge()
+    rows = [(1, a), (None, base), (2, b), (3, words(random.Random(7), 90))]
+    got = rows_of(ngram_join.ngram_join(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "component_id"))
+    assert got == sorted([(1, 1), (None, 1), (2, 1), (3, 3)], key=key)
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(0, 30)] + [(100, 101), (101, 100), (5, 5), (200, 150), (200, 151)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
