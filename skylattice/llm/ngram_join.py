@@ -437,13 +437,16 @@ def ngram_join(docs: DataFrame, **options) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, broadcast_rows: int = 1_000_000, **options) -> DataFrame:
-    """The rows of docs whose document has the least doc_id of its component, with all their columns. Rows with one
-    doc_id stay or go together, but exact repeats of a row's doc_id and text are given once."""
-    joined = written(ngram_join(docs, **options))
-    gone = joined.where("component_id <> doc_id").select("doc_id").distinct()
+    """Of each component the row with the least doc_id (null is the greatest; of equal ones that with the least hash of
+    doc_id and text), and the rows without shingles, with all their columns. Rows that share a doc_id are decided each;
+    exact repeats of a row's doc_id and text are given once."""
+    joined = written(_parts(docs, **options))
+    some = joined.where("part is not null")
+    first = some.groupBy("part").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "row")).alias("first"))
+    gone = written(some.join(first, "part").where("row <> first.row").select(F.col("row").alias("_row")).distinct())
     gone = F.broadcast(gone) if gone.count() <= broadcast_rows else gone.hint("merge")
-    kept = docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
-    repeated = joined.where("n_shingles > 0").groupBy("doc_id").count().where("count > 1").limit(1).count()
+    kept = docs.withColumn("_row", _row_hash()).join(gone, "_row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    repeated = some.groupBy("row").count().where("count > 1").limit(1).count()
     return kept.dropDuplicates(["doc_id", "text"]) if repeated else kept
 
 

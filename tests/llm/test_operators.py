@@ -209,6 +209,15 @@ def test_ngram_join_through_a_null_id(spark):
     assert got == sorted([(1, 1), (None, 1), (2, 1), (3, 3)], key=key)
 
 
+def test_one_of_each_decides_by_row(spark):
+    a, base, b = _bridge()
+    other, clean, lone = (words(random.Random(s), 90) for s in (11, 12, 13))
+    rows = [(1, a), (None, base), (2, b), (2, clean), (4, other), (4, other + " end"), (None, lone), (None, lone + " end"), (5, ""), (5, "")]
+    got = ngram_join.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.text for r in got if r.doc_id in (1, 2)), key=str) == sorted([a, clean])
+    assert sum(r.doc_id == 4 for r in got) == 1 and sum(r.doc_id is None for r in got) == 1
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(0, 30)] + [(100, 101), (101, 100), (5, 5), (200, 150), (200, 151)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
