@@ -94,22 +94,23 @@ def without_markers(listing: DataFrame) -> DataFrame:
     return listing.where(~F.col("key").endswith("/")).join(empty, "key", "left_anti")
 
 
-def matched_frame(queries: DataFrame, frames: DataFrame, tolerance_hours: int = 1) -> DataFrame:
-    """queries(qid, t), frames(fid, sensing): the one frame within the tolerance of the query's full hour. status OK,
-    NONE or MULTIPLE. Hour buckets make the interval an equi-join."""
+def matched_frame(queries: DataFrame, frames: DataFrame, tolerance_hours: int = 1, keys: list[str] | None = None) -> DataFrame:
+    """queries(qid, t, keys), frames(fid, sensing, keys): the one frame of the same keys within the tolerance of the
+    query's full hour. status OK, NONE or MULTIPLE. Hour buckets make the interval an equi-join."""
     hour = F.date_trunc("hour", "t")
     bucket = lambda c: F.floor(F.unix_timestamp(c) / 3600).cast("long")
     q = queries.withColumn("_h", hour).withColumn("_b", F.explode(F.sequence(bucket(F.col("_h")) - tolerance_hours, bucket(F.col("_h")) + tolerance_hours)))
     f = frames.withColumn("_b", bucket(F.col("sensing")))
-    near = q.join(f, "_b").where(F.abs(F.unix_timestamp("sensing") - F.unix_timestamp("_h")) <= tolerance_hours * 3600)
+    near = q.join(f, [*(keys or []), "_b"]).where(F.abs(F.unix_timestamp("sensing") - F.unix_timestamp("_h")) <= tolerance_hours * 3600)
     hits = near.groupBy("qid").agg(F.count("*").alias("n"), F.min("fid").alias("fid"))
     out = queries.select("qid").join(hits, "qid", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     status = F.when(F.col("n") == 0, "NONE").when(F.col("n") == 1, "OK").otherwise("MULTIPLE")
     return out.select("qid", "n", status.alias("status"), F.when(F.col("n") == 1, F.col("fid")).alias("fid"))
 
 
-def covering(times: DataFrame, spans: DataFrame, bucket_seconds: int) -> DataFrame:
-    """times(tid, t) with the spans(sid, start, stop) that hold t; buckets of a span's usual length make it an equi-join."""
+def covering(times: DataFrame, spans: DataFrame, bucket_seconds: int, keys: list[str] | None = None) -> DataFrame:
+    """times(tid, t, keys) with the spans(sid, start, stop, keys) of the same keys that hold t; buckets of a span's usual
+    length make it an equi-join."""
     b = lambda c: F.floor(F.unix_timestamp(c) / bucket_seconds).cast("long")
     s = spans.withColumn("_b", F.explode(F.sequence(b(F.col("start")), b(F.col("stop")))))
-    return times.withColumn("_b", b(F.col("t"))).join(s, "_b").where("start <= t and t <= stop").drop("_b")
+    return times.withColumn("_b", b(F.col("t"))).join(s, [*(keys or []), "_b"]).where("start <= t and t <= stop").drop("_b")

@@ -94,34 +94,49 @@ def io08_provenance(spark, sf_dir):
     return table(spark, sf_dir, "benchmark").select("item_id", F.sha2("text", 256).alias("sha256"), F.char_length("text").alias("size"))
 
 
-@REG.add("with q as (select o_orderkey as qid, o_orderdate + to_seconds(o_orderkey % 86400) as t from orders where o_orderkey % 7 = 0), f as (select event_id as fid, ts as sensing from events where event_id % 10 = 0), h as (select qid, count(fid) as n, min(fid) as fid from q left join f on abs(epoch(sensing)::bigint - epoch(date_trunc('hour', t))::bigint) <= 3600 group by 1) select qid, n, case n when 0 then 'NONE' when 1 then 'OK' else 'MULTIPLE' end as status, case n when 1 then fid end as fid from h")
+@REG.add(
+    """with q as (select event_id as qid, user_id as track, ts as t from events),
+f as (select event_id as fid, user_id as track, ts as sensing from events where event_type = 'view'),
+h as (select qid, count(fid) as n, min(fid) as fid from q
+  left join f on q.track = f.track and abs(epoch(date_trunc('second', sensing))::bigint - epoch(date_trunc('hour', t))::bigint) <= 3600 group by 1)
+select qid, n, case n when 0 then 'NONE' when 1 then 'OK' else 'MULTIPLE' end as status, case n when 1 then fid end as fid from h"""
+)
 def j01_frame_by_hour(spark, sf_dir):
-    q = table(spark, sf_dir, "orders").where("o_orderkey % 7 = 0").select(F.col("o_orderkey").alias("qid"), F.expr("o_orderdate + make_dt_interval(0, 0, 0, o_orderkey % 86400)").alias("t"))
-    f = table(spark, sf_dir, "events").where("event_id % 10 = 0").select(F.col("event_id").alias("fid"), F.date_trunc("second", "ts").alias("sensing"))
-    return C.matched_frame(q, f)
+    e = table(spark, sf_dir, "events").withColumnRenamed("user_id", "track")
+    frames = e.where("event_type = 'view'").select("track", F.col("event_id").alias("fid"), F.date_trunc("second", "ts").alias("sensing"))
+    return C.matched_frame(e.select("track", F.col("event_id").alias("qid"), F.col("ts").alias("t")), frames, keys=["track"])
 
 
-_SPANS = "s as (select event_id as sid, ts as start, ts + interval 2 hour as stop, event_id % 4 as rank from events where event_id % 10 = 0), q as (select event_id as tid, ts as t from events where event_id % 7 = 0)"
+_SPANS = """s as (select event_id as sid, user_id as track, ts as start, ts + interval 2 hour as stop from events where event_type in ('view', 'click')),
+q as (select event_id as tid, user_id as track, ts as t from events)"""
 
 
 def _spans(spark, sf_dir):
-    e = table(spark, sf_dir, "events")
-    s = e.where("event_id % 10 = 0").select(F.col("event_id").alias("sid"), F.col("ts").alias("start"), F.expr("ts + interval 2 hours").alias("stop"), (F.col("event_id") % 4).alias("rank"))
-    return e.where("event_id % 7 = 0").select(F.col("event_id").alias("tid"), F.col("ts").alias("t")), s
+    """All events as times, views and clicks as the start of spans of two hours."""
+    e = table(spark, sf_dir, "events").withColumnRenamed("user_id", "track")
+    starts = e.where("event_type in ('view', 'click')")
+    s = starts.select("track", F.col("event_id").alias("sid"), F.col("ts").alias("start"), F.expr("ts + interval 2 hours").alias("stop"))
+    return e.select("track", F.col("event_id").alias("tid"), F.col("ts").alias("t")), s
 
 
-@REG.add(f"with {_SPANS}, c as (select tid, min(sid) as first_sid, count(*) as n from q join s on t between start and stop group by 1) select q.tid, c.first_sid, coalesce(n, 0) as n from q left join c using (tid)")
+@REG.add(
+    f"""with {_SPANS}, c as (select tid, min(sid) as first_sid, count(*) as n from q join s on q.track = s.track and t between start and stop group by 1)
+select q.tid, c.first_sid, coalesce(n, 0) as n from q left join c using (tid)"""
+)
 def j02_j03_orbit_assignment(spark, sf_dir):
     q, s = _spans(spark, sf_dir)
-    c = C.covering(q, s, 7200).groupBy("tid").agg(F.min("sid").alias("first_sid"), F.count("*").alias("n"))
+    c = C.covering(q, s, 7200, keys=["track"]).groupBy("tid").agg(F.min("sid").alias("first_sid"), F.count("*").alias("n"))
     return q.select("tid").join(c, "tid", "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
-@REG.add(f"with {_SPANS}, c as (select tid, sid, row_number() over (partition by tid order by abs(epoch_us(t) - (epoch_us(start) + 3600000000)), sid) as r from q join s on t between start and stop) select tid, sid from c where r = 1")
+@REG.add(
+    f"""with {_SPANS}, c as (select tid, sid, row_number() over (partition by tid order by abs(epoch_us(t) - (epoch_us(start) + 3600000000)), sid) as r
+from q join s on q.track = s.track and t between start and stop) select tid, sid from c where r = 1"""
+)
 def j04_slice_containing(spark, sf_dir):
     q, s = _spans(spark, sf_dir)
     gap = F.abs(F.unix_micros(F.col("t").cast("timestamp")) - (F.unix_micros(F.col("start").cast("timestamp")) + 3600000000))
-    return C.first_by(C.covering(q, s, 7200), ["tid"], gap, F.col("sid")).select("tid", "sid")
+    return C.first_by(C.covering(q, s, 7200, keys=["track"]), ["tid"], gap, F.col("sid")).select("tid", "sid")
 
 
 @REG.add(with_tables("items") + ", r as (select *, row_number() over (partition by sensing::date order by (hour(sensing) = 6) desc, abs(minute(sensing) - 30), id) as k from items) select sensing::date as day, id from r where k = 1")
@@ -161,11 +176,11 @@ def j11_first_winner(spark, sf_dir):
     return rounded(c.join(w, "tile").where(F.col("rank") <= F.coalesce("winner", F.lit(99))))
 
 
-@REG.add(with_tables("polygons") + ", b as (select id, cx - half as x0, cx + half as x1, cy - half as y0, cy + half as y1 from polygons) select a.id as aid, b.id as bid from b a join b on a.x0 <= b.x1 and b.x0 <= a.x1 and a.y0 <= b.y1 and b.y0 <= a.y1 where a.id % 5 = 0")
+@REG.add(with_tables("polygons") + ", b as (select id, cx - half as x0, cx + half as x1, cy - half as y0, cy + half as y1 from polygons) select a.id as aid, b.id as bid from b a join b on a.x0 <= b.x1 and b.x0 <= a.x1 and a.y0 <= b.y1 and b.y0 <= a.y1")
 def g01_boxes_meeting(spark, sf_dir):
     p = table(spark, sf_dir, "polygons")
     box = lambda name: p.select(F.col("id").alias(name), (F.col("cx") - F.col("half")).alias("xmin"), (F.col("cx") + F.col("half")).alias("xmax"), (F.col("cy") - F.col("half")).alias("ymin"), (F.col("cy") + F.col("half")).alias("ymax"))
-    return G.boxes_meeting(box("aid").where("aid % 5 = 0"), box("bid"), 4.0)
+    return G.boxes_meeting(box("aid"), box("bid"), 4.0)
 
 
 @REG.add(with_tables("polygons") + ", t as (select id, cx - half - 0.2 as west, cx + half + 0.2 as east, cy - half - 0.2 as south, cy + half + 0.2 as north from polygons where id % 3 <> 0), f as (select id, cx as west, cx as east, cy as south, cy as north from polygons where id % 3 = 0 and id % 2 = 0) select p.id, round(coalesce(t.west, f.west), 4) as west, round(coalesce(t.north, f.north), 4) as north, t.id is null and f.id is null as missing from polygons p left join t using (id) left join f using (id)")
@@ -185,9 +200,9 @@ def g04_points_in_polygons(spark, sf_dir):
     return G.points_in_polygons(table(spark, sf_dir, "points").select("pid", "lon", "lat"), p, 4.0)
 
 
-@REG.add(with_tables("points", "polygons") + ", s as (select cx as x0, cy as y0, cx + half as x1, cy - half as y1 from polygons where id % 10 = 0), d as (select pid, lon as x, lat as y, x0, y0, x1, y1, greatest(0, least(1, ((lon - x0) * (x1 - x0) + (lat - y0) * (y1 - y0)) / ((x1 - x0) ^ 2 + (y1 - y0) ^ 2))) as t from points, s) select distinct pid from d where sqrt((x - x0 - t * (x1 - x0)) ^ 2 + (y - y0 - t * (y1 - y0)) ^ 2) <= 1.5")
+@REG.add(with_tables("points", "polygons") + ", s as (select cx as x0, cy as y0, cx + half as x1, cy - half as y1 from polygons), d as (select pid, lon as x, lat as y, x0, y0, x1, y1, greatest(0, least(1, ((lon - x0) * (x1 - x0) + (lat - y0) * (y1 - y0)) / ((x1 - x0) ^ 2 + (y1 - y0) ^ 2))) as t from points, s) select distinct pid from d where sqrt((x - x0 - t * (x1 - x0)) ^ 2 + (y - y0 - t * (y1 - y0)) ^ 2) <= 1.5")
 def g06_distance_buffer(spark, sf_dir):
-    s = table(spark, sf_dir, "polygons").where("id % 10 = 0").select(F.col("cx").alias("x0"), F.col("cy").alias("y0"), (F.col("cx") + F.col("half")).alias("x1"), (F.col("cy") - F.col("half")).alias("y1"))
+    s = table(spark, sf_dir, "polygons").select(F.col("cx").alias("x0"), F.col("cy").alias("y0"), (F.col("cx") + F.col("half")).alias("x1"), (F.col("cy") - F.col("half")).alias("y1"))
     p = table(spark, sf_dir, "points").select("pid", F.col("lon").alias("x"), F.col("lat").alias("y"))
     return G.within_distance(p, s, 1.5).select("pid")
 

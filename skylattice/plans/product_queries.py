@@ -114,14 +114,18 @@ def g05_all_touched(spark, sf_dir):
     return P.touched(table(spark, sf_dir, "grid").select("event_id", "row", "col"), b, 8.0).select("event_id")
 
 
-@REG.add("with q as (select event_id, event_type || '_' || event_id as gid from events where event_id % 50 = 0), l as (select gid, rank, event_type || '_' || event_id || '.' || rank as name from (select event_id, event_type, event_type || '_' || event_id as gid, (event_id // 50) % 3 as rank from events where event_id % 100 = 0 union all select event_id, event_type, event_type || '_' || event_id, 1 from events where event_id % 150 = 0)), r as (select gid, name, row_number() over (partition by gid order by rank, name) as k from l) select event_id, r.name from q left join (select * from r where k = 1) r using (gid)")
+@REG.add(
+    """with e as (select event_id, event_type, event_type || '_' || event_id as gid, user_id % 3 as rank from events),
+l as (select gid, rank, gid || '.' || rank as name from e where event_type = 'view' union all select gid, 1, gid || '.1' from e where event_type in ('view', 'click')),
+r as (select gid, name, row_number() over (partition by gid order by rank, name) as k from l)
+select event_id, r.name from e left join (select * from r where k = 1) r using (gid)"""
+)
 def io11_cached_lookup(spark, sf_dir):
-    gid = F.concat_ws("_", "event_type", "event_id")
-    e = table(spark, sf_dir, "events")
-    a = e.where("event_id % 100 = 0").select(gid.alias("gid"), F.expr("cast((event_id div 50) % 3 as long)").alias("rank"))
-    l = a.unionByName(e.where("event_id % 150 = 0").select(gid.alias("gid"), F.lit(1).cast("long").alias("rank"))).withColumn("name", F.concat_ws(".", "gid", "rank"))
+    e = table(spark, sf_dir, "events").select("event_id", "event_type", F.concat_ws("_", "event_type", "event_id").alias("gid"), (F.col("user_id") % 3).alias("rank"))
+    l = e.where("event_type = 'view'").select("gid", "rank")
+    l = l.unionByName(e.where("event_type in ('view', 'click')").select("gid", F.lit(1).cast("long").alias("rank"))).withColumn("name", F.concat_ws(".", "gid", "rank"))
     first = C.first_by(l, ["gid"], F.col("rank"), F.col("name")).select("gid", "name")
-    return e.where("event_id % 50 = 0").select("event_id", gid.alias("gid")).join(first, "gid", "left").select("event_id", "name")
+    return e.select("event_id", "gid").join(first, "gid", "left").select("event_id", "name")
 
 
 @REG.add("select l_orderkey, bool_or(l_linenumber = 1) and (bool_or(l_returnflag = 'R') or bool_or(l_returnflag = 'A' and l_quantity > 0)) as valid from lineitem group by 1")

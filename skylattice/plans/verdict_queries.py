@@ -158,10 +158,15 @@ def v07_v08_burst_rollup(spark, sf_dir):
     return rounded(b.groupBy("cell").agg(F.count_if(ok).alias("passed"), F.bool_or(look).alias("investigate"), F.coalesce(worst["rmse"], F.lit(-1.0)).alias("worst_rmse"), F.coalesce(worst["burst"], F.lit(-1)).alias("worst_burst")))
 
 
-@REG.add("with a as (select o_custkey % 40 as cell, case o_orderstatus when 'O' then 'PASS' when 'F' then 'FAIL' else 'CALIBRATING' end as s from orders where o_custkey % 3 = 0), b as (select cell, list_sort(list_distinct(list(s))) as s from a group by 1) select cell, case when len(s) = 1 then s[1] when list_contains(s, 'BLOCKER') then 'BLOCKER' when list_contains(s, 'FAIL') and not list_contains(s, 'PASS') and not list_contains(s, 'CALIBRATING') then 'FAIL' else 'MIXED' end as status from b")
+@REG.add(
+    """with a as (select o_custkey || '/' || o_orderpriority as cell, case o_orderstatus when 'O' then 'PASS' when 'F' then 'FAIL' else 'CALIBRATING' end as s from orders),
+b as (select cell, list_sort(list_distinct(list(s))) as s from a group by 1) select cell, case when len(s) = 1 then s[1] when list_contains(s, 'BLOCKER') then 'BLOCKER'
+when list_contains(s, 'FAIL') and not list_contains(s, 'PASS') and not list_contains(s, 'CALIBRATING') then 'FAIL' else 'MIXED' end as status from b"""
+)
 def v09_status_rollup(spark, sf_dir):
     s = F.when(F.col("o_orderstatus") == "O", "PASS").when(F.col("o_orderstatus") == "F", "FAIL").otherwise("CALIBRATING")
-    a = table(spark, sf_dir, "orders").where("o_custkey % 3 = 0").groupBy((F.col("o_custkey") % 40).alias("cell")).agg(F.collect_set(s).alias("s"))
+    cell = F.concat_ws("/", "o_custkey", "o_orderpriority")
+    a = table(spark, sf_dir, "orders").groupBy(cell.alias("cell")).agg(F.collect_set(s).alias("s"))  # of a fixed list of words
     return a.select("cell", V.status(F.col("s")).alias("status"))
 
 
@@ -201,8 +206,8 @@ def v18_v19_difference_and_fit(spark, sf_dir):
     return out.select("scene_id", F.round("half_range", 4).alias("half_range"), F.round("slope", 6).alias("slope"), F.round("lo", 4).alias("lo"), F.round("hi", 4).alias("hi"))
 
 
-@REG.add("select c_custkey, round(coalesce(o.v, c_acctbal), 4) as value, case when o.v is null then 'own' else 'reused' end as origin from customer left join (select o_custkey, max(o_totalprice) as v from orders where o_orderkey % 3 = 0 group by 1) o on o_custkey = c_custkey")
+@REG.add("select c_custkey, round(coalesce(o.v, c_acctbal), 4) as value, case when o.v is null then 'own' else 'reused' end as origin from customer left join (select o_custkey, max(o_totalprice) as v from orders where o_orderstatus = 'F' and o_orderpriority = '1-URGENT' group by 1) o on o_custkey = c_custkey")
 def v20_measurement_reuse(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").where("o_orderkey % 3 = 0").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_totalprice").alias("v"))
+    o = table(spark, sf_dir, "orders").where("o_orderstatus = 'F' and o_orderpriority = '1-URGENT'").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_totalprice").alias("v"))
     j = table(spark, sf_dir, "customer").join(o, "c_custkey", "left")
     return j.select("c_custkey", F.round(F.coalesce("v", "c_acctbal"), 4).alias("value"), F.when(F.col("v").isNull(), "own").otherwise("reused").alias("origin"))
