@@ -3,37 +3,33 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .shared import written
 
 
 def _round(edges: DataFrame) -> DataFrame:
+    """edges(u > v) -> (u, v, moved): moved holds nowhere when all were stars around their least node.
+
+    Large star: larger neighbours of a node go to the least of its neighbours; the least is found by partial aggregates,
+    so a node with very many neighbours is no single task's work. Small star: what a node's smaller neighbours have in
+    common is its least one; after the large star a node has few of them."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-    down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    low = down.groupBy("u").agg(F.min("v").alias("m"))
-    small = down.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
-    return small.where("u <> v").distinct()
-
-
-def _unsettled(edges: DataFrame) -> int:
-    """How many nodes still point to two nodes, or point on while being pointed to: none when all is stars."""
-    roles = edges.select(F.col("u").alias("x"), F.lit(1).alias("up")).unionByName(edges.select(F.col("v").alias("x"), F.lit(0).alias("up")))
-    per_node = roles.groupBy("x").agg(F.sum("up").alias("ups"), F.count("*").alias("all"))
-    return per_node.where("ups > 1 or (ups = 1 and all > 1)").limit(1).count()
+    up = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"), (F.col("m") < F.col("u")).alias("moved"))
+    down = up.repartition("u").groupBy("u", "v").agg(F.bool_or("moved").alias("moved")).withColumn("m", F.min("v").over(W.partitionBy("u")))
+    other = F.col("v") > F.col("m")
+    return down.select(F.when(other, F.col("v")).otherwise(F.col("u")).alias("u"), F.col("m").alias("v"), (F.col("moved") | other).alias("moved"))
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """edges(u, v: long) -> (node, component): the least node reachable, for every node that has an edge to another."""
+def components(edges: DataFrame) -> DataFrame:
+    """edges(u, v: long) -> (node, component): the least node reachable, for every node that has an edge to another. As
+    many rounds as it takes; their number grows with the logarithm of a chain's length."""
     now = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    now = written(now.distinct())
-    for _ in range(most_rounds):
-        if not _unsettled(now):
+    while True:
+        now = written(_round(now.select("u", "v")))
+        if not now.where("moved").limit(1).count():
             break
-        now = written(_round(now))
-    else:
-        raise RuntimeError("components did not settle")
     roots = now.select(F.col("v").alias("node")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots.withColumn("component", F.col("node")))

@@ -9,9 +9,9 @@ each give such a filter, and a candidate must pass all of them before its sets a
 2. The same under a second hash order, for what is left.
 3. Stars: documents with the same first token under either order are compared with a bounded number of those met before
    that are not yet joined to them. This joins large groups of near copies in linear time; components of these links need no pair inside compared.
-4. Prefixes under a third order, commonest tokens (by a sketch of fixed size) last: each document is tried on two of the
-   largest component that its frequent prefix tokens lead to; then pairs still apart that share enough rare prefix tokens
-   are compared, and what shares a frequent one is compared with what that token leads to, whole sets in blocks. This is exact: every link between components is found.
+4. Prefixes under a third order, commonest tokens (by a sketch of fixed size) last: pairs still apart that share enough
+   rare prefix tokens are compared, and what shares a frequent one is compared with what that token leads to, whole sets
+   in blocks. This is exact: every link between components is found.
 
 Documents with equal sets are one node. Defined results: a null, empty or blank text has no shingle and links with
 nothing; a shorter text than a shingle is one shingle; rows that repeat are linked; other columns are ignored. Distinct
@@ -25,17 +25,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import by_batch, read_table, written
+from .shared import by_batch, read_table, tidy, written
 
 WORDS, PERCENT = 4, 85
-SKETCH = 1 << 19
+SKETCH = 1 << 17
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
 class Shingles:
     """of(text): the sorted distinct shingle hashes (int64)."""
 
-    def __init__(self, words: int = WORDS, cache_words: int = 500_000):
+    def __init__(self, words: int = WORDS, cache_words: int = 50_000):
         import xxhash
 
         self.digest, self.words = xxhash.xxh3_64_intdigest, words
@@ -108,6 +108,7 @@ def _in_other_sets(prefixes: DataFrame) -> DataFrame:
     Rows are dealt by ranges of (token, node), so a token that very many nodes hold spreads over tasks; where a task or
     batch cuts a token's run, the run counts as shared."""
 
+    @tidy
     def run(batches):
         import pyarrow as pa
 
@@ -185,6 +186,7 @@ def _stars(sets: DataFrame, key: str, percent: int, kept: int, tries: int) -> Da
     """(u, v) links, found by comparing each node with up to `tries` of the `kept` nodes that have its first token and
     are not yet joined to it, in the order of the sorted partition. Where a partition ends, a group ends."""
 
+    @tidy
     def run(batches):
         import pyarrow as pa
 
@@ -205,6 +207,7 @@ def _stars(sets: DataFrame, key: str, percent: int, kept: int, tries: int) -> Da
 def _sketch(sets: DataFrame) -> np.ndarray:
     """Counts of tokens by hash slot, SKETCH numbers however many tokens there are: how common a token may be."""
 
+    @tidy
     def run(batches):
         import pyarrow as pa
 
@@ -227,6 +230,7 @@ def _third_prefixes(sets: DataFrame, sketch: np.ndarray, percent: int) -> DataFr
     step = max(64, int(2 * np.median(sketch)))
     sent = sets.sparkSession.sparkContext.broadcast((sketch // step).astype("int32"))  # SKETCH numbers
 
+    @tidy
     def run(batches):
         import pyarrow as pa
 
@@ -243,28 +247,17 @@ def _third_prefixes(sets: DataFrame, sketch: np.ndarray, percent: int) -> DataFr
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
-    """(token, holders, largest, u, v): tokens that nodes of several components hold, how many nodes, the component that
-    most of them are of, and two of its nodes, others for each token."""
-    some = F.struct(F.xxhash64("token", "node").alias("h"), F.col("node"))
-    by_part = rows.groupBy("token", "component").agg(F.count("*").alias("members"), F.min(some).alias("x"), F.max(some).alias("y"))
-    top = F.max(F.struct("members", "component", "x", "y"))
-    by_token = by_part.groupBy("token").agg(top.alias("top"), F.count("*").alias("parts"), F.sum("members").alias("holders"))
-    return by_token.where("parts > 1").select("token", "holders", F.col("top.component").alias("largest"), F.col("top.x.node").alias("u"), F.col("top.y.node").alias("v"))
+    """(token, holders, largest): tokens that nodes of several components hold, how many nodes, and the component that
+    most of them are of."""
+    by_part = rows.groupBy("token", "component").agg(F.count("*").alias("members"))
+    by_token = by_part.groupBy("token").agg(F.max(F.struct("members", "component")).alias("top"), F.count("*").alias("parts"), F.sum("members").alias("holders"))
+    return by_token.where("parts > 1").select("token", "holders", F.col("top.component").alias("largest"))
 
 
-def _tries(rows: DataFrame, few: int, tries: int = 24) -> DataFrame:
-    """(u, v): each node with some of the largest component that its frequent prefix tokens lead to: at most `tries` for
-    a node and component. It spares the exact step most of what large groups have outside of their component."""
-    near = rows.join(_mixed(rows).where(F.col("holders") > few), "token").where("component <> largest")
-    found = near.groupBy("node", "largest").agg(F.collect_set("u").alias("us"), F.collect_set("v").alias("vs"))  # at most one a prefix token
-    pairs = found.select(F.col("node").alias("a"), F.explode(F.slice(F.array_union("us", "vs"), 1, tries)).alias("b"))
-    return pairs.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
-
-
-def _rare_pairs(rows: DataFrame, percent: int, few: int) -> DataFrame:
+def _rare_pairs(some: DataFrame, percent: int, few: int) -> DataFrame:
     """(u, v): pairs of different components that share enough prefix tokens, counting those of at most `few` holders:
     no more than `few` rows for a prefix token. Pairs that share a more frequent one are met in _across."""
-    some = rows.join(_mixed(rows).where(F.col("holders") <= few).select("token"), "token")
+    some = some.where(F.col("holders") <= few)
     left = some.select("token", F.col("node").alias("u"), F.col("n").alias("un"), F.col("component").alias("uc"))
     right = some.select("token", F.col("node").alias("v"), F.col("n").alias("vn"), F.col("component").alias("vc"))
     pairs = left.join(right, "token").where(f"u < v and uc <> vc and {percent} * greatest(un, vn) <= 100 * least(un, vn)")
@@ -272,19 +265,16 @@ def _rare_pairs(rows: DataFrame, percent: int, few: int) -> DataFrame:
     return pairs.groupBy("u", "v", extra.alias("needed")).agg(F.count("*").alias("common")).where("common >= needed").select("u", "v")
 
 
-def _across(rows: DataFrame, sets: DataFrame, percent: int, few: int, block_rows: int = 256) -> DataFrame:
+def _across(some: DataFrame, sets: DataFrame, percent: int, few: int, block_rows: int = 256, at_once: int = 1 << 18) -> DataFrame:
     """(u, v): links between components by tokens of more than `few` holders, at least one for each node and component.
     Such a token leads its other nodes to its largest component. Each node so led, if it shares enough prefix tokens at
     all, is compared with that component's nodes and with the others led there, block by block: a pair that shares such
     a token meets there, and no row is made for a pair."""
-    mixed = _mixed(rows).select("token", "holders", "largest")
-    some = rows.join(mixed, "token")
     needed = F.greatest(F.lit(1), F.least(F.greatest(F.lit(1), F.expr("n div 20")), F.expr(f"(({percent} * n + 99) div 100) div 20")))
-    able = some.groupBy("node", "n").agg(F.count("*").alias("tokens")).where(F.col("tokens") >= needed).select("node")
-    led = some.where((F.col("component") != F.col("largest")) & (F.col("holders") > few)).select("node", "component", F.col("largest").alias("group")).distinct().join(able, "node")
+    able = some.groupBy("node", "n", "component").agg(F.count("*").alias("tokens")).where(F.col("tokens") >= needed).select("node", "component")
+    led = some.where((F.col("component") != F.col("largest")) & (F.col("holders") > few)).select("node", F.col("largest").alias("group")).distinct().join(able, "node")
     groups = led.select("group").distinct()
-    parts = rows.select("node", "component").distinct()
-    own = parts.select("node", "component", F.col("component").alias("group")).join(able, "node").join(groups, "group")
+    own = able.select("node", "component", F.col("component").alias("group")).join(groups, "group")
     columns = ["node", "component", "group"]
     places = written(own.select(*columns, F.lit(False).alias("asks")).unionByName(led.select(*columns, F.lit(True).alias("asks"))))
     blocks = places.groupBy("group").agg(F.expr(f"(count(*) div {block_rows}) + 1").alias("blocks"))
@@ -293,6 +283,18 @@ def _across(rows: DataFrame, sets: DataFrame, percent: int, few: int, block_rows
     asked = F.transform(F.expr("sequence(0L, blocks - 1)"), lambda b: F.struct(b.alias("block"), F.lit(1).alias("kind")))
     spread = filled.withColumn("to", F.explode(F.when(F.col("asks"), F.concat(F.array(here), asked)).otherwise(F.array(here))))
 
+    def chunks(held):
+        """The held sets end to end, about `at_once` tokens at a time, which bounds what a comparison takes."""
+        begin, size = 0, 0
+        for end in range(1, len(held) + 1):
+            size += len(held[end - 1][2])
+            if size >= at_once or end == len(held):
+                part = held[begin:end]
+                sizes = np.array([len(t) for _, _, t in part])
+                yield np.concatenate([t for _, _, t in part]), np.append(0, np.cumsum(sizes)[:-1]), sizes, np.array([x for x, _, _ in part]), np.array([c for _, c, _ in part])
+                begin, size = end, 0
+
+    @tidy
     def run(batches):
         import pyarrow as pa
 
@@ -309,14 +311,16 @@ def _across(rows: DataFrame, sets: DataFrame, percent: int, few: int, block_rows
                 if not held:
                     continue
                 if block is None:
-                    sizes = np.array([len(t) for _, _, t in held])
-                    block = np.concatenate([t for _, _, t in held]), np.append(0, np.cumsum(sizes)[:-1]), sizes, np.array([c for _, c, _ in held])
-                values, starts, sizes, parts_ = block
-                k = np.minimum(np.searchsorted(tokens, values), len(tokens) - 1)
-                shared = np.add.reduceat((tokens[k] == values).astype("int64"), starts)
-                hit = np.flatnonzero((100 * shared >= percent * (sizes + len(tokens) - shared)) & (parts_ != part[i]))
-                for c in np.unique(parts_[hit], return_index=True)[1] if len(hit) else ():
-                    found.append((node[i], held[hit[c]][0]))
+                    block = list(chunks(held))
+                told = set()
+                for values, starts, sizes, nodes_, parts_ in block:
+                    k = np.minimum(np.searchsorted(tokens, values), len(tokens) - 1)
+                    shared = np.add.reduceat((tokens[k] == values).astype("int32"), starts)
+                    hit = np.flatnonzero((100 * shared >= percent * (sizes + len(tokens) - shared)) & (parts_ != part[i]))
+                    for c in hit.tolist():
+                        if parts_[c] not in told:
+                            told.add(parts_[c])
+                            found.append((node[i], int(nodes_[c])))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], names=["u", "v"])
 
@@ -327,6 +331,7 @@ def _across(rows: DataFrame, sets: DataFrame, percent: int, few: int, block_rows
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     side = lambda k: sets.select(F.col("node").alias(k), F.col("tokens").alias(f"{k}_tokens"))
 
+    @tidy
     def run(batches):
         import pyarrow as pa
 
@@ -353,7 +358,8 @@ def _row_hash():
 
 
 def _parts(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT, kept: int = 96, tries: int = 64, few: int = 32, broadcast_rows: int = 500_000) -> DataFrame:
-    """(row, doc_id, n_shingles, part) for every row of docs(doc_id, text): part names the component, null without shingles."""
+    """(row, doc_id, n_shingles, first) for every row of docs(doc_id, text). first is the struct (none, doc_id, row) of
+    the least row of the component (null doc_ids last); null where a row is linked with nothing and repeated nowhere."""
     import xxhash
 
     def small(df: DataFrame) -> DataFrame:
@@ -408,45 +414,38 @@ def _parts(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT, kept:
     sets = written(sets.repartitionByRange("first", "node"))
 
     stars = _stars(sets, "first", percent, kept, tries).unionByName(_stars(sets.repartitionByRange("second", "node"), "second", percent, kept, tries))
-    label = components(stars)
-    handy = small(label)
-
-    def labelled(df: DataFrame) -> DataFrame:
-        return df.drop("component").join(handy, "node", "left").withColumn("component", F.coalesce("component", "node"))
-
-    rows = written(_third_prefixes(labelled(sets), _sketch(sets), percent))
-    for find in (
-        lambda r: _verified(written(_tries(r, few)), sets, percent),
-        lambda r: _across(r, sets, percent, few).unionByName(_verified(written(_rare_pairs(r, percent, few)), sets, percent)),
-    ):
-        more = written(find(rows))
-        if more.count():
-            label = components(label.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more))
-            handy = small(label)
-            rows = labelled(rows)
-
-    return table.select("row", "doc_id", F.col("n").alias("n_shingles"), "node").join(label, "node", "left").select("row", "doc_id", "n_shingles", F.coalesce("component", "node").alias("part"))
+    label = written(components(stars))
+    labelled = sets.join(small(label), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rows = written(_third_prefixes(labelled, _sketch(sets), percent))
+    shared = written(rows.join(_mixed(rows), "token"))
+    more = written(_across(shared, sets, percent, few).unionByName(_verified(written(_rare_pairs(shared, percent, few)), sets, percent)))
+    if more.limit(1).count():
+        label = components(label.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more))
+
+    # What is shared by rows of a node or nodes of a component is told by node: copies by the thousand are one node.
+    row = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "row")
+    by_node = some.groupBy("node").agg(F.min(row).alias("least"), F.count("*").alias("rows"))
+    told = written(by_node.join(label, "node", "left").where("component is not null or rows > 1").select("node", F.coalesce("component", "node").alias("component"), "least"))
+    firsts = told.groupBy("component").agg(F.min("least").alias("first"))
+    told = small(written(told.join(small(firsts), "component").select("node", "first")))
+    return table.select("row", "doc_id", F.col("n").alias("n_shingles"), "node").join(told, "node", "left").select("row", "doc_id", "n_shingles", "first")
 
 
 def ngram_join(docs: DataFrame, **options) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of docs(doc_id, text). Rows with a null doc_id link others and get
     their component_id; it is null where all of a component have none."""
-    linked = _parts(docs, **options)
-    least = linked.where("part is not null").groupBy("part").agg(F.min("doc_id").alias("component_id"))
-    return linked.join(least, "part", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return _parts(docs, **options).select("doc_id", "n_shingles", F.coalesce("first.doc_id", "doc_id").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, broadcast_rows: int = 1_000_000, **options) -> DataFrame:
     """Of each component the row with the least doc_id (null is the greatest; of equal ones that with the least hash of
     doc_id and text), and the rows without shingles, with all their columns. Rows that share a doc_id are decided each;
     exact repeats of a row's doc_id and text are given once."""
-    joined = written(_parts(docs, **options))
-    some = joined.where("part is not null")
-    first = some.groupBy("part").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "row")).alias("first"))
-    gone = written(some.join(first, "part").where("row <> first.row").select(F.col("row").alias("_row")).distinct())
+    some = written(_parts(docs, **options).where("first is not null").select(F.col("row").alias("_row"), F.col("first.row").alias("first")))
+    gone = written(some.where("_row <> first").select("_row").distinct())
     gone = F.broadcast(gone) if gone.count() <= broadcast_rows else gone.hint("merge")
     kept = docs.withColumn("_row", _row_hash()).join(gone, "_row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
-    repeated = some.groupBy("row").count().where("count > 1").limit(1).count()
+    repeated = some.groupBy("_row").count().where("count > 1").limit(1).count()
     return kept.dropDuplicates(["doc_id", "text"]) if repeated else kept
 
 

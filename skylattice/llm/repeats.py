@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bwt import repeated
-from .shared import WORD, by_batch, read_table, written
+from .shared import WORD, by_batch, read_table, tidy, written
 
 LENGTH = 400
 GRAM = 24
@@ -124,6 +124,7 @@ def _core_rows(docs: DataFrame, length: int) -> DataFrame:
 def _not_alone(rows: DataFrame) -> DataFrame:
     """(rid, at) of rows whose core other rows have too, and a few more where a task or batch ends."""
 
+    @tidy
     def run(batches):
         import pyarrow as pa
 
@@ -184,6 +185,7 @@ def _repeated_windows(strings: DataFrame, shard_symbols: int, task_symbols: int)
             if mask:
                 yield core, whole, mask
 
+    @tidy
     def run(batches):
         import pyarrow as pa
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import functools
+import gc
 import tempfile
 import uuid
 
@@ -13,8 +17,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"\x20\x09-\x0D"
 
 
-#: Rows of an Arrow batch.
+#: Rows of an Arrow batch in what is written between jobs: texts are long, and small batches bound what a task holds
+#: outside the heap and in Python.
 BATCH_ROWS = 1000
+BATCHES = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,10 +44,34 @@ def written(df: DataFrame) -> DataFrame:
     """Write df as Parquet into the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(BATCHES)
+    spark.conf.set(BATCHES, str(BATCH_ROWS))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(BATCHES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tidy(run):
+    """For functions of mapInArrow: a Python worker outlives its task, so what the task has freed goes back to the system
+    when it ends, however many workers an executor keeps."""
+
+    @functools.wraps(run)
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            import pyarrow as pa
+
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 def word_count(text):
     """Words of a text column; null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
@@ -53,10 +83,9 @@ def by_batch(df: DataFrame, columns: list, schema: str, start, rows: int = 1000)
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
-    # Texts are long: small batches bound what a task holds outside the heap and in Python.
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     wanted = to_arrow_schema(StructType.fromDDL(schema))
 
+    @tidy
     def run(batches):
         import pyarrow as pa
 

@@ -23,7 +23,7 @@ from .shared import by_batch, read_table
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Entries that each of a task's two caches keeps before it starts anew.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 100_000
 
 
 def load_pieces(model_file: str) -> list[tuple[str, float]]:

@@ -13,7 +13,7 @@ import unicodedata
 from array import array
 
 #: Words a cache keeps before it starts anew: bounds a Python worker's memory.
-CACHE_WORDS = 700_000
+CACHE_WORDS = 100_000
 #: An ASCII or Latin-1 lower-case letter in UTF-8, stops and commas, then white space or the end.
 _STOPS = re.compile(rb"([a-z]|\xc3[\x9f-\xb6\xb8-\xbf])([,.]+)(?=[\x09-\x0d\x20]|$)")
 _MARKS = re.compile("[̀-ͯ҃-҉֑-ֽؐ-ٟۖ-ܑۭ-ँ़-्ั-๎᪰-᫿᷀-᷿⃐-⃿〪-゙〯-゚︠-︯]")

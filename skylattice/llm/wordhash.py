@@ -6,7 +6,7 @@ import zlib
 
 #: ASCII other than letters, digits and the apostrophe parts words; bytes of other characters stay.
 _PARTS = bytes(b if b >= 128 or chr(b).isalnum() or b == 39 else 32 for b in range(256))
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000
 
 
 class WordHash:
