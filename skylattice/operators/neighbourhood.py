@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .quantiles import exact_quantiles
+
 KEYS = ("scene_id",)
 
 
@@ -68,8 +70,8 @@ def sequential_coherence(slc: DataFrame, size: int = 5) -> DataFrame:
 
 def slope_degrees(dem: DataFrame, value: str, dx: float, dy: float) -> DataFrame:
     """Central differences, one-sided at edges; nodata is filled with the scene's median first and has no slope."""
-    middle = dem.groupBy("scene_id").agg(F.percentile(value, F.lit(0.5)).alias("_m"))
-    z = dem.join(F.broadcast(middle), "scene_id").withColumn("_z", F.coalesce(value, "_m"))
+    middle = exact_quantiles(dem, value, {"_m": 0.5}, keys=("scene_id",))  # one row a scene
+    z = dem.join(middle, "scene_id", "left").withColumn("_z", F.coalesce(value, "_m"))
 
     def gradient(axis: str, step: float) -> Column:
         w = W.partitionBy("scene_id", "row" if axis == "col" else "col").orderBy(axis)

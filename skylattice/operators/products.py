@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import scalar as S
 from . import metrics as M
 from . import neighbourhood as N
+from .quantiles import exact_quantiles
 
 
 def backscatter_agreement(product: DataFrame, reference: DataFrame, factor: float = 1.0) -> DataFrame:
@@ -30,8 +31,8 @@ def point_agreement(raster: DataFrame, points: DataFrame, least: int = 100) -> D
 def stable_residual(points: DataFrame, most_std: float = 2.0, least: int = 100) -> DataFrame:
     """points(value, std): mean absolute deviation from the median over stable points, with a ledger of counts."""
     stable = (F.col("std") < most_std) & F.col("value").isNotNull()
-    middle = points.where(stable).agg(F.percentile("value", F.lit(0.5)).alias("_m"))
-    out = points.join(F.broadcast(middle)).agg(
+    middle = exact_quantiles(points.where(stable), "value", {"_m": 0.5})
+    out = points.join(F.broadcast(middle), F.lit(True), "left").agg(
         F.count("*").alias("points"), F.count_if(F.col("std") < most_std).alias("stable"), F.count_if(stable).alias("valid"),
         F.avg(F.when(stable, F.abs(F.col("value") - F.col("_m")))).alias("residual"),
     )
@@ -57,31 +58,36 @@ def mask_ledger(mask: DataFrame) -> DataFrame:
 def terrain_summary(dem: DataFrame, value: str, dx: float, dy: float) -> DataFrame:
     """Nodata share, elevation range, slope at the median and the ninth decile."""
     s = N.slope_degrees(dem, value, dx, dy)
-    q = F.percentile("slope", F.array(F.lit(0.5), F.lit(0.9)))
-    return s.groupBy("scene_id").agg(F.avg(F.col(value).isNull().cast("double")).alias("nodata"), F.min(value).alias("least"), F.max(value).alias("most"), q[0].alias("slope_p50"), q[1].alias("slope_p90"))
+    q = exact_quantiles(s, "slope", {"slope_p50": 0.5, "slope_p90": 0.9}, keys=("scene_id",))
+    rest = s.groupBy("scene_id").agg(F.avg(F.col(value).isNull().cast("double")).alias("nodata"), F.min(value).alias("least"), F.max(value).alias("most"))
+    return rest.join(q, "scene_id", "left").select("scene_id", "nodata", "least", "most", "slope_p50", "slope_p90")
 
 
 def gaussian(df: DataFrame, column: str, sigma: float, keys=("scene_id",)) -> DataFrame:
-    """Gaussian smoothing with a mirrored border, cut at four sigma: weighted sums of neighbours along rows, then
-    columns. Nodata counts as 0."""
+    """Gaussian smoothing with a mirrored border, cut at four sigma: weighted sums over windows along rows, then columns,
+    so that a window partition is one line of pixels. Nodata counts as 0."""
     import math
 
     reach = int(4 * sigma + 0.5)
     w = [math.exp(-0.5 * (k / sigma) ** 2) for k in range(-reach, reach + 1)]
     w = [x / sum(w) for x in w]
-    df = df.withColumn(column, F.coalesce(column, F.lit(0.0)))
+    df = df.withColumn(column, F.coalesce(column, F.lit(0.0))).select(*keys, "row", "col", column)
+    weights = F.array(*[F.lit(x) for x in w])
     for axis in ("col", "row"):
         other = "row" if axis == "col" else "col"
         ends = F.broadcast(df.groupBy(*keys).agg(F.min(axis).alias("_lo"), F.max(axis).alias("_hi")))  # one row a scene
-        spread = df.join(ends, list(keys)).withColumn("_k", F.explode(F.sequence(F.lit(-reach), F.lit(reach))))
-        size = F.col("_hi") - F.col("_lo") + 1
-        # Mirroring again and again is a fold of period twice the size.
-        at = F.pmod(F.col(axis) + F.col("_k") - F.col("_lo"), 2 * size)
-        at = F.least(at, 2 * size - 1 - at) + F.col("_lo")
-        weight = F.element_at(F.array(*[F.lit(x) for x in w]), F.col("_k") + reach + 1)
-        source = df.select(*keys, F.col(other).alias("_o"), F.col(axis).alias("_a"), F.col(column).alias("_v"))
-        want = spread.select(*keys, "row", "col", F.col(other).alias("_o"), at.cast("int").alias("_a"), weight.alias("_w"))
-        df = want.join(source, [*keys, "_o", "_a"]).groupBy(*keys, "row", "col").agg(F.sum(F.col("_w") * F.col("_v")).alias(column))
+        size, here = F.col("_hi") - F.col("_lo") + 1, F.col(axis)
+        # Mirroring again and again is a fold of period twice the size: a pixel stands at each place that folds to it.
+        turns = F.sequence(-F.ceil((reach + size) / (2 * size)).cast("int"), F.ceil((reach + size) / (2 * size)).cast("int"))
+        images = F.flatten(F.transform(turns, lambda m: F.array(here + 2 * size * m, 2 * F.col("_lo") - 1 - here + 2 * size * m)))
+        near = F.filter(images, lambda x: (x >= F.col("_lo") - reach) & (x <= F.col("_hi") + reach))
+        line = df.join(ends, list(keys)).withColumn(axis, F.explode(near))
+        around = W.partitionBy(*keys, other).orderBy(axis).rangeBetween(-reach, reach)
+        taps = F.collect_list(F.struct(F.col(axis).alias("at"), F.col(column).alias("v"))).over(around)
+        # At most 2 * reach + 1 taps a pixel; a pixel that is missing adds nothing.
+        smooth = F.aggregate("_taps", F.lit(0.0), lambda total, t: total + t.v * F.get(weights, t.at - F.col(axis) + reach))
+        line = line.withColumn("_taps", taps).where(here.between(F.col("_lo"), F.col("_hi")))
+        df = line.select(*keys, "row", "col", smooth.alias(column))
     return df
 
 

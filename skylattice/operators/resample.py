@@ -18,32 +18,36 @@ def block_counts(pairs: DataFrame, height: int, width: int, size: int) -> DataFr
     return whole.groupBy((F.expr(f"row div {size}") * cols + F.expr(f"col div {size}")).cast("long").alias("block")).agg(*confusion())
 
 
-def bootstrap(blocks: DataFrame, draws: DataFrame, level: float = 0.95) -> DataFrame:
-    """blocks(block, counts), draws(replicate, block, times): point, lower and upper of each score. A replicate adds up
-    its blocks' counts, so no pixel is copied and one pass gives all scores."""
+def bootstrap(blocks: DataFrame, replicates: int, times, level: float = 0.95) -> DataFrame:
+    """blocks(block, counts): point, lower and upper of each score. times(replicate, block) says how often a replicate
+    draws a block. A replicate adds up its blocks' counts, partly before the one shuffle; no pixel is copied, and one
+    pass gives all scores."""
     total = blocks.agg(*[F.sum(c).alias(c) for c in COUNTS]).withColumns(scores())
-    reps = draws.join(blocks, "block").groupBy("replicate").agg(*[F.sum(F.col(c) * F.col("times")).alias(c) for c in COUNTS]).withColumns(scores())
+    each = blocks.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1)))).withColumn("times", times(F.col("replicate"), F.col("block")))
+    reps = each.where("times > 0").groupBy("replicate").agg(*[F.sum(F.col(c) * F.col("times")).alias(c) for c in COUNTS]).withColumns(scores())
     names = list(scores())
     low = (1 - level) / 2
     bounds = reps.select(F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).alias("v")) for n in names])).alias("m")).groupBy("m.metric").agg(
         F.percentile("m.v", F.lit(low)).alias("lower"), F.percentile("m.v", F.lit(1 - low)).alias("upper")
-    )
+    )  # of `replicates` numbers a metric
     point = total.select(F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).alias("point")) for n in names])).alias("m")).select("m.*")
     return point.join(bounds, "metric")
 
 
-def poisson_draws(blocks: DataFrame, replicates: int, seed: int = 0) -> DataFrame:
-    """(replicate, block, times): how often each block is drawn, Poisson of mean 1 from a hash: no list of draws, so any
-    number of blocks will do."""
-    u = (F.xxhash64(F.lit(seed), "replicate", "block").bitwiseAND(F.lit((1 << 52) - 1)) + 0.5) / float(1 << 52)
+def poisson_times(seed: int = 0):
+    """times(replicate, block): Poisson of mean 1 from a hash: no list of draws, so any number of blocks will do."""
     steps, p, term = [], 0.0, 0.36787944117144233
     for k in range(12):
         p += term
         steps.append(p)
         term /= k + 1
-    times = sum((F.when(F.col("u") > s, 1).otherwise(0) for s in steps), F.lit(0))
-    each = blocks.select("block").withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1)))).withColumn("u", u)
-    return each.select("replicate", "block", times.alias("times")).where("times > 0")
+
+    def times(replicate: Column, block: Column) -> Column:
+        u = (F.xxhash64(F.lit(seed), replicate, block).bitwiseAND(F.lit((1 << 52) - 1)) + 0.5) / float(1 << 52)
+        # Drawn once a row, then compared with all steps.
+        return F.transform(F.array(u), lambda x: sum((F.when(x > s, 1).otherwise(0) for s in steps), F.lit(0)))[0]
+
+    return times
 
 
 def threshold_bins(value: Column, thresholds: list[float]) -> Column:
@@ -86,6 +90,8 @@ def leave_one_out(scores_: DataFrame, pair: list[str]) -> DataFrame:
     return rest.withColumn("_k", rank).where("_k = 1").select(*pair, "wigt", "awgt", F.col("f1").alias("left_out_f1"), F.col("others").alias("fitted_f1"))
 
 
-def set_hash(df: DataFrame, column: str) -> DataFrame:
-    """SHA-256 of the sorted distinct ids, one a line; for sets of a report's size."""
-    return df.agg(F.sha2(F.array_join(F.array_sort(F.collect_set(F.col(column).cast("string"))), "\n"), 256).alias("hash"))
+def set_hash(df: DataFrame, column: str, *keys: str) -> DataFrame:
+    """keys, hash: SHA-256 of the sorted distinct ids of each key, one a line. A fit set is as large as a report's list
+    of areas; there may be any number of sets."""
+    ids = F.array_sort(F.collect_set(F.col(column).cast("string")))
+    return df.groupBy(*keys).agg(F.sha2(F.array_join(ids, "\n"), 256).alias("hash"))

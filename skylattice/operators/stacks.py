@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .quantiles import exact_quantiles
+
 MM_PER_RADIAN = 0.05546576 / (4 * math.pi) * 1000
 
 
@@ -26,19 +28,22 @@ def coherence_stats(stack: DataFrame, least: float = 0.6) -> DataFrame:
     """Six statistics of per-pixel coherence over time; null coherence counts as 0, an empty stack gives zeros."""
     c = F.coalesce("coh", F.lit(0.0))
     pixel = stack.groupBy("row", "col").agg(F.avg(c).alias("mean"), F.bool_and(c >= least).alias("persistent"))
-    q = lambda p: F.percentile("mean", F.lit(p))
     z = lambda x, n: F.coalesce(x, F.lit(0.0)).alias(n)
-    return pixel.agg(
-        z(F.avg("mean"), "mean"), z(q(0.5), "median"), z(q(0.25), "p25"), z(q(0.75), "p75"),
-        z(F.avg(F.col("persistent").cast("double")), "persistently_coherent_fraction"),
-        z(F.percentile(F.when(F.col("persistent"), F.col("mean")), F.lit(0.5)), "median_of_persistent"),
+    means = pixel.agg(F.avg("mean").alias("_mean"), F.avg(F.col("persistent").cast("double")).alias("_share"))
+    # One row each.
+    every = F.broadcast(exact_quantiles(pixel, "mean", {"_p50": 0.5, "_p25": 0.25, "_p75": 0.75}))
+    steady = F.broadcast(exact_quantiles(pixel.where("persistent"), "mean", {"_steady": 0.5}))
+    return means.join(every, F.lit(True), "left").join(steady, F.lit(True), "left").select(
+        z(F.col("_mean"), "mean"), z(F.col("_p50"), "median"), z(F.col("_p25"), "p25"), z(F.col("_p75"), "p75"),
+        z(F.col("_share"), "persistently_coherent_fraction"), z(F.col("_steady"), "median_of_persistent"),
     )
 
 
 def residual_mean(values: DataFrame, column: str) -> DataFrame:
     """Mean of what is left after the median is taken off."""
-    anchor = values.agg(F.percentile(column, F.lit(0.5)).alias("anchor"))
-    return values.join(F.broadcast(anchor)).agg(F.coalesce(F.avg(F.col(column) - F.col("anchor")), F.lit(0.0)).alias("residual"))
+    anchor = exact_quantiles(values, column, {"anchor": 0.5})
+    mean = values.agg(F.avg(F.col(column).cast("double")).alias("mean"))
+    return mean.join(F.broadcast(anchor), F.lit(True), "left").select(F.coalesce(F.col("mean") - F.col("anchor"), F.lit(0.0)).alias("residual"))
 
 
 def unwrapped(stack: DataFrame) -> DataFrame:

@@ -218,7 +218,22 @@ def g08_g09_bounds_clip(spark, sf_dir):
     return table(spark, sf_dir, "points").groupBy((F.col("pid") % 10).alias("tile")).agg(F.count_if(inside).alias("inside"), F.count_if(~inside).alias("outside"))
 
 
-@REG.add()
+# The usual series of the transverse Mercator projection, written out for SQL.
+_A, _E2 = 6378137.0, (1 / 298.257223563) * (2 - 1 / 298.257223563)
+_EP, _K0 = _E2 / (1 - _E2), 0.9996
+_ARC = (
+    f"{_A} * ({1 - _E2 / 4 - 3 * _E2**2 / 64 - 5 * _E2**3 / 256} * p - {3 * _E2 / 8 + 3 * _E2**2 / 32 + 45 * _E2**3 / 1024} * sin(2 * p)"
+    f" + {15 * _E2**2 / 256 + 45 * _E2**3 / 1024} * sin(4 * p) - {35 * _E2**3 / 3072} * sin(6 * p))"
+)
+
+
+@REG.add(
+    with_tables("points")
+    + f""", z as (select pid, floor((lon + 180) / 6)::int + 1 as zone, radians(lat) as p, radians(lon - ((floor((lon + 180) / 6) + 1) * 6 - 183)) as l from points),
+s as (select pid, zone, p, tan(p) ^ 2 as t, {_A} / sqrt(1 - {_E2} * sin(p) * sin(p)) as n, {_EP} * cos(p) * cos(p) as c, l * cos(p) as x, {_ARC} as m from z)
+select pid, zone, round({_K0} * n * (x + (1 - t + c) * x ^ 3 / 6 + (5 - 18 * t + t * t + 72 * c - 58 * {_EP}) * x ^ 5 / 120) + 500000, 3) as easting,
+round({_K0} * (m + n * tan(p) * (x ^ 2 / 2 + (5 - t + 9 * c + 4 * c * c) * x ^ 4 / 24 + (61 - 58 * t + t * t + 600 * c - 330 * {_EP}) * x ^ 6 / 720)), 3) as northing from s"""
+)
 def g02_project_points(spark, sf_dir):
     p = table(spark, sf_dir, "points")
     zone = F.floor((F.col("lon") + 180) / 6).cast("int") + 1

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import catalogue as C
-from ..operators import neighbourhood as N
 from ..operators import products as P
-from .raster_queries import _PIX, _TARGET, _grid, _pixel_points, _target
+from .raster_queries import _PIX, _grid, _pixel_points
 from .shaping import Registry, rounded
 from .tables import table, with_tables
 
@@ -82,18 +81,6 @@ def m19_m20_terrain_summary(spark, sf_dir):
     return rounded(t).withColumn("slope_p50", F.round("slope_p50", 5)).withColumn("slope_p90", F.round("slope_p90", 5))
 
 
-@REG.add()
-def n09_gaussian_regrid(spark, sf_dir):
-    g = _grid(spark, sf_dir)
-    return rounded(N.nearest(P.gaussian(g.select("scene_id", "row", "col", "value"), "value", 1.0), _target(g, 2.0), 2.0).drop("scene_id"))
-
-
-@REG.add()
-def n14_sample_gaussian(spark, sf_dir):
-    smooth = P.gaussian(_grid(spark, sf_dir).select("scene_id", "row", "col", "value"), "value", 3.0)
-    return rounded(N.sample_bilinear(smooth, _pixel_points(spark, sf_dir)))
-
-
 @REG.add(with_tables("polygons") + " select p.id, x.x::int as tile_x, y.y::int as tile_y from polygons p, lateral (select unnest(range(floor((cx - half) / 3)::bigint, floor((cx + half) / 3)::bigint + 1)) as x) x, lateral (select unnest(range(floor((cy - half) / 3)::bigint, floor((cy + half) / 3)::bigint + 1)) as y) y")
 def n16_tile_cover(spark, sf_dir):
     b = table(spark, sf_dir, "polygons").select("id", *[(F.col(f"c{c}") + s * F.col("half")).alias(f"{c}{n}") for c in "xy" for n, s in (("min", -1), ("max", 1))])

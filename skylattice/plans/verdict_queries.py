@@ -41,15 +41,14 @@ l as (unpivot m on precision, recall, f1, accuracy into name metric value v) sel
 def b02_block_bootstrap(spark, sf_dir):
     p = _pairs(spark, sf_dir)
     blocks = R.block_counts(p, *_extent(p), 7)
-    draws = blocks.select("block").withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(99)))).withColumn("times", (F.col("block") * 31 + F.col("replicate") * 17) % 3)
-    return rounded(R.bootstrap(blocks, draws))
+    return rounded(R.bootstrap(blocks, 100, lambda replicate, block: (block * 31 + replicate * 17) % 3))
 
 
 @REG.add()
 def b01_bootstrap_scaled(spark, sf_dir):
     p = _pairs(spark, sf_dir)
     blocks = R.block_counts(p, *_extent(p), 7)
-    return rounded(R.bootstrap(blocks, R.poisson_draws(blocks, 500)))
+    return rounded(R.bootstrap(blocks, 500, R.poisson_times()))
 
 
 _W, _A = [round(0.08 + 0.02 * k, 3) for k in range(12)], [float(-1000 + 500 * k) for k in range(7)]
@@ -102,9 +101,9 @@ def c06_held_out(spark, sf_dir):
     return rounded(s.join(F.broadcast(R.joint_best(s).select("wigt")), "wigt").groupBy("aoi").agg(F.avg("f1").alias("held_out_f1")))
 
 
-@REG.add("select sha256(string_agg(n_name, chr(10) order by n_name)) as hash from (select distinct n_name from nation)")
+@REG.add("select l_orderkey, sha256(string_agg(p, chr(10) order by p)) as hash from (select distinct l_orderkey, l_partkey::varchar as p from lineitem) group by 1")
 def c07_fit_set_hash(spark, sf_dir):
-    return R.set_hash(table(spark, sf_dir, "nation"), "n_name")
+    return R.set_hash(table(spark, sf_dir, "lineitem"), "l_partkey", "l_orderkey")
 
 
 @REG.add(with_tables("scores") + ", m as (select round(wigt, 6) as wigt, null::double as awgt, avg(f1) as f1 from scores group by 1 union all select null, round(awgt, 6), avg(f1) from scores group by 2) select wigt, awgt, round(f1, 6) as f1 from m")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +12,22 @@ LON, LAT = ("longitude", "lon", "x_lon"), ("latitude", "lat", "y_lat")
 STD = ("mean_velocity_std", "velocity_std", "std", "rmse")
 
 
+# Names that a standard deviation goes by, and what is reported when none of them is there.
+STD_ALIASES = ("mean_velocity_std", "velocity_std", "std_velocity", "mean_velocity_stdev")
+NO_STD = "egms_l2a_schema_upstream_breakage"
+
+
+def std_ledger(df: DataFrame, most: float = 2.0) -> DataFrame:
+    """One row: points, the columns there are, the first alias of the standard deviation among them and how many points
+    are stable by it; without an alias a blocker, and no error."""
+    std = next((c for c in STD_ALIASES if c in df.columns), None)
+    stable = F.count_if(F.col(std) < most) if std else F.lit(None).cast("long")
+    return df.agg(
+        F.count("*").alias("points"), F.lit(",".join(df.columns)).alias("columns"), F.lit(std).cast("string").alias("std_column"),
+        stable.alias("stable"), F.lit(None if std else NO_STD).cast("string").alias("blocker"),
+    )
+
+
 def points(df: DataFrame, velocity: str = "mean_velocity") -> DataFrame:
     """lon, lat, mean_velocity, mean_velocity_std (null without such a column) of one layout, names in any case."""
     names = {c.lower(): c for c in df.columns}
@@ -53,3 +72,13 @@ def sidecars(manifest: DataFrame, files: DataFrame, schema: str) -> DataFrame:
 def write_scores(scores: DataFrame, path: str) -> None:
     """Grid scores by area and season, zstandard; only the partitions that scores holds are replaced."""
     scores.write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", "dynamic").partitionBy("aoi", "season").parquet(path)
+
+
+def new_folder(spark: SparkSession) -> str:
+    """A new folder's name in spark.checkpoint.dir, which all executors share; unset is allowed in local mode only."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="spark-")
+    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"

@@ -1,9 +1,11 @@
 """The batch operators that make sense over unbounded catalogues and pixel feeds. Late rows are those behind the
-watermark; they are left out."""
+watermark; they are left out, or told apart where an operator keeps its own state."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.metrics import confusion, scores
@@ -20,8 +22,42 @@ def daily_agreement(stream: DataFrame, late: str = "1 day") -> DataFrame:
     return days.withColumns(scores()).select(F.col("w.start").alias("day"), "total", *scores())
 
 
-def epoch_pairs(stream: DataFrame, most_days: int = 48, late: str = "60 days") -> DataFrame:
-    """slc(stack, ts): each epoch with those before it, up to most_days, as a watermarked self-join."""
-    a = stream.withWatermark("ts", late).select(F.col("stack"), F.col("ts").alias("first"))
-    b = stream.withWatermark("ts", late).select(F.col("stack").alias("_s"), F.col("ts").alias("second"))
-    return a.join(b, F.expr(f"stack = _s and second > first and second <= first + interval {most_days} days")).select("stack", "first", "second")
+def epoch_pairs(stream: DataFrame) -> DataFrame:
+    """slc(stack, epoch: long) -> (stack, first, second, late): each epoch with the one before it. The state of a stack is
+    its last epoch, one number however long the stream runs. An epoch not above it, or seen twice, comes late: it is
+    given out with late true and without a first, and changes nothing."""
+    import pandas as pd
+    from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        epochs = sorted(e for part in parts for e in part["epoch"])
+        last = state.get[0] if state.exists else None
+        rows = []
+        for e in epochs:
+            late = last is not None and e <= last
+            rows.append((key[0], None if late else last, e, late))
+            last = last if late else e
+        state.update((last,))
+        out = pd.DataFrame(rows, columns=["stack", "first", "second", "late"])
+        yield out.astype({"first": "Int64"})
+
+    schema = "stack long, first long, second long, late boolean"
+    return stream.groupBy("stack").applyInPandasWithState(step, schema, "last long", "append", GroupStateTimeout.NoTimeout)
+
+
+def table_stream(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table, one file or a folder of them, as a stream of its files. A stream takes a single file by a pattern
+    only, so the last letter of the path is put into brackets."""
+    path = path.rstrip("/")
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path[:-1]}[{path[-1]}]")
+
+
+def run_available(stream: DataFrame, folder: str) -> DataFrame:
+    """What a stream gives out of all that is there now, written as Parquet under `folder` with its checkpoint."""
+    spark = stream.sparkSession
+    query = (
+        stream.writeStream.format("parquet").outputMode("append").option("path", f"{folder}/out")
+        .option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{folder}/out")

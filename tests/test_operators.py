@@ -83,10 +83,11 @@ def test_blocks_equal_pixels(spark):
     df = spark.createDataFrame([(int(a), int(b), float(p[a, b]), float(r[a, b])) for a in range(14) for b in range(21)], "row int, col int, predicted double, reference double")
     blocks = resample.block_counts(df, 14, 21, 7)
     assert blocks.count() == 6
-    b = {x.metric: x for x in resample.bootstrap(blocks, resample.poisson_draws(blocks, 200)).collect()}
+    b = {x.metric: x for x in resample.bootstrap(blocks, 200, resample.poisson_times()).collect()}
     assert b["accuracy"].point == pytest.approx((p == r).mean()) and b["f1"].lower < b["f1"].point < b["f1"].upper
-    same = resample.poisson_draws(blocks, 50).orderBy("replicate", "block").collect()
-    assert same == resample.poisson_draws(blocks, 50).orderBy("replicate", "block").collect()
+    times = resample.poisson_times()
+    drawn = spark.range(400).select(times(F.lit(1), F.col("id")).alias("t"), times(F.lit(2), F.col("id")).alias("u")).collect()
+    assert abs(np.mean([x.t for x in drawn]) - 1) < 0.2 and [x.t for x in drawn] != [x.u for x in drawn]
 
 
 def test_verdicts(spark):
