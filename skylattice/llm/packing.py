@@ -30,12 +30,14 @@ END = 0
 
 def best_filling(counts: dict[int, int], lengths: list[int], room: int, nodes: int) -> list[int]:
     """Lengths (ascending in `lengths`, with counts) that leave the least of `room`; of equal waste the first found,
-    which holds the longest pieces."""
-    best: list[int] = []
+    which holds the longest pieces. A branch takes all its copies of a length at once, so branches are no deeper than
+    there are different lengths in a filling (63 for 2048). After `nodes` branches the best so far is given: the filling
+    may then waste more than it must, and a table may need more sequences; no piece is lost."""
+    best: list[tuple[int, int]] = []
     best_waste = room
     left = nodes
 
-    def search(room: int, upto: int, chosen: list[int]) -> bool:
+    def search(room: int, upto: int, chosen: list[tuple[int, int]]) -> bool:
         """True when nothing better is possible or the nodes are used up."""
         nonlocal best, best_waste, left
         if room < best_waste:
@@ -48,25 +50,26 @@ def best_filling(counts: dict[int, int], lengths: list[int], room: int, nodes: i
         k = min(upto, bisect.bisect_right(lengths, room) - 1)
         while k >= 0:
             length = lengths[k]
-            used = chosen.count(length)
-            if counts[length] > used:
-                rest = room - length
-                # What no shorter length can fill is waste for sure; a shorter first choice can only be topped by more pieces.
-                sure = rest if rest < lengths[0] else 0
+            for copies in range(min(counts[length], room // length), 0, -1):
+                rest = room - copies * length
+                # What no shorter length can fill is waste for sure.
+                sure = rest if k == 0 or rest < lengths[0] else 0
                 if sure < best_waste:
-                    chosen.append(length)
-                    done = search(rest, k, chosen)
+                    chosen.append((length, copies))
+                    done = search(rest, k - 1, chosen)
                     chosen.pop()
                     if done:
                         return True
-                if rest < lengths[0]:
+                if k == 0:
+                    break  # fewer copies leave more
+                if copies == 1 and rest < lengths[0]:
                     # Alone in the room: every shorter single piece is dominated; only fillings of two or more remain.
                     k = min(k, bisect.bisect_right(lengths, room - lengths[0]) if lengths[0] * 2 <= room else 0)
             k -= 1
         return False
 
     search(room, len(lengths) - 1, [])
-    return best
+    return [length for length, copies in best for _ in range(copies)]
 
 
 def pack_histogram(histogram: dict[int, int], capacity: int = CAPACITY, nodes: int = 3000) -> list[tuple[list[int], int]]:

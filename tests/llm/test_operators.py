@@ -411,6 +411,21 @@ def test_packing(spark, docs, empty):
     assert len(bins) <= least + 2 and packing.pack_documents(empty, path).count() == 0
 
 
+@pytest.mark.parametrize(("histogram", "least"), [({1: 5000}, 3), ({2: 3000}, 3), ({2000: 3, 1: 4000}, 5), ({3: 5000}, 8), ({2048: 2, 1: 1}, 3), ({7: 4000, 5: 4000, 1: 3}, 24)])
+def test_packing_of_very_many_short_pieces(histogram, least):
+    patterns = packing.pack_histogram(histogram)
+    total = Counter()
+    for p, n in patterns:
+        total.update({k: v * n for k, v in Counter(p).items()})
+    assert total == Counter(histogram) and all(sum(p) <= 2048 for p, _ in patterns) and sum(n for _, n in patterns) == least
+
+
+def test_packing_of_empty_texts(spark):
+    rows = [(i, None if i % 2 else "") for i in range(5000)] + [(5000, "one two three")]
+    got = packing.pack_documents(spark.createDataFrame(rows, "doc_id long, text string")).groupBy("sequence_id").agg({"length": "sum"}).collect()
+    assert len(got) == 3 and max(r[1] for r in got) <= 2048
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 12), min_size=1, max_size=9))
 def test_pack_histogram_is_near_the_best(lengths):
