@@ -1,11 +1,13 @@
 """Suffix-array dedup: bytes that lie in a 400-byte string which starts anywhere else too are removed.
 
-Equal strings must meet in one task without moving all suffixes. Each 400-byte window is anchored at the least hash of
-the 24-byte strings inside it, which depends on nothing outside; an anchor serves the next windows too, so there are two
-anchors to 377 bytes. Windows of an anchor that lie alike around it share a core, a long string known from the anchor:
-
-1. By cores of about 300 bytes, anchors whose core occurs nowhere else are passed over (rows dealt by ranges of the
-   core's hash, so that a frequent core is no single task's).
+Equal strings must meet in one task without moving all suffixes. Each window of a given size is anchored at the least
+hash of the 24-byte strings inside it, which depends on nothing outside; an anchor serves the next windows too, so there
+are two anchors to a window's bytes. Windows of an anchor that lie alike around it share a core, a long string known
+from the anchor:
+
+1. Windows of 256 bytes: cores of 162 bytes or more that occur nowhere else are passed over (rows dealt by ranges of the
+   core's hash, so that a frequent core is no single task's). A 400-byte window all of whose 256-byte windows have a core
+   elsewhere goes on.
 2. What is left is keyed by cores of 377 bytes. With the core as one symbol, the 24 windows around it are strings of at
    most 47 symbols, each window being 24 of them. Equal strings are counted before they move.
 3. In each task the strings are laid out in shards; each shard's Burrows-Wheeler transform is sorted once, and the shards
@@ -15,8 +17,9 @@ anchors to 377 bytes. Windows of an anchor that lie alike around it share a core
    cores are found by a sample of the strings' hashes before anything is dealt; their windows are dealt one by one, by
    core, offset and a hash of the 23 bytes around the core, and counted before they move, so equal windows still meet.
 
-Defined results: a null text is empty; documents shorter than 400 bytes lose nothing; rows that repeat are documents of
-their own, so long ones are removed in each; other columns are ignored. Cores are told apart by 64-bit hashes.
+Copies of a text are one text that counts as often as it occurs. Defined results: a null text is empty; documents shorter
+than 400 bytes lose nothing; rows that repeat are documents of their own, so long ones are removed in each; other columns
+are ignored. Texts and cores are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -32,6 +35,8 @@ from .bwt import repeated
 from .shared import WORD, by_batch, read_table, tidy, written
 
 LENGTH = 400
+#: Windows of the first step. A passage of over 50 words is about this long, whatever is removed.
+PASSAGE = 256
 GRAM = 24
 COARSE, FINE = 95, 24
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
@@ -95,7 +100,7 @@ def _classes(anchor: int, first: int, last: int, width: int):
 
 
 def _core_rows(docs: DataFrame, length: int) -> DataFrame:
-    """(core, rid, at) for each anchor and coarse class; at packs anchor and offsets."""
+    """(core, rid, at) for each anchor of windows of `length` and coarse class; at packs anchor and offsets."""
 
     def start():
         import xxhash
@@ -122,7 +127,7 @@ def _core_rows(docs: DataFrame, length: int) -> DataFrame:
 
 
 def _not_alone(rows: DataFrame) -> DataFrame:
-    """(rid, at) of rows whose core other rows have too, and a few more where a task or batch ends."""
+    """(core, rid, at) of rows whose core other rows have too, and a few more where a task or batch ends."""
 
     @tidy
     def run(batches):
@@ -134,14 +139,51 @@ def _not_alone(rows: DataFrame) -> DataFrame:
                 equal = core[1:] == core[:-1]
                 keep = np.append(False, equal) | np.append(equal, False)
                 keep[0] = keep[-1] = True
-                yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(keep)) for k in (1, 2)], names=["rid", "at"])
-
-    return rows.repartitionByRange("core", "rid", "at").sortWithinPartitions("core").mapInArrow(run, "rid long, at long")
-
-
-def _window_rows(docs: DataFrame, length: int) -> DataFrame:
-    """docs(rid, text, ats) -> (core, left, right, whole, rid, at): the fine classes. left ends where the core begins;
-    whole is a hash of all three; at is the text position where left begins."""
+                yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in batch.columns], names=["core", "rid", "at"])
+
+    return rows.repartitionByRange("core", "rid", "at").sortWithinPartitions("core").mapInArrow(run, "core long, rid long, at long")
+
+
+def _shared_places(docs: DataFrame, length: int, broadcast_rows: int) -> DataFrame:
+    """docs(rid, text) -> (rid, ats, shared): the window starts of a text that have a core elsewhere, packed, and how many
+    of them have it in another document."""
+    rows = written(_core_rows(docs, length))  # dealing by ranges reads them twice
+    # Copies of a text have one rid.
+    found = written(_not_alone(rows).groupBy("core", "rid", "at").agg(F.count("*").alias("copies")))
+    across = (F.min("rid") < F.max("rid")) | (F.max("copies") > 1)
+    cores = written(found.groupBy("core").agg(F.sum("copies").alias("n"), across.alias("across")).where("n > 1").select("core", "across"))
+    cores = F.broadcast(cores) if cores.count() <= broadcast_rows else cores.hint("merge")
+    windows = F.expr("(at & 1023) - ((at >> 10) & 1023) + 1")
+    # At most a few for each 95 bytes of a text; each window start is in one of them.
+    places = found.join(cores, "core").groupBy("rid").agg(F.collect_list("at").alias("ats"), F.sum(F.when(F.col("across"), windows).otherwise(0)).alias("shared"))
+    return written(places)
+
+
+def candidate_runs(data: bytes, ats, length: int, passage: int) -> list[tuple[int, int, int]]:
+    """(anchor, first, last) of the runs of window starts to look at: all windows of `passage` bytes inside a window of
+    `length` are among ats."""
+    total, inside = len(data) - length + 1, length - passage + 1
+    if total <= 0:
+        return []
+    x = np.array(ats, "int64")
+    change = np.zeros(len(data) - passage + 2, "int32")
+    np.add.at(change, (x >> 20) - (x & 1023), 1)
+    np.add.at(change, (x >> 20) - (x >> 10 & 1023) + 1, -1)
+    found = np.append(0, np.cumsum(np.cumsum(change[:-1]) > 0))
+    ok = found[inside : inside + total] - found[:total] == inside
+    if not ok.any():
+        return []
+    anchor, first, last = anchors(data, length)
+    own = np.where(ok, np.repeat(anchor, last - first + 1), -1)
+    edge = np.flatnonzero(np.diff(own)) + 1
+    begin, end = np.append(0, edge), np.append(edge, total) - 1
+    keep = own[begin] >= 0
+    return list(zip(own[begin][keep].tolist(), begin[keep].tolist(), end[keep].tolist(), strict=True))
+
+
+def _window_rows(docs: DataFrame, length: int, passage: int) -> DataFrame:
+    """docs(rid, text, copies, ats) -> (core, left, right, whole, rid, at, copies): the fine classes. left ends where the
+    core begins; whole is a hash of all three; at is the text position where left begins."""
 
     def start():
         import xxhash
@@ -149,22 +191,22 @@ def _window_rows(docs: DataFrame, length: int) -> DataFrame:
         digest = xxhash.xxh3_64_intdigest
         size = length - FINE + 1
 
-        def work(rids, texts, ats):
+        def work(rids, texts, copies, ats):
             out = []
-            for rid, text, packed in zip(rids, texts, ats, strict=True):
+            for rid, text, n, packed in zip(rids, texts, copies, ats, strict=True):
                 data = (text or "").encode("utf-8", "replace")
-                for x in packed:
-                    anchor, lo, hi = x >> 20, x >> 10 & 1023, x & 1023
-                    for c, a, b in _classes(anchor, anchor - hi, anchor - lo, FINE):
+                for anchor, first, last in candidate_runs(data, packed, length, passage):
+                    for c, a, b in _classes(anchor, first, last, FINE):
                         begin = anchor - c * FINE
                         core = digest(data[begin : begin + size], seed=c) - (1 << 63)
                         left, right = data[anchor - b : begin], data[begin + size : anchor - a + length]
-                        out.append((core, left, right, digest(left + b"|" + right, seed=(core ^ len(left)) & 0xFFFFFFFF) - (1 << 63), rid, anchor - b))
-            return list(zip(*out, strict=True)) if out else [[]] * 6
+                        out.append((core, left, right, digest(left + b"|" + right, seed=(core ^ len(left)) & 0xFFFFFFFF) - (1 << 63), rid, anchor - b, n))
+            return list(zip(*out, strict=True)) if out else [[]] * 7
 
         return work
 
-    return by_batch(docs, ["rid", "text", "ats"], "core long, left binary, right binary, whole long, rid long, at long", start, rows=200)
+    schema = "core long, left binary, right binary, whole long, rid long, at long, copies long"
+    return by_batch(docs, ["rid", "text", "copies", "ats"], schema, start, rows=200)
 
 
 def _repeated_windows(strings: DataFrame, shard_symbols: int, task_symbols: int) -> DataFrame:
@@ -244,13 +286,16 @@ def spans_of(ats: list[int], masks: list[int], length: int) -> tuple[np.ndarray,
     return starts[np.append(0, edge + 1)], starts[np.append(edge, len(starts) - 1)] + length
 
 
-def removed_spans(docs: DataFrame, *, length: int = LENGTH, shard_symbols: int = 100_000, task_symbols: int = 400_000, most_strings: int = 2048, broadcast_cores: int = 1_000_000) -> DataFrame:
-    """docs(rid, text) -> (rid, begins, ends): removed runs of the documents that lose bytes."""
-    left = _not_alone(_core_rows(docs, length)).distinct()
-    places = left.groupBy("rid").agg(F.collect_list("at").alias("ats"))  # at most a few for each 95 bytes of the document
-    rows = written(_window_rows(docs.join(places.hint("merge"), "rid"), length))
+def removed_spans(docs: DataFrame, *, length: int = LENGTH, passage: int = PASSAGE, shard_symbols: int = 100_000, task_symbols: int = 400_000, most_strings: int = 2048, broadcast_cores: int = 1_000_000) -> DataFrame:
+    """docs(rid, text), rid a hash of the text -> (rid, begins, ends, shared) of the texts that lose bytes or share
+    windows of `passage` bytes: removed runs (null: none), and how many windows share a core with another document."""
+    passage = min(passage, length)
+    places = _shared_places(docs, passage, broadcast_cores)
+    # Of the copies of a text one is kept before texts move.
+    texts = docs.where(F.octet_length("text") >= length).groupBy("rid").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+    rows = written(_window_rows(texts.join(places.hint("merge"), "rid"), length, passage))
     # Equal strings are counted first; a core that comes once only has nothing to be equal to.
-    count = lambda r: r.groupBy("core", "left", "right", "whole").agg(F.count("*").alias("n"))
+    count = lambda r: r.groupBy("core", "left", "right", "whole").agg(F.sum("copies").alias("n"))
     crowded, few = written(_crowded_cores(rows, most_strings)), rows
     n = crowded.count()
     if n:
@@ -262,7 +307,7 @@ def removed_spans(docs: DataFrame, *, length: int = LENGTH, shard_symbols: int =
         masks = masks.union(_windows_one_by_one(count(rows.join(crowded, "core", "left_semi"))))
     masks = written(masks)
     hit = rows.select("core", "whole", "rid", "at").join(masks, ["core", "whole"])
-    hits = hit.groupBy("rid").agg(F.collect_list("at").alias("ats"), F.collect_list("mask").alias("masks"))
+    hits = hit.groupBy("rid").agg(F.collect_list("at").alias("ats"), F.collect_list("mask").alias("masks"))  # at most one for each byte of a text
 
     def start():
         def work(rids, ats, masks_):
@@ -271,13 +316,14 @@ def removed_spans(docs: DataFrame, *, length: int = LENGTH, shard_symbols: int =
 
         return work
 
-    return by_batch(hits, ["rid", "ats", "masks"], "rid long, begins array<long>, ends array<long>", start, rows=500)
+    spans = by_batch(hits, ["rid", "ats", "masks"], "rid long, begins array<long>, ends array<long>", start, rows=500)
+    return spans.join(places.select("rid", "shared"), "rid", "full").where("begins is not null or shared > 0")
 
 
 def _with_spans(docs: DataFrame, columns: list[str], length: int, broadcast_rows: int, **options) -> DataFrame:
-    docs = docs.select(*columns, F.xxhash64("doc_id", "text").alias("rid"))
+    docs = docs.select(*columns, F.xxhash64("text").alias("rid"))
     spans = written(removed_spans(docs.select("rid", "text"), length=length, **options))
-    n = spans.agg(F.coalesce(F.sum(F.size("begins")), F.lit(0))).first()[0]
+    n = spans.agg(F.coalesce(F.sum(1 + F.coalesce(F.size("begins"), F.lit(0))), F.lit(0))).first()[0]
     return docs.join(F.broadcast(spans) if n <= broadcast_rows else spans.hint("merge"), "rid", "left")
 
 
@@ -290,18 +336,20 @@ def cut(data: bytes, begins, ends) -> tuple[bytes, int, int]:
 
 
 def remove_repeats(docs: DataFrame, *, length: int = LENGTH, broadcast_rows: int = 1_000_000, **options) -> DataFrame:
-    """doc_id, kept (binary: the bytes that stay), n_bytes, n_removed, n_spans for every row of docs(doc_id, text)."""
+    """doc_id, kept (binary: the bytes that stay), n_bytes, n_removed, n_spans for every row of docs(doc_id, text), and
+    n_shared_windows: how many 256-byte windows have a core of 162 bytes or more in another document as well. It is above
+    0 for every text that shares 256 bytes with another one, though nothing is removed for fewer than 400."""
     joined = _with_spans(docs, ["doc_id", "text"], length, broadcast_rows, **options)
 
     def start():
-        def work(doc_ids, texts, begins, ends):
+        def work(doc_ids, texts, begins, ends, shared):
             data = [(t or "").encode("utf-8", "replace") for t in texts]
             out = [cut(*x) for x in zip(data, begins, ends, strict=True)]
-            return [doc_ids, [o[0] for o in out], [len(d) for d in data], [o[1] for o in out], [o[2] for o in out]]
+            return [doc_ids, [o[0] for o in out], [len(d) for d in data], [o[1] for o in out], [o[2] for o in out], [n or 0 for n in shared]]
 
         return work
 
-    return by_batch(joined, ["doc_id", "text", "begins", "ends"], "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long", start, rows=200)
+    return by_batch(joined, ["doc_id", "text", "begins", "ends", "shared"], "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long, n_shared_windows long", start, rows=200)
 
 
 def without_repeats(docs: DataFrame, *, length: int = LENGTH, broadcast_rows: int = 1_000_000, **options) -> DataFrame:
@@ -325,4 +373,4 @@ def without_repeats(docs: DataFrame, *, length: int = LENGTH, broadcast_rows: in
 def op2_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     """Digest of what is left of every document."""
     out = remove_repeats(read_table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "n_shared_windows")

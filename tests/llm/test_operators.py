@@ -127,6 +127,20 @@ def test_suffix_dedup(spark, docs, empty):
     assert cut.columns == docs.columns and cut.where("text is not null and n_chars <> char_length(text)").count() == 0
 
 
+def test_suffix_dedup_tells_of_shorter_passages(spark):
+    rng = random.Random(21)
+    passage = words(rng, 60)[:330]
+    line = words(rng, 20)[:120]
+    texts = [f"{words(rng, 80)} {passage} {words(rng, 30)}" for _ in range(3)] + [f"{words(rng, 70)} {line} {words(rng, 60)}" for _ in range(3)]
+    texts += [words(rng, 90), f"{line} {words(rng, 30)} {line}", None, words(rng, 10)]
+    for texts_ in (texts, [*texts, texts[6]]):
+        rows = [(i, t) for i, t in enumerate(texts_)]
+        got = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        copies = {6, len(texts)} if len(texts_) > len(texts) else set()
+        assert {r.doc_id for r in got if r.n_shared_windows > 0} == {0, 1, 2} | copies
+        assert {r.doc_id for r in got if r.n_removed > 0} == copies
+
+
 def test_suffix_dedup_of_a_crowded_core(spark, monkeypatch):
     rng = random.Random(8)
     passage = words(rng, 90)[:420]
