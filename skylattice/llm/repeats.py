@@ -5,8 +5,8 @@ hash of the 24-byte strings inside it, which depends on nothing outside; an anch
 are two anchors to a window's bytes. Windows of an anchor that lie alike around it share a core, a long string known
 from the anchor:
 
-1. Windows of 256 bytes: cores of 162 bytes or more that occur nowhere else are passed over (rows dealt by ranges of the
-   core's hash, so that a frequent core is no single task's). A 400-byte window all of whose 256-byte windows have a core
+1. Windows of 240 bytes: cores of 146 bytes or more that occur nowhere else are passed over (rows dealt by ranges of the
+   core's hash, so that a frequent core is no single task's). A 400-byte window all of whose 240-byte windows have a core
    elsewhere goes on.
 2. What is left is keyed by cores of 377 bytes. With the core as one symbol, the 24 windows around it are strings of at
    most 47 symbols, each window being 24 of them. Equal strings are counted before they move.
@@ -35,8 +35,8 @@ from .bwt import repeated
 from .shared import WORD, by_batch, read_table, tidy, written
 
 LENGTH = 400
-#: Windows of the first step. A passage of over 50 words is about this long, whatever is removed.
-PASSAGE = 256
+#: Windows of the first step. A passage of over 50 words is this long or longer, whatever is removed.
+PASSAGE = 240
 GRAM = 24
 COARSE, FINE = 95, 24
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
@@ -337,8 +337,8 @@ def cut(data: bytes, begins, ends) -> tuple[bytes, int, int]:
 
 def remove_repeats(docs: DataFrame, *, length: int = LENGTH, broadcast_rows: int = 1_000_000, **options) -> DataFrame:
     """doc_id, kept (binary: the bytes that stay), n_bytes, n_removed, n_spans for every row of docs(doc_id, text), and
-    n_shared_windows: how many 256-byte windows have a core of 162 bytes or more in another document as well. It is above
-    0 for every text that shares 256 bytes with another one, though nothing is removed for fewer than 400."""
+    n_shared_windows: how many 240-byte windows have a core of 146 bytes or more in another document as well. It is above
+    0 for every text that shares 240 bytes with another one, though nothing is removed for fewer than 400."""
     joined = _with_spans(docs, ["doc_id", "text"], length, broadcast_rows, **options)
 
     def start():
