@@ -32,10 +32,9 @@ def _sparse(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(rows)), sizes), flat
 
 
-def fit_nnpu(toxic: list[list[int]], unlabelled: list[list[int]], prior: float, *, steps: int = 300, rate: float = 0.1, decay: float = 2e-4, beta: float | None = None, support: int = 3) -> tuple[dict[int, float], float]:
+def fit_nnpu(toxic: list[list[int]], unlabelled: list[list[int]], prior: float, *, steps: int = 300, rate: float = 0.1, decay: float = 2e-4, beta: float = 0.0, support: int = 3) -> tuple[dict[int, float], float]:
     """({feature: weight}, bias) by full-batch Adam. Features that fewer than `support` texts hold get no weight. The
-    risk estimate may fall to -beta (by default the prior) before its gradient is reversed."""
-    beta = prior if beta is None else beta
+    estimate of the unlabelled risk may fall to -beta before its gradient is reversed; 0 is the non-negative estimator."""
     row, flat = _sparse(toxic + unlabelled)
     names, column, held = np.unique(flat, return_inverse=True, return_counts=True)
     ok = held[column] >= support
