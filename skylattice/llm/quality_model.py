@@ -3,10 +3,10 @@
 A text is a sparse vector: its hashed words (each distinct word 1 / sqrt(number of distinct words)), measures of its
 structure, and metadata columns that the caller names; numbers are standardised. The machine adds to a linear model
 the interactions of all pairs, each the product of two vectors of low rank, in linear time by
-sum over pairs = (square of the sum - sum of squares) / 2. It is fitted with numpy by Adam on the logistic loss.
+sum over pairs = (square of the sum - sum of squares) / 2. It is fitted with numpy by Adam over small batches on the logistic loss.
 
 Fitting takes at most `sample` labelled rows (a documented bound); scoring takes every row. Defined results: a null text
-is empty and has no words; a null metadatum counts as its mean; without labels of both kinds every score is the share of
+is empty and has no words; a text of any length is read whole; a null metadatum counts as its mean; without labels of both kinds every score is the share of
 label 1 (1.0 without labels at all); rows that repeat are scored each; other columns are ignored.
 """
 
@@ -70,7 +70,17 @@ class Machine:
         return float(1 / (1 + np.exp(-max(-50.0, min(50.0, z)))))
 
 
-def fit_machine(found: list[list[int]], dense: np.ndarray, y: np.ndarray, *, rank: int = 6, steps: int = 150, rate: float = 0.05, decay: float = 1e-4, support: int = 5, seed: int = 7) -> Machine:
+def pair_scores(w: np.ndarray, v: np.ndarray, bias: float, column: np.ndarray, x: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(z, vx, total) of rows that begin at `starts` in column and x: the linear part and half of (square of the sum less
+    sum of squares), which is the sum over all pairs."""
+    vx = v[column] * x[:, None]
+    total = np.add.reduceat(vx, starts)
+    pairs = 0.5 * ((total**2).sum(1) - np.add.reduceat((vx * vx).sum(1), starts))
+    return bias + np.add.reduceat(w[column] * x, starts) + pairs, vx, total
+
+
+def fit_machine(found: list[list[int]], dense: np.ndarray, y: np.ndarray, *, rank: int = 6, epochs: int = 16, batch: int = 512, rate: float = 0.02, decay: float = 1e-4, support: int = 5, seed: int = 7) -> Machine:
+    """Adam over batches of rows in a seeded order; features that fewer than `support` rows hold are left out."""
     mean = np.nan_to_num(np.nanmean(dense, 0)) if len(dense) else np.zeros(dense.shape[1])
     scale = np.where((s := np.nanstd(dense, 0)) > 1e-9, s, 1.0)
     sizes = np.fromiter(map(len, found), "int64", len(found))
@@ -87,28 +97,32 @@ def fit_machine(found: list[list[int]], dense: np.ndarray, y: np.ndarray, *, ran
     column = np.concatenate([column, np.tile(np.arange(width, width + d), n)])
     by_row = np.argsort(row, kind="stable")
     row, column, x = row[by_row], column[by_row], x[by_row]
-    order = np.argsort(column, kind="stable")  # by feature, to sum gradients
-    edges = np.flatnonzero(np.diff(column[order], prepend=-1))
-    here = column[order][edges]
-    starts = np.flatnonzero(np.diff(row, prepend=-1))
+    starts = np.flatnonzero(np.diff(row, prepend=-1))  # each row has its dense numbers
+    lengths = np.diff(np.append(starts, len(row)))
     rng = np.random.default_rng(seed)
     w, v, bias = np.zeros(width + d), rng.normal(0, 0.02, (width + d, rank)), float(np.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6)))
-    moments = [np.zeros_like(w), np.zeros_like(w), np.zeros_like(v), np.zeros_like(v), 0.0, 0.0]
-    for step in range(1, steps + 1):
-        vx = v[column] * x[:, None]
-        total = np.add.reduceat(vx, starts)
-        z = bias + np.add.reduceat(w[column] * x, starts) + 0.5 * ((total**2).sum(1) - np.add.reduceat((vx * vx).sum(1), starts))
-        g = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y) / n
-        gx = g[row] * x
-        gw, gv = np.zeros_like(w), np.zeros_like(v)
-        gw[here] = np.add.reduceat(gx[order], edges)
-        gv[here] = np.add.reduceat((gx[:, None] * (total[row] - vx))[order], edges)
-        for k, (p, grad) in enumerate(((w, gw + decay * w), (v, gv + decay * v))):
-            a, b = moments[2 * k], moments[2 * k + 1]
-            a += 0.1 * (grad - a)
-            b += 0.01 * (grad * grad - b)
-            p -= rate * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.99**step)) + 1e-8)
-        bias -= rate * float(g.sum())
+    moments = [(np.zeros_like(p), np.zeros_like(p)) for p in (w, v)]
+    step = 0
+    for _ in range(epochs):
+        order = rng.permutation(n)
+        for at in range(0, n, batch):
+            step += 1
+            rows = order[at : at + batch]
+            size = lengths[rows]
+            begin = np.append(0, np.cumsum(size))[:-1]
+            take = np.repeat(starts[rows] - begin, size) + np.arange(int(size.sum()))
+            c, xs, own = column[take], x[take], np.repeat(np.arange(len(rows)), size)
+            z, vx, total = pair_scores(w, v, bias, c, xs, begin)
+            g = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y[rows]) / len(rows)
+            gx = g[own] * xs
+            each = gx[:, None] * (total[own] - vx)
+            gw = np.bincount(c, gx, width + d)
+            gv = np.stack([np.bincount(c, each[:, k], width + d) for k in range(rank)], 1)
+            for (a, b), p, grad in zip(moments, (w, v), (gw + decay * w, gv + decay * v), strict=True):
+                a += 0.1 * (grad - a)
+                b += 0.01 * (grad * grad - b)
+                p -= rate * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.99**step)) + 1e-8)
+            bias -= rate * float(g.sum())
     machine.bias, machine.w, machine.v = bias, w, v
     return machine
 
@@ -141,4 +155,6 @@ def quality_scores(docs: DataFrame, labels: DataFrame, *, metadata: tuple[str, .
 
 
 def op9_quality_model(spark, sf_dir: str) -> DataFrame:
-    return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    """n_chars is the one metadatum: lang, source and doc_id are barred."""
+    docs = read_table(spark, sf_dir, "documents")
+    return quality_scores(docs, read_table(spark, sf_dir, "labels"), metadata=("n_chars",))

@@ -352,6 +352,52 @@ def test_classifiers(spark, docs, empty, labels):
             assert out.count() == docs.count() and out.where("score is null or score < 0 or score > 1 or predicted <> cast(score >= 0.5 as int)").count() == 0
 
 
+def test_machine_scores_are_sums_over_all_pairs():
+    rng = np.random.default_rng(3)
+    found = [sorted(rng.choice(40, rng.integers(0, 9), replace=False).tolist()) for _ in range(80)]
+    dense = rng.normal(size=(80, 3))
+    dense[4, 1] = np.nan
+    y = rng.integers(0, 2, 80).astype("float64")
+    m = quality_model.fit_machine(found, dense, y, epochs=2, batch=16, support=2)
+    for f, d in zip(found, m.dense(dense), strict=True):
+        x = {m.place[k]: 1 / max(1, len(f)) ** 0.5 for k in f if k in m.place} | {len(m.place) + i: v for i, v in enumerate(d)}
+        z = m.bias + sum(m.w[i] * v for i, v in x.items()) + sum(m.v[i] @ m.v[j] * x[i] * x[j] for i in x for j in x if i < j)
+        assert m.one(f, d) == pytest.approx(1 / (1 + np.exp(-z)))
+
+
+def test_quality_model_learns_a_pair():
+    rng = np.random.default_rng(5)
+    a, b = rng.integers(0, 2, 2000), rng.integers(0, 2, 2000)
+    found = [[k for k, on in ((1, p), (2, q), (3, True)) if on] for p, q in zip(a, b, strict=True)]
+    y = (a ^ b).astype("float64")  # no sum of single features tells it
+    m = quality_model.fit_machine(found, np.zeros((2000, 1)), y, epochs=60, rate=0.05)
+    assert np.mean([(m.one(f, np.zeros(1)) >= 0.5) == t for f, t in zip(found, y, strict=True)]) > 0.95
+
+
+def test_nnpu_gradient_follows_the_risk():
+    """One plain step: the weights move against the gradient of the risk, or of what is below zero in it."""
+    rng = np.random.default_rng(8)
+    toxic, rest = ([sorted(rng.choice(12, 4, replace=False).tolist()) for _ in range(k)] for k in (6, 15))
+    prior, n = 0.3, 12
+
+    def risk(w, bias):
+        z = lambda rows: np.array([sum(w[k] for k in r) + bias for r in rows])
+        plus = prior * np.logaddexp(0, -z(toxic)).mean()
+        minus = np.logaddexp(0, z(rest)).mean() - prior * np.logaddexp(0, z(toxic)).mean()
+        return (plus + minus if minus >= 0 else -minus), minus
+
+    start = np.log(prior / (1 - prior))
+    one, bias = toxicity.fit_nnpu(toxic, rest, prior, steps=1, decay=0.0, support=1)
+    for k in range(n):
+        up, down = np.zeros(n), np.zeros(n)
+        up[k], down[k] = 1e-5, -1e-5
+        slope = (risk(up, start)[0] - risk(down, start)[0]) / 2e-5
+        assert abs(slope) < 1e-9 or np.sign(one.get(k, 0.0)) == -np.sign(slope)
+    # However long it is fitted, the unlabelled risk does not run below zero for good.
+    weights, bias = toxicity.fit_nnpu(toxic, rest, prior, steps=400, decay=0.0, support=1)
+    assert risk(np.array([weights.get(k, 0.0) for k in range(n)]), bias)[1] > -0.1
+
+
 def test_mixing(spark, docs, empty):
     out = mixing.mix(docs, block_words=16, shard_slots=64, bucket_rows=7)
     got = out.documents.collect()
