@@ -10,7 +10,7 @@ from skylattice.llm.mixing import mixed_texts
 from skylattice.llm.ngram_join import one_of_each
 from skylattice.llm.packing import pack_documents
 from skylattice.llm.quality_rules import passing
-from skylattice.llm.repeats import without_repeats
+from skylattice.llm.repeats import PASSAGE, without_repeats
 from skylattice.llm.shared import read_table, written
 
 
@@ -25,8 +25,8 @@ def near_duplicates(spark, docs, sf_dir):
 
 
 def repeated_passages(spark, docs, sf_dir):
-    """Bytes inside 400-byte strings that start anywhere else too are cut out."""
-    return without_repeats(docs)
+    """Bytes inside 240-byte strings that start anywhere else too are cut out: so long is a passage of over 50 words."""
+    return without_repeats(docs, length=PASSAGE)
 
 
 def mixing(spark, docs, sf_dir):
