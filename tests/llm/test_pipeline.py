@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline
-from skylattice.llm import quality_rules, queries
+from skylattice.llm import quality_rules, queries, repeats
 from skylattice.llm.shared import written
 
 from .test_operators import SCHEMA, WORD, joined_by_hand, removed_by_hand, sample
@@ -31,7 +31,7 @@ def test_stages(spark, folder):
     groups = joined_by_hand([(r.doc_id, r.text) for r in kept], 5, 80)
     assert sorted(r.doc_id for r in second.collect()) == sorted({c for _, _, c in groups})
     third = written(stages["suffix-array dedup"](spark, second, folder))
-    removed = {i: n for i, _, n, _, _ in removed_by_hand([(r.doc_id, r.text) for r in second.collect()])}
+    removed = {i: n for i, _, n, _, _ in removed_by_hand([(r.doc_id, r.text) for r in second.collect()], repeats.PASSAGE)}
     before = {r.doc_id: r.text for r in second.collect()}
     for r in third.collect():
         assert len(r.text.encode()) == len(before[r.doc_id].encode()) - removed[r.doc_id] and r.n_chars == len(r.text)
