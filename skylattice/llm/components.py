@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import discard, written
 
 
 def _round(edges: DataFrame) -> DataFrame:
@@ -27,9 +27,13 @@ def components(edges: DataFrame) -> DataFrame:
     """edges(u, v: long) -> (node, component): the least node reachable, for every node that has an edge to another. As
     many rounds as it takes; their number grows with the logarithm of a chain's length."""
     now = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    before = None
     while True:
         now = written(_round(now.select("u", "v")))
+        if before is not None:
+            discard(before)
         if not now.where("moved").limit(1).count():
             break
+        before = now
     roots = now.select(F.col("v").alias("node")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots.withColumn("component", F.col("node")))

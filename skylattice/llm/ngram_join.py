@@ -9,7 +9,7 @@ each give such a filter, and a candidate must pass all of them before its sets a
 2. The same under a second hash order, for what is left.
 3. Stars: documents with the same first token under either order are compared with a bounded number of those met before
    that are not yet joined to them. This joins large groups of near copies in linear time; components of these links need no pair inside compared.
-4. Prefixes under a third order, commonest tokens (by a sketch of fixed size) last: pairs still apart that share enough
+4. Prefixes under a third order, the commonest tokens, counted over all sets, last: pairs still apart that share enough
    rare prefix tokens are compared, and what shares a frequent one is compared with what that token leads to, whole sets
    in blocks. This is exact: every link between components is found.
 
@@ -25,10 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import by_batch, read_table, tidy, written
+from .shared import by_batch, discard, read_table, tidy, written
 
 WORDS, PERCENT = 4, 85
-SKETCH = 1 << 17
+#: Tokens that are told to be frequent, at most: the third order puts them last.
+FREQUENT = 500_000
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -204,41 +205,42 @@ def _stars(sets: DataFrame, key: str, percent: int, kept: int, tries: int) -> Da
     return sets.sortWithinPartitions(key, "n", "node").select(key, "node", "tokens").mapInArrow(run, "u long, v long")
 
 
-def _sketch(sets: DataFrame) -> np.ndarray:
-    """Counts of tokens by hash slot, SKETCH numbers however many tokens there are: how common a token may be."""
+def _frequent(sets: DataFrame, few: int, most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens ascending, levels): the tokens of more than `few` sets and the logarithm of how many hold them; of the
+    commonest levels as many as `most` tokens fill. It sets an order only: a token left out makes the search longer, not
+    its result different. Near copies lie together in sets, so most is counted before the shuffle."""
+    level = F.floor(F.log2("holders")).cast("int")
+    counted = sets.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("holders"))
+    common = written(counted.where(F.col("holders") > few).select("token", level.alias("level")))
+    sizes = sorted(common.groupBy("level").count().collect(), reverse=True)  # a row for each power of two
+    room, least = most, 64
+    for r in sizes:
+        room -= r[1]
+        if room < 0:
+            break
+        least = r[0]
+    kept = common.where(F.col("level") >= least).sort("token").toArrow()  # `most` rows of two numbers at most
+    discard(common)
+    return kept.column(0).to_numpy(), kept.column(1).to_numpy().astype("int8")
+
+
+def _third_prefixes(sets: DataFrame, frequent: tuple[np.ndarray, np.ndarray], percent: int) -> DataFrame:
+    """(node, n, component, token) of the prefixes under the third order: frequent tokens last, by level, then by hash."""
+    sent = sets.sparkSession.sparkContext.broadcast(frequent)  # FREQUENT rows of two numbers at most
 
     @tidy
     def run(batches):
         import pyarrow as pa
 
-        total = np.zeros(SKETCH, "int64")
-        for batch in batches:
-            values = batch.column(0).values.to_numpy(zero_copy_only=False)
-            total += np.bincount((values & (SKETCH - 1)).astype("int64"), minlength=SKETCH)
-        slots = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(slots.astype("int32")), pa.array(total[slots])], names=["slot", "count"])
-
-    counted = sets.select("tokens").mapInArrow(run, "slot int, count long").groupBy("slot").agg(F.sum("count").alias("count")).toPandas()
-    out = np.zeros(SKETCH, "int64")
-    out[counted["slot"].to_numpy()] = counted["count"].to_numpy()
-    return out
-
-
-def _third_prefixes(sets: DataFrame, sketch: np.ndarray, percent: int) -> DataFrame:
-    """(node, n, component, token) of the prefixes under the third order: commonest last, by steps well above what
-    other tokens add to a slot, else by hash."""
-    step = max(64, int(2 * np.median(sketch)))
-    sent = sets.sparkSession.sparkContext.broadcast((sketch // step).astype("int32"))  # SKETCH numbers
-
-    @tidy
-    def run(batches):
-        import pyarrow as pa
-
-        level = sent.value
+        known, levels = sent.value
         for batch in batches:
             rows = []
             for tokens in _lists(batch.column(3)):
-                order = np.lexsort((_second(tokens) ^ np.int64(0x5555555555555555), level[tokens & (SKETCH - 1)]))
+                level = np.zeros(len(tokens), "int8")
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
+                    level = np.where(known[at] == tokens, levels[at], 0)
+                order = np.lexsort((_second(tokens) ^ np.int64(0x5555555555555555), level))
                 rows.append(tokens[order[: _prefix(len(tokens), percent)]])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), _array(rows)], names=["node", "n", "component", "prefix"])
 
@@ -406,8 +408,9 @@ def _parts(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT, kept:
         return by_batch(docs.select(_row_hash().alias("row"), "text").join(small(nodes_.select(F.col("own").alias("row"), "node")), "row"), ["node", "text"], schema, start)
 
     prefixes = written(sets_of(left, True))
-    again = _enough(_in_other_sets(prefixes.select("node", "prefix")), left, percent)
-    sets = sets_of(written(again), False)
+    again = written(_enough(_in_other_sets(prefixes.select("node", "prefix")), left, percent))
+    discard(prefixes, left)
+    sets = sets_of(again, False)
     if table.groupBy("row").count().where("count > 1").limit(1).count():
         sets = sets.dropDuplicates(["node"])
     # Kept in ranges of the first token: near copies mostly lie together.
@@ -416,9 +419,11 @@ def _parts(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT, kept:
     stars = _stars(sets, "first", percent, kept, tries).unionByName(_stars(sets.repartitionByRange("second", "node"), "second", percent, kept, tries))
     label = written(components(stars))
     labelled = sets.join(small(label), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    rows = written(_third_prefixes(labelled, _sketch(sets), percent))
+    rows = written(_third_prefixes(labelled, _frequent(sets, few), percent))
     shared = written(rows.join(_mixed(rows), "token"))
+    discard(rows)
     more = written(_across(shared, sets, percent, few).unionByName(_verified(written(_rare_pairs(shared, percent, few)), sets, percent)))
+    discard(shared, sets, again)
     if more.limit(1).count():
         label = components(label.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more))
 

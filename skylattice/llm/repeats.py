@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bwt import repeated
-from .shared import WORD, by_batch, read_table, tidy, written
+from .shared import WORD, by_batch, discard, read_table, tidy, written
 
 LENGTH = 400
 #: Windows of the first step. A passage of over 50 words is this long or longer, whatever is removed.
@@ -150,13 +150,16 @@ def _shared_places(docs: DataFrame, length: int, broadcast_rows: int) -> DataFra
     rows = written(_core_rows(docs, length))  # dealing by ranges reads them twice
     # Copies of a text have one rid.
     found = written(_not_alone(rows).groupBy("core", "rid", "at").agg(F.count("*").alias("copies")))
+    discard(rows)
     across = (F.min("rid") < F.max("rid")) | (F.max("copies") > 1)
     cores = written(found.groupBy("core").agg(F.sum("copies").alias("n"), across.alias("across")).where("n > 1").select("core", "across"))
     cores = F.broadcast(cores) if cores.count() <= broadcast_rows else cores.hint("merge")
     windows = F.expr("(at & 1023) - ((at >> 10) & 1023) + 1")
     # At most a few for each 95 bytes of a text; each window start is in one of them.
     places = found.join(cores, "core").groupBy("rid").agg(F.collect_list("at").alias("ats"), F.sum(F.when(F.col("across"), windows).otherwise(0)).alias("shared"))
-    return written(places)
+    out = written(places)
+    discard(found)
+    return out
 
 
 def candidate_runs(data: bytes, ats, length: int, passage: int) -> list[tuple[int, int, int]]:
@@ -317,12 +320,14 @@ def removed_spans(docs: DataFrame, *, length: int = LENGTH, passage: int = PASSA
         return work
 
     spans = by_batch(hits, ["rid", "ats", "masks"], "rid long, begins array<long>, ends array<long>", start, rows=500)
-    return spans.join(places.select("rid", "shared"), "rid", "full").where("begins is not null or shared > 0")
+    out = written(spans.join(places.select("rid", "shared"), "rid", "full").where("begins is not null or shared > 0"))
+    discard(rows, masks, places)
+    return out
 
 
 def _with_spans(docs: DataFrame, columns: list[str], length: int, broadcast_rows: int, **options) -> DataFrame:
     docs = docs.select(*columns, F.xxhash64("text").alias("rid"))
-    spans = written(removed_spans(docs.select("rid", "text"), length=length, **options))
+    spans = removed_spans(docs.select("rid", "text"), length=length, **options)
     n = spans.agg(F.coalesce(F.sum(1 + F.coalesce(F.size("begins"), F.lit(0))), F.lit(0))).first()[0]
     return docs.join(F.broadcast(spans) if n <= broadcast_rows else spans.hint("merge"), "rid", "left")
 
