@@ -98,6 +98,22 @@ def test_rules_find_a_conjunction():
     assert (hit == y).mean() > 0.98 and quality_rules.learn_rules(x, np.zeros(3000, bool)) == []
 
 
+def test_rules_are_one_ordered_expression(spark):
+    d, l = learnable(spark)
+    out = quality_rules.quality_rules(d, l)
+    names = list(quality_rules.measures())
+    rows = quality_rules.text_stats(d).withColumns(quality_rules.measures()).join(l.where("quality is not null"), "doc_id").orderBy("doc_id", "quality").toPandas()
+    rows = rows[(rows.n_words >= 20) & (100 * rows.n_repeat_words <= 30 * rows.n_words)]
+    rules = quality_rules.learn_rules({n: rows[n].to_numpy("float64") for n in names}, (rows["quality"] == 0).to_numpy())
+    assert rules
+    want = {}
+    for _, r in rows.iterrows():
+        hit = [k for k, rule in enumerate(rules, 1) if all(r[n] <= at if op == "<=" else r[n] > at for n, op, at in rule.conditions)]
+        want[int(r.doc_id)] = hit[0] if hit else 0
+    got = {r.doc_id: (r.rule, r.kept) for r in out.where("not base_failed").collect()}
+    assert {k: v[0] for k, v in got.items()} == want and all(v[1] == (v[0] == 0) for v in got.values())
+
+
 def removed_by_hand(rows, length=400):
     seen = Counter()
     data = [(t or "").encode() for _, t in rows]
@@ -321,6 +337,32 @@ def test_license_scan_returns_every_notice():
     assert again[1:3] == (6, "MIT")
 
 
+def _common(a, b):
+    """Longest common subsequence."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = 0
+        for k, y in enumerate(b, 1):
+            last, row[k] = row[k], last + 1 if x == y else max(row[k], row[k - 1])
+    return row[-1]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from("abcde"), min_size=1, max_size=7), st.lists(st.sampled_from("abcdex"), max_size=14), st.sampled_from([0.2, 0.35, 0.6]))
+def test_license_matches_are_the_best_alignments(template, block, most):
+    got = {end: (begin, n) for begin, end, n in licenses.Scanner({}, most_differences=most).matches(template, block)}
+    cost = lambda b, e: len(template) + e - b - 2 * _common(template, block[b:e])
+    for end in range(1, len(block) + 1):
+        least = min(cost(b, end) for b in range(end + 1))
+        if least <= most * len(template) and end in got:
+            begin, n = got[end]
+            assert n == least == cost(begin, end)
+        elif end in got:
+            raise AssertionError((end, got[end], least))
+        elif least <= most * len(template):
+            assert cost(end, end) == least  # only the empty stretch does it
+
+
 def _auc(y, z):
     r = np.argsort(np.argsort(z)) + 1
     return (r[y].sum() - y.sum() * (y.sum() + 1) / 2) / (y.sum() * (~y).sum())

@@ -1,5 +1,6 @@
 """The pipeline on a small table, stage by stage against brute force, and its queries by name."""
 
+import hashlib
 import re
 from collections import Counter
 
@@ -48,5 +49,32 @@ def test_stages(spark, folder):
     assert corpus_pipeline.run(spark, folder).count() == last.count()
 
 
+@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+def test_queries_give_every_document(spark, folder, name):
+    docs = Counter(r.doc_id for r in spark.read.parquet(f"{folder}/documents.parquet").collect())
+    out = queries.QUERIES[name](spark, folder)
+    got = Counter(r.doc_id for r in (out.where("piece = 0") if name == "op10_pack" else out).select("doc_id").collect())
+    assert got == docs
+
+
+def test_fingerprint_query_by_hand(spark, folder):
+    docs = sorted(((r.doc_id, r.text or "") for r in spark.read.parquet(f"{folder}/documents.parquet").collect()), reverse=True)
+
+    def shingles(text):
+        ws = WORD.findall(text)
+        return {tuple(ws[i : i + 5]) for i in range(max(1, len(ws) - 4))} if ws else set()
+
+    want = []
+    for (i, text), (_, following) in zip(docs, docs[1:] + docs[:1], strict=True):
+        third = len(text) // 3
+        edited = text[: len(text) - third] + following[:third]
+        a, b, c = shingles(text), shingles(edited), shingles(following)
+        near = [len(a & x) / len(a | x) if a | x else 1.0 for x in (b, c)]
+        want.append((i, len(text), hashlib.sha256(edited.encode()).hexdigest(), *near, max(len(a | b), len(a | c))))
+    got = sorted((r.doc_id, r.n_chars, r.edited_sha256, r.near_edited, r.near_next) for r in queries.QUERIES["op5_fingerprints"](spark, folder).collect())
+    for g, w in zip(got, sorted(want), strict=True):
+        assert g[:3] == w[:3] and g[3:] == pytest.approx(w[3:5], abs=1e-9 if w[5] <= 128 else 0.25)
+
+
 def test_names():
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 11)) and SCHEMA
