@@ -369,7 +369,8 @@ def without_repeats(docs: DataFrame, *, length: int = LENGTH, broadcast_rows: in
         return pd.Series(out, dtype="object")
 
     hit = F.col("begins").isNotNull()
-    out = joined.select("_row", hit.alias("_hit"), rest("text", "begins", "ends").alias("_text")).where(~F.col("_hit") | F.col("_text").rlike(WORD))
+    # Only texts that lose something go through Python.
+    out = joined.select("_row", hit.alias("_hit"), F.when(hit, rest(F.when(hit, F.col("text")), "begins", "ends")).otherwise(F.col("text")).alias("_text")).where(~F.col("_hit") | F.col("_text").rlike(WORD))
     kinds = dict(docs.dtypes)
     own = {"text": F.col("_text"), "n_chars": F.when(F.col("_hit"), F.char_length("_text")).otherwise(F.col("_row.n_chars")).cast(kinds["n_chars"]) if "n_chars" in kinds else None}
     return out.select(*[own[c].alias(c) if own.get(c) is not None else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
