@@ -14,28 +14,38 @@ from skylattice.llm.repeats import PASSAGE, without_repeats
 from skylattice.llm.shared import read_table, written
 
 
+def small_batches(spark):
+    """The pipeline owns its session: rows hold whole texts, so few of them go to Python at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def quality(spark, docs, sf_dir):
     """Documents that the base rules or the learned decision list reject go."""
+    small_batches(spark)
     return passing(docs, read_table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark, docs, sf_dir):
     """Of each group of near copies the document with the least doc_id stays: five-word shingles, 0.8 or more."""
+    small_batches(spark)
     return one_of_each(docs, words=5, percent=80)
 
 
 def repeated_passages(spark, docs, sf_dir):
     """Bytes inside 240-byte strings that start anywhere else too are cut out: so long is a passage of over 50 words."""
+    small_batches(spark)
     return without_repeats(docs, length=PASSAGE)
 
 
 def mixing(spark, docs, sf_dir):
     """Sources are mixed to their target weights, in blocks of 1024 words."""
+    small_batches(spark)
     return mixed_texts(docs, block_words=1024)
 
 
 def packing(spark, docs, sf_dir):
     """The mixed texts are packed into sequences of at most 2048 tokens."""
+    small_batches(spark)
     return pack_documents(docs)
 
 
