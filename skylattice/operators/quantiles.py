@@ -22,12 +22,15 @@ def _bin(value: Column, cuts: Column) -> Column:
     return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(cuts, at + step - 1) < value, at + step).otherwise(at))
 
 
-def exact_quantiles(df: DataFrame, column: str, shares: dict[str, float], keys: tuple[str, ...] = ()) -> DataFrame:
+def exact_quantiles(df: DataFrame, column: str, shares: dict[str, float], keys: tuple[str, ...] = (), small: int = 1_000_000) -> DataFrame:
     """One row of each key (one row without keys): keys and, by name, the quantile at each share, between neighbours in
     proportion. Null values are left out; a key without values has no row."""
     k = [F.col(f"`{c}`") for c in keys] or [F.lit(0).alias("_all")]
     names = list(keys) or ["_all"]
     rows = df.where(F.col(column).isNotNull()).select(*k, F.col(column).cast("double").alias("_v"))
+    largest = rows.groupBy(*names).count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+    if largest <= small:  # what an aggregate holds of one key is bounded by this count
+        return rows.groupBy(*names).agg(*[F.percentile("_v", F.lit(p)).alias(name) for name, p in shares.items()]).select(*keys, *shares)
     points = [i / BINS for i in range(1, BINS)]
     # One row a key; the arrays have BINS - 1 numbers.
     cuts = rows.groupBy(*names).agg(F.percentile_approx("_v", points, 10_000).alias("_cuts"), F.count("*").alias("_n"))

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from skylattice.operators import metrics, neighbourhood, resample, stacks, verdicts
+from skylattice.operators import comparison, metrics, neighbourhood, products, quantiles, resample, stacks, verdicts
 from skylattice.plans.tables import criteria
 from skylattice.streaming import streams
 
@@ -90,6 +90,59 @@ def test_blocks_equal_pixels(spark):
     assert abs(np.mean([x.t for x in drawn]) - 1) < 0.2 and [x.t for x in drawn] != [x.u for x in drawn]
 
 
+@pytest.mark.parametrize("small", [0, 10**6])
+def test_exact_quantiles(spark, small):
+    rng = np.random.default_rng(12)
+    values = {0: rng.normal(size=3000), 1: np.round(rng.exponential(3, 2500)), 2: np.array([4.0]), 3: np.full(1500, -1.5)}
+    rows = [(k, float(v)) for k, vs in values.items() for v in vs] + [(0, None), (9, None)]
+    df = spark.createDataFrame(rows, "k int, v double").repartition(5)
+    shares = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.9, "e": 1.0}
+    got = {r.k: tuple(r)[1:] for r in quantiles.exact_quantiles(df, "v", shares, keys=("k",), small=small).collect()}
+    assert set(got) == set(values)
+    for k, vs in values.items():
+        assert got[k] == pytest.approx([np.quantile(vs, p) for p in shares.values()])
+    every = quantiles.exact_quantiles(df, "v", shares, small=small).collect()
+    assert [tuple(r) for r in every] == [pytest.approx([np.quantile(np.concatenate(list(values.values())), p) for p in shares.values()])]
+    assert quantiles.exact_quantiles(df.where("v is null"), "v", shares, keys=("k",), small=small).count() == 0
+
+
+@pytest.mark.parametrize(("sigma", "size"), [(1.0, 9), (3.0, 4), (0.5, 1)])
+def test_gaussian_by_hand(spark, sigma, size):
+    z = np.random.default_rng(13).normal(size=(size, size + 2))
+    rows = [(0, r, c, None if (r, c) == (0, 1) else float(z[r, c])) for r in range(size) for c in range(size + 2)]
+    z[0, 1] = 0
+    reach = int(4 * sigma + 0.5)
+    w = np.exp(-0.5 * (np.arange(-reach, reach + 1) / sigma) ** 2)
+    w /= w.sum()
+    for axis in (1, 0):
+        padded = np.pad(z, [(reach, reach) if a == axis else (0, 0) for a in (0, 1)], mode="symmetric")
+        z = np.apply_along_axis(lambda line: np.convolve(line, w, "valid"), axis, padded)
+    got = products.gaussian(spark.createDataFrame(rows, "scene_id int, row int, col int, v double"), "v", sigma).collect()
+    assert len(got) == z.size and all(r.v == pytest.approx(z[r.row, r.col]) for r in got)
+
+
+def test_prepared_needs_a_method_and_a_form(spark):
+    native = spark.createDataFrame([(0, 0, 0, 1.0)], "scene_id int, row int, col int, value double")
+    for method in (None, "cubic"):
+        with pytest.raises(ValueError, match="method"):
+            comparison.prepared(native, native, method=method)
+    with pytest.raises(ValueError, match="reference"):
+        comparison.prepared(native, native.select("value"), method="nearest")
+    with pytest.raises(Exception, match="no layer"):
+        comparison.stack_layers(spark.createDataFrame([(0, 0, 0, None)], "epoch int, row int, col int, vv struct<re: double, im: double>"), "vv").collect()
+
+
+def test_late_epochs_are_told_apart(spark, tmp_path):
+    schema = "stack long, epoch long"
+    out = []
+    for rows in ([(1, 10), (1, 20), (2, 5)], [(1, 15), (1, 30), (1, 30), (2, 6)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        source = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        out = streams.run_available(streams.epoch_pairs(source), str(tmp_path / "run")).collect()
+    assert sorted((r.stack, r.first, r.second, r.late) for r in out if r["first"] is not None) == [(1, 10, 20, False), (1, 20, 30, False), (2, 5, 6, False)]
+    assert sorted((r.stack, r.second, r.late) for r in out if r["first"] is None) == [(1, 10, False), (1, 15, True), (1, 30, True), (2, 5, False)]
+
+
 def test_verdicts(spark):
     r = spark.createDataFrame([("a", {"rmse_db": 0.1}, ["rtc.rmse_db_max", "nope_min", "dist.f1_min"])], "cell string, measurements map<string,double>, criterion_ids array<string>")
     assert [x.verdict for x in verdicts.evaluated(r, criteria(spark)).orderBy("place").collect()] == ["PASS", "UNKNOWN", "MEASUREMENT_MISSING"]
