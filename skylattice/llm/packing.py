@@ -16,7 +16,6 @@ import bisect
 import zlib
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -128,9 +127,11 @@ def pack(pieces: DataFrame, *, capacity: int = CAPACITY, nodes: int = 3000, buck
     rank = F.row_number().over(W.partitionBy("length", "_bucket").orderBy("key")) - 1
     ranked = dealt.withColumn("_rank", rank).join(offsets, ["length", "_bucket"]).withColumn("_rank", F.col("_rank") + F.col("_before"))
 
-    @F.pandas_udf("sequence_id long, offset long")
-    def place(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
-        n, r = length.to_numpy(), rank.to_numpy()
+    @F.arrow_udf("struct<sequence_id:bigint,offset:bigint>")
+    def place(length, rank):
+        import pyarrow as pa
+
+        n, r = length.to_numpy(zero_copy_only=False), rank.to_numpy(zero_copy_only=False)
         sequence, offset = np.zeros(len(n), "int64"), np.zeros(len(n), "int64")
         order = np.argsort(n, kind="stable")
         edges = np.flatnonzero(np.diff(n[order], prepend=-1, append=-1))
@@ -139,7 +140,7 @@ def pack(pieces: DataFrame, *, capacity: int = CAPACITY, nodes: int = 3000, buck
             ranks, first, at = places[int(n[rows[0]])]
             k = np.searchsorted(ranks, r[rows], "right") - 1
             sequence[rows], offset[rows] = first[k] + r[rows] - ranks[k], at[k]
-        return pd.DataFrame({"sequence_id": sequence, "offset": offset})
+        return pa.StructArray.from_arrays([pa.array(sequence), pa.array(offset)], ["sequence_id", "offset"])
 
     placed = ranked.withColumn("_at", place("length", "_rank"))
     own = [F.col(f"`{c}`") for c in pieces.columns if c not in ("sequence_id", "offset")]

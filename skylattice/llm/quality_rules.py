@@ -14,11 +14,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import by_batch, label_sample, read_table, written
+from .shared import by_batch, give_back, label_sample, read_table, written
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
@@ -217,9 +216,14 @@ def passing(docs: DataFrame, labels: DataFrame, *, sample: int = 50_000, **optio
     fields = STATS.split(", ", 1)[1]
     columns = [f.split()[0] for f in fields.split(", ")]
 
-    @F.pandas_udf(fields)
-    def counts(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([text_counts(t) for t in texts], columns=columns, dtype="int64")
+    @F.arrow_udf(fields)
+    def counts(texts):
+        import pyarrow as pa
+
+        found = list(zip(*(text_counts(t) for t in texts.to_pylist()), strict=True)) or [[]] * len(columns)
+        out = pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in found], columns)
+        give_back()
+        return out
 
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     stats = docs.select(whole, counts("text").alias("_stats")).select("_row", "_stats.*").withColumn("base_failed", base_failed())

@@ -27,12 +27,11 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bwt import repeated
-from .shared import WORD, by_batch, discard, read_table, tidy, written
+from .shared import WORD, by_batch, discard, give_back, read_table, tidy, written
 
 LENGTH = 400
 #: Windows of the first step. A passage of over 50 words is this long or longer, whatever is removed.
@@ -363,10 +362,14 @@ def without_repeats(docs: DataFrame, *, length: int = LENGTH, broadcast_rows: in
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     joined = _with_spans(docs.select("doc_id", "text", whole), ["doc_id", "text", "_row"], length, broadcast_rows, **options)
 
-    @F.pandas_udf("string")
-    def rest(texts: pd.Series, begins: pd.Series, ends: pd.Series) -> pd.Series:
-        out = [t if a is None or not t else cut(t.encode("utf-8", "replace"), a, b)[0].decode("utf-8", "ignore") for t, a, b in zip(texts, begins, ends, strict=True)]
-        return pd.Series(out, dtype="object")
+    @F.arrow_udf("string")
+    def rest(texts, begins, ends):
+        import pyarrow as pa
+
+        rows = zip(texts.to_pylist(), begins.to_pylist(), ends.to_pylist(), strict=True)
+        out = pa.array([t if a is None or not t else cut(t.encode("utf-8", "replace"), a, b)[0].decode("utf-8", "ignore") for t, a, b in rows], pa.string())
+        give_back()
+        return out
 
     hit = F.col("begins").isNotNull()
     # Only texts that lose something go through Python.

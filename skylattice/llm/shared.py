@@ -63,6 +63,15 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def give_back() -> None:
+    """Memory that Python has freed, to the system."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def tidy(run):
     """For functions of mapInArrow: a Python worker outlives its task, so what the task has freed goes back to the system
     when it ends, however many workers an executor keeps."""
@@ -72,12 +81,8 @@ def tidy(run):
         try:
             yield from run(batches)
         finally:
-            import pyarrow as pa
-
             gc.collect()
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
-                ctypes.CDLL(None).malloc_trim(0)
+            give_back()
 
     return wrapped
 
