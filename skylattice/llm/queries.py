@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .fingerprints import op5_fingerprints
 from .licenses import op6_license_scan
+from .lines import OP12_SQL, op12_line_dedup
 from .mixing import op8_mix_sources
 from .ngram_join import op4_ngram_join
 from .packing import op10_pack
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_mix_sources": op8_mix_sources,
     "op9_quality_model": op9_quality_model,
     "op10_pack": op10_pack,
+    "op12_line_dedup": op12_line_dedup,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op12_line_dedup": OP12_SQL}

@@ -49,7 +49,7 @@ def test_stages(spark, folder):
     assert corpus_pipeline.run(spark, folder).count() == last.count()
 
 
-@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - {"op11_phrases", "op13_ranked_search"}))
 def test_queries_give_every_document(spark, folder, name):
     docs = Counter(r.doc_id for r in spark.read.parquet(f"{folder}/documents.parquet").collect())
     out = queries.QUERIES[name](spark, folder)
@@ -77,4 +77,4 @@ def test_fingerprint_query_by_hand(spark, folder):
 
 
 def test_names():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 11)) and SCHEMA
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == [*range(1, 11), 12] and SCHEMA
