@@ -37,7 +37,7 @@ TOP = 2000
 SHARDS = 3
 SLOT_BITS = 24
 #: Words that a task remembers the keys of before it starts anew, and keys it gathers before it counts them.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 BUFFER_KEYS = 1_000_000
 
 LENGTH_BITS = 3
@@ -82,8 +82,8 @@ class Reader:
     def __init__(self):
         self.languages: dict[str, Keys] = {}
 
-    def split(self, text: str | None) -> list[bytes]:
-        return (text or "").encode("utf-8", "replace").translate(_PLAIN).replace(_END, b" \xff ").split()
+    def split(self, text: bytes | None) -> list[bytes]:
+        return (text or b"").translate(_PLAIN).replace(_END, b" \xff ").split()
 
     def keys(self, lang: str | None) -> Keys:
         got = self.languages.get(lang)
@@ -202,67 +202,80 @@ def _scanned(shard: DataFrame, slots, scan: int, shards: int, longest: int) -> D
         tally.parts[0].append((keys, np.array(list(totals.values()), "int64")))
         yield from given()
 
-    return shard.select("lang", "text").mapInArrow(run, COUNTS)
+    return shard.select("lang", F.col("text").cast("binary")).mapInArrow(run, COUNTS)
 
 
-def _resolved(docs: DataFrame, slots, longest: int) -> DataFrame:
-    """(key, lang, phrase) of all phrases, words and languages that may have reached the threshold; those that a task
-    meets more than once are given once in a while."""
+def _resolved(dealt: DataFrame, slots, claims, longest: int) -> DataFrame:
+    """(key, lang, phrase) of all phrases, words and languages that reached the threshold. claims: a byte a slot, with a
+    bit for each shard in which a phrase of the slot is to be looked for, so that it is told by the tasks of one shard
+    instead of all; a task tells it once, or again when it has told BUFFER_KEYS others."""
     schema = "key long, lang string, phrase string"
 
     @tidy
     def run(batches):
         import pyarrow as pa
 
-        reader, seen = Reader(), set()
-        table = np.frombuffer(slots.value, "uint8")
-        shift = np.uint64(64 - int(len(table)).bit_length() + 1)
+        reader, told, totals = Reader(), np.array([], "uint64"), set()
+        reached, claimed = np.frombuffer(slots.value, "uint8"), np.frombuffer(claims.value, "uint8")
+        shift = np.uint64(64 - int(len(reached)).bit_length() + 1)
+
+        def block(shard, langs, texts):
+            nonlocal told
+            bit = np.uint8(1 << shard)
+            split = [reader.split(t) for t in texts]
+            arrays, starts, at = [], [], 0
+            for lang, words in zip(langs, split, strict=True):
+                starts.append(at)
+                arrays += [reader.read(lang, words), np.zeros(1, "uint64")]
+                at += len(words) + 1
+            words = np.concatenate(arrays)
+            one = np.flatnonzero(words)
+            found = [(1, one, words[one]), *[(length, place, keys) for length, place, keys, _ in phrases_of(words, reached, longest)]]
+            out = [(reader.keys(lang).total, lang, "") for lang in set(langs) - totals]
+            totals.update(langs)
+            fresh = []
+            for length, place, keys in found:
+                here = np.flatnonzero(claimed[keys >> shift] & bit)
+                keys, first = np.unique(keys[here], return_index=True)
+                new = ~np.isin(keys, told, assume_unique=True)
+                keys, place = keys[new], place[here[first[new]]]
+                fresh.append(keys)
+                docs = np.searchsorted(starts, place, "right") - 1
+                for key, d, p in zip(keys.tolist(), docs.tolist(), (place - np.array(starts)[docs]).tolist(), strict=True):
+                    out.append((key, langs[d], b" ".join(split[d][p : p + length]).decode()))
+            told = np.concatenate([told, *fresh])
+            if len(told) > BUFFER_KEYS:
+                told = told[:0]
+            keys, names, phrases = zip(*out, strict=True) if out else ((), (), ())
+            names = ["und" if x is None else x for x in names]
+            columns = [pa.array(np.array(keys, "uint64").view("int64")), pa.array(names, "string"), pa.array(phrases, "string")]
+            return pa.RecordBatch.from_arrays(columns, names=["key", "lang", "phrase"])
+
         for batch in batches:
-            keys, langs, phrases = [], [], []
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                split = reader.split(text)
-                words = reader.read(lang, split)
-                name = "und" if lang is None else lang
-                total = reader.keys(lang).total
-                at = np.flatnonzero((words != 0) & (table[words >> shift] != NEVER))
-                found = [(1, at, words[at])]
-                for length, at, longer, _ in phrases_of(words, table, longest):
-                    good = table[longer >> shift] != NEVER
-                    found.append((length, at[good], longer[good]))
-                new = [(total, "")] if total not in seen else []
-                for length, at, longer in found:
-                    for k, p in zip(longer.tolist(), at.tolist(), strict=True):
-                        if k not in seen:
-                            seen.add(k)
-                            new.append((k, b" ".join(split[p : p + length]).decode()))
-                seen.add(total)
-                for k, phrase in new:
-                    keys.append(k)
-                    langs.append(name)
-                    phrases.append(phrase)
-            if len(seen) > BUFFER_KEYS:
-                seen.clear()
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(keys, "uint64").view("int64")), pa.array(langs, "string"), pa.array(phrases, "string")], names=["key", "lang", "phrase"])
-
-    return docs.select("lang", "text").mapInArrow(run, schema)
+            for k in range(0, batch.num_rows, 500):
+                shards, langs, texts = (c.to_pylist() for c in batch.slice(k, 500).columns)
+                for shard in set(shards):
+                    mine = [i for i, x in enumerate(shards) if x == shard]
+                    yield block(shard, [langs[i] for i in mine], [texts[i] for i in mine])
+
+    return dealt.select("shard", "lang", F.col("text").cast("binary")).mapInArrow(run, schema)
 
 
 def _length():
     return F.col("key").bitwiseAND(2**LENGTH_BITS - 1)
 
 
-def _reached_slots(state: DataFrame, scan: int, slot_bits: int) -> DataFrame:
-    """(word, bits, shortest): a bitmap, 64 slots a row, of the phrases that reached the threshold in this scan."""
+def _bitmap(keys: DataFrame, slot_bits: int, *by: str) -> DataFrame:
+    """(by, word, bits, shortest): a bitmap of the slots of keys(key, by), 64 a row."""
     slot = F.shiftrightunsigned("key", 64 - slot_bits)
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(63).cast("int"))
-    now = state.where((F.col("reached") == scan) & (_length() > 0))
-    return now.groupBy(F.shiftright(slot, 6).alias("word")).agg(F.bit_or(bit).alias("bits"), F.min(_length()).alias("shortest"))
+    return keys.groupBy(*by, F.shiftright(slot, 6).alias("word")).agg(F.bit_or(bit).alias("bits"), F.min(_length()).alias("shortest"))
 
 
-def _set_slots(slots: np.ndarray, words: np.ndarray, bits: np.ndarray, scan: int) -> None:
+def _places(words: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """The slots of a bitmap."""
     row, bit = np.nonzero(np.unpackbits(bits.astype("<i8").view("uint8").reshape(-1, 8), axis=1, bitorder="little"))
-    at = words[row] * 64 + bit
-    slots[at[slots[at] == NEVER]] = scan
+    return words[row] * 64 + bit
 
 
 @dataclass
@@ -278,8 +291,8 @@ class Counted:
 def count_phrases(docs: DataFrame, *, least: int = LEAST, longest: int = LONGEST, shards: int = SHARDS, slot_bits: int = SLOT_BITS) -> Counted:
     """Count the phrases of docs(lang, text) of up to `longest` words that occur `least` times or more. slot_bits sets the
     size of the table that tasks get, not the result: 2 ** slot_bits should be well above the number of such phrases."""
-    if not 1 <= longest < 2**LENGTH_BITS or not 6 <= slot_bits <= 30 or least < 1 or shards < 1:
-        raise ValueError(f"phrases go from 1 to {2**LENGTH_BITS - 1} words, slot_bits from 6 to 30, least and shards from 1")
+    if not 1 <= longest < 2**LENGTH_BITS or not 6 <= slot_bits <= 30 or least < 1 or not 1 <= shards <= 8:
+        raise ValueError(f"phrases go from 1 to {2**LENGTH_BITS - 1} words, slot_bits from 6 to 30, shards from 1 to 8, least from 1")
     spark = docs.sparkSession
     # Dealt once, so that a scan reads its own shard only.
     own = [c for c in ("lang", "text", "doc_id") if c in docs.columns]
@@ -301,17 +314,27 @@ def count_phrases(docs: DataFrame, *, least: int = LEAST, longest: int = LONGEST
         sent.destroy()
         if before is not None:
             discard(before)
-        found = _reached_slots(state, scan, slot_bits).toPandas()  # 2 ** slot_bits / 64 rows at most
-        if len(found):
-            _set_slots(slots, found["word"].to_numpy(), found["bits"].to_numpy(), scan)
-            if found["shortest"].min() < longest:
+        found = _bitmap(state.where((F.col("reached") == scan) & (_length() > 0)), slot_bits).toArrow()  # 2 ** slot_bits / 64 rows at most
+        if found.num_rows:
+            at = _places(found["word"].to_numpy(), found["bits"].to_numpy())
+            slots[at[slots[at] == NEVER]] = scan
+            if found["shortest"].to_numpy().min() < longest:
                 last = scan
         scan += 1
-    sent = spark.sparkContext.broadcast(slots.tobytes())
-    texts = _resolved(dealt, sent, longest).groupBy("key").agg(F.first("lang").alias("lang"), F.first("phrase").alias("phrase"))
+    # A phrase that reached the threshold in a scan occurs in that scan's shard.
+    claims = np.zeros(2**slot_bits, "uint8")
+    kept = state.where((F.col("n") >= least) & (_length() > 0)).withColumn("shard", F.col("reached") % shards)
+    found = _bitmap(kept, slot_bits, "shard").toArrow()  # shards times as many rows at most
+    at_shard = found["shard"].to_numpy()
+    for shard in range(shards):
+        rows = np.flatnonzero(at_shard == shard)
+        claims[_places(found["word"].to_numpy()[rows], found["bits"].to_numpy()[rows])] |= 1 << shard
+    sent, told = spark.sparkContext.broadcast(slots.tobytes()), spark.sparkContext.broadcast(claims.tobytes())
+    texts = _resolved(dealt, sent, told, longest).groupBy("key").agg(F.first("lang").alias("lang"), F.first("phrase").alias("phrase"))
     counts = state.where((F.col("n") >= least) | (_length() == 0)).select("key", "n")
     counted = written(counts.join(texts, "key").select("lang", _length().cast("int").alias("words"), "phrase", F.col("n").alias("a")))
     sent.destroy()
+    told.destroy()
     discard(state, dealt)
     return Counted(counted.where("words > 0"), counted.where("words = 0").select("lang", F.col("a").alias("n")), scan)
 

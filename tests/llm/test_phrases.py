@@ -106,7 +106,7 @@ def test_products_beyond_64_bits(spark):
 def test_a_longer_phrase_starts_after_its_parts():
     """A phrase of two starts in the scan after both words have reached the threshold, not where one has not."""
     reader = phrases.Reader()
-    words = reader.read("en", reader.split("a b. a c"))
+    words = reader.read("en", reader.split(b"a b. a c"))
     slots = np.full(2**16, phrases.NEVER, "uint8")
     shift = np.uint64(48)
     slots[words[0] >> shift], slots[words[1] >> shift] = 1, 4
