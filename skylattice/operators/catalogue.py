@@ -114,3 +114,43 @@ def covering(times: DataFrame, spans: DataFrame, bucket_seconds: int, keys: list
     b = lambda c: F.floor(F.unix_timestamp(c) / bucket_seconds).cast("long")
     s = spans.withColumn("_b", F.explode(F.sequence(b(F.col("start")), b(F.col("stop")))))
     return times.withColumn("_b", b(F.col("t"))).join(s, [*(keys or []), "_b"]).where("start <= t and t <= stop").drop("_b")
+
+
+def orbit_file(name: Column) -> dict[str, Column]:
+    """What an orbit file's name says: its type, and from when to when it is valid (null where the name does not say)."""
+    kind = F.when(name.contains("POEORB"), "POEORB").when(name.contains("RESORB"), "RESORB").otherwise("UNKNOWN")
+    at = lambda k: F.try_to_timestamp(F.nullif(F.regexp_extract(name, r"_V(\d{8}T\d{6})_(\d{8}T\d{6})", k), F.lit("")), F.lit("yyyyMMdd'T'HHmmss"))
+    return {"type": kind, "start": at(1), "stop": at(2)}
+
+
+def orbit_coverage(rows: DataFrame, name: str = "name", t: str = "t") -> DataFrame:
+    """rows with type, start, stop and covers: whether the file's validity holds the time; null if the name has none."""
+    rows = rows.withColumns(orbit_file(F.col(name)))
+    covers = F.when(F.col("start").isNotNull() & F.col("stop").isNotNull(), F.col(t).between(F.col("start"), F.col("stop")))
+    return rows.withColumn("covers", covers)
+
+
+def orbit_assigned(times: DataFrame, files: DataFrame, bucket_seconds: int, keys: list[str] | None = None) -> DataFrame:
+    """times(tid, t, keys) with the orbit file(name, keys) that covers each: a precise one before a restituted one, the
+    latest begun before others, then by name; null where none does. Files without a window in their names cover nothing.
+    One row a time and task is kept before the shuffle, so a key whose files all overlap is no burden."""
+    spans = files.withColumns(orbit_file(F.col("name"))).where("start is not null and stop is not null and start <= stop")
+    hits = covering(times, spans, bucket_seconds, keys)
+    rank = F.when(F.col("type") == "POEORB", 0).when(F.col("type") == "RESORB", 1).otherwise(2)
+    best = hits.groupBy("tid").agg(F.min(F.struct(rank.alias("rank"), (-F.unix_timestamp("start")).alias("begun"), "name", "type")).alias("_b"), F.count("*").alias("n_covering"))
+    best = best.select("tid", F.col("_b.name").alias("orbit"), F.col("_b.type").alias("type"), "n_covering")
+    return times.select("tid").join(best, "tid", "left").withColumn("n_covering", F.coalesce("n_covering", F.lit(0)))
+
+
+def frame_at_hour(granules: DataFrame, keys: list[str], hour: int) -> DataFrame:
+    """granules(keys, name, seq) -> for each of keys the frame with the most granules among those whose last granule was
+    taken in the full hour; without such, among those one hour off; without these, among all. Ties go to the frame that
+    came first. Granules whose names tell no frame are left out; a name without a time has the hour -1."""
+    frame = F.get(F.filter(F.split("name", "_"), lambda p: p.startswith("F")), 0)
+    taken = F.coalesce(F.nullif(F.regexp_extract("name", r"_\d{8}T(\d{2})\d{4}Z_", 1), F.lit("")).cast("int"), F.lit(-1))
+    one = granules.select(*keys, "seq", frame.alias("frame"), taken.alias("hour")).where("frame is not null")
+    frames = one.groupBy(*keys, "frame").agg(F.count("*").alias("n"), F.max_by("hour", "seq").alias("hour"), F.min("seq").alias("first"))
+    off = F.abs(F.col("hour") - hour)
+    tier = F.when(off == 0, 0).when(off <= 1, 1).otherwise(2)
+    best = frames.groupBy(*keys).agg(F.min(F.struct(tier.alias("tier"), (-F.col("n")).alias("less"), "first", "frame", "hour")).alias("_b"))
+    return best.select(*keys, F.col("_b.frame").alias("frame"), F.col("_b.hour").alias("hour"), (-F.col("_b.less")).alias("n"), F.col("_b.tier").alias("tier"))

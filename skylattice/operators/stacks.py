@@ -65,8 +65,9 @@ def velocity(stack: DataFrame, column: str = "unwrapped", least: int = 3, sign:
     return out.select("row", "col", F.when(F.col("n") >= least, sign * F.col("slope") * MM_PER_RADIAN * 365.25).alias("velocity"))
 
 
-def _planes(ifg: DataFrame, least: int) -> DataFrame:
-    """Plane of each interferogram from centred moments; null with fewer than `least` pixels or all on one line."""
+def planes(ifg: DataFrame, least: int) -> DataFrame:
+    """Plane of each interferogram from centred moments; null with fewer than `least` pixels. Where all pixels lie on one
+    line, many planes fit alike: the one whose three coefficients are least, taken together as squares, is given."""
     ok = ifg.where(F.col("phase").isNotNull() & (F.col("phase") != 0))
     x, y, z = (F.col(c).cast("double") for c in ("col", "row", "phase"))
     m = ok.groupBy("ifg_idx").agg(
@@ -74,27 +75,37 @@ def _planes(ifg: DataFrame, least: int) -> DataFrame:
         F.var_pop(x).alias("xx"), F.var_pop(y).alias("yy"), F.covar_pop(x, y).alias("xy"), F.covar_pop(x, z).alias("xz"), F.covar_pop(y, z).alias("yz"),
     )
     c = F.col
-    det = c("xx") * c("yy") - c("xy") * c("xy")
-    enough = (c("n") >= least) & (det > 1e-12)
-    a = F.when(enough, (c("xz") * c("yy") - c("yz") * c("xy")) / det)
-    b = F.when(enough, (c("yz") * c("xx") - c("xz") * c("xy")) / det)
+    det, spread = c("xx") * c("yy") - c("xy") * c("xy"), c("xx") + c("yy")
+    line = det <= 1e-12 * F.greatest(spread * spread, F.lit(1.0))
+    # Along the line: its direction (u, v), the slope along it, and the value there that the plane has at the origin.
+    by_x = c("xx") >= c("yy")
+    du, dv = F.when(by_x, c("xx")).otherwise(c("xy")), F.when(by_x, c("xy")).otherwise(c("yy"))
+    m = m.withColumns({"_line": line, "_u": F.try_divide(du, F.hypot(du, dv)), "_v": F.try_divide(dv, F.hypot(du, dv))})
+    m = m.withColumn("_g", F.coalesce(F.try_divide(c("_u") * c("xz") + c("_v") * c("yz"), spread), F.lit(0.0)))
+    m = m.withColumns({"_u": F.coalesce("_u", F.lit(1.0)), "_v": F.coalesce("_v", F.lit(0.0))})
+    # Turning the plane about the line by t leaves its values on the line as they are; t is where the squares are least.
+    rest, lever = c("mz") - c("_g") * (c("_u") * c("mx") + c("_v") * c("my")), c("_u") * c("my") - c("_v") * c("mx")
+    m = m.withColumn("_t", rest * lever / (1 + lever * lever))
+    enough = c("n") >= least
+    a = F.when(enough & c("_line"), c("_g") * c("_u") - c("_t") * c("_v")).when(enough, (c("xz") * c("yy") - c("yz") * c("xy")) / det)
+    b = F.when(enough & c("_line"), c("_g") * c("_v") + c("_t") * c("_u")).when(enough, (c("yz") * c("xx") - c("xz") * c("xy")) / det)
     return m.select("ifg_idx", "n", a.alias("slope_x"), b.alias("slope_y"), (c("mz") - a * c("mx") - b * c("my")).alias("intercept"))
 
 
 def ramps(ifg: DataFrame, least: int = 100) -> DataFrame:
     """slope_x, slope_y, intercept, magnitude (peak to peak of the plane over its pixels), direction in degrees."""
-    planes = _planes(ifg, least)
+    fits = planes(ifg, least)
     plane = F.col("slope_x") * F.col("col") + F.col("slope_y") * F.col("row")
     ok = ifg.where(F.col("phase").isNotNull() & (F.col("phase") != 0))
-    span = ok.join(planes, "ifg_idx").groupBy("ifg_idx").agg((F.max(plane) - F.min(plane)).alias("magnitude"))
-    return planes.join(span, "ifg_idx").withColumn("direction", F.degrees(F.atan2("slope_y", "slope_x")))
+    span = ok.join(fits, "ifg_idx").groupBy("ifg_idx").agg((F.max(plane) - F.min(plane)).alias("magnitude"))
+    return fits.join(span, "ifg_idx").withColumn("direction", F.degrees(F.atan2("slope_y", "slope_x")))
 
 
 def deramped(ifg: DataFrame, least: int = 100) -> DataFrame:
     """phase less its plane; interferograms without a plane stay. Zeros are left out of the fit, but not here."""
-    planes = _planes(ifg, least).select("ifg_idx", "slope_x", "slope_y", "intercept")
+    fits = planes(ifg, least).select("ifg_idx", "slope_x", "slope_y", "intercept")
     plane = F.col("slope_x") * F.col("col") + F.col("slope_y") * F.col("row") + F.col("intercept")
-    return ifg.join(planes, "ifg_idx", "left").withColumn("phase", F.col("phase") - F.coalesce(plane, F.lit(0.0))).select(*ifg.columns)
+    return ifg.join(fits, "ifg_idx", "left").withColumn("phase", F.col("phase") - F.coalesce(plane, F.lit(0.0))).select(*ifg.columns)
 
 
 def ramp_aggregate(fits: DataFrame) -> DataFrame:
@@ -121,10 +132,10 @@ def attributed(sigma, correlation, cutoff_deg: float = 30.0, cutoff_r: float = 0
 
 def unwrap_quality(ifg: DataFrame, threshold: float = 1.0) -> DataFrame:
     """RMS about the plane, and whether it is above the threshold; 0 with fewer than 4 pixels."""
-    planes = _planes(ifg, 4).drop("n")
+    fits = planes(ifg, 4).drop("n")
     plane = F.col("slope_x") * F.col("col") + F.col("slope_y") * F.col("row") + F.col("intercept")
     d = F.col("phase") - plane
-    out = ifg.where(F.col("phase").isNotNull() & (F.col("phase") != 0)).join(planes, "ifg_idx").groupBy("ifg_idx").agg(F.coalesce(F.sqrt(F.avg(d * d)), F.lit(0.0)).alias("residual_rms"))
+    out = ifg.where(F.col("phase").isNotNull() & (F.col("phase") != 0)).join(fits, "ifg_idx").groupBy("ifg_idx").agg(F.coalesce(F.sqrt(F.avg(d * d)), F.lit(0.0)).alias("residual_rms"))
     return out.withColumn("flagged", F.col("residual_rms") > threshold)
 
 

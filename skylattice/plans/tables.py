@@ -33,10 +33,17 @@ cast(0.5 as double) + s_suppkey % 3 as half from supplier"""
 ITEMS = """select event_id as id, ts as sensing, value % 100 as cloud, user_id % 5 as orbit, event_type as platform, user_id % 7 as tile from events"""
 SCORES = """select p_size % 5 as aoi, div(p_size, 5) % 2 as season, cast(0.08 as double) + cast(0.005 as double) * (p_size % 45) as wigt, cast(-0.2 as double) + cast(0.01 as double) * (p_partkey % 31) as awgt,
 avg(cast((p_partkey * 31) % 997 as double) / 997) as f1 from part group by 1, 2, 3, 4"""
+# Shapes by their corners, in order; coordinates are quarters, so that touching is exact.
+CORNERS = """select s_suppkey as id, k, cast((s_suppkey * 7919) % 797 as double) / 4 + (1 + s_suppkey % 3 + case when s_suppkey % 29 = 0 then 12 else 0 end) * dx as x,
+cast((s_suppkey * 10477) % 613 as double) / 4 + (1 + s_suppkey % 3 + case when s_suppkey % 29 = 0 then 12 else 0 end) * dy as y
+from supplier join (values (0, 0, 0.0, 0.0), (0, 1, 4.0, 0.0), (0, 2, 0.0, 4.0), (1, 0, 0.0, 0.0), (1, 1, 4.0, 0.0), (1, 2, 4.0, 1.0), (1, 3, 1.0, 1.0), (1, 4, 1.0, 4.0), (1, 5, 0.0, 4.0),
+(2, 0, 0.0, 0.0), (2, 1, 4.0, 3.75), (2, 2, 4.0, 4.0), (3, 0, 0.0, 0.0), (3, 1, 2.0, 0.0), (3, 2, 2.0, 2.0), (3, 3, 0.0, 2.0)) t(kind, k, dx, dy) on s_suppkey % 4 = kind"""
+FOOTPRINTS = """select c_custkey as id, k, cast((c_custkey * 3571) % 809 as double) / 4 + dx as x, cast((c_custkey * 2741) % 631 as double) / 4 + dy as y
+from customer join (values (0, 0, 0.0, 0.0), (0, 1, 3.0, 1.0), (0, 2, 3.5, 2.0), (0, 3, 0.5, 1.0), (1, 0, 0.0, 0.0), (1, 1, 0.25, 0.0), (1, 2, 0.25, 0.25), (1, 3, 0.0, 0.25), (2, 0, 0.0, 0.0), (2, 1, 5.0, 0.25), (2, 2, 5.0, 0.5)) t(kind, k, dx, dy) on c_custkey % 3 = kind"""
 
 ALL = {
     "pairs": PAIRS, "binary_pairs": BINARY, "grid": GRID, "bands": BANDS, "classes": CLASSES, "stack": STACK, "ifg": IFG,
-    "points": POINTS, "polygons": POLYGONS, "items": ITEMS, "scores": SCORES,
+    "points": POINTS, "polygons": POLYGONS, "corners": CORNERS, "footprints": FOOTPRINTS, "items": ITEMS, "scores": SCORES,
 }
 
 

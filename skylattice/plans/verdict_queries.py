@@ -46,27 +46,63 @@ def b02_block_bootstrap(spark, sf_dir):
 
 @REG.add()
 def b01_bootstrap_scaled(spark, sf_dir):
+    """500 replicates, each of as many draws as there are whole blocks; no SQL draws the same."""
     p = _pairs(spark, sf_dir)
-    blocks = R.block_counts(p, *_extent(p), 7)
-    return rounded(R.bootstrap(blocks, 500, R.poisson_times()))
+    height, width = _extent(p)
+    return rounded(R.bootstrap_exact(R.block_counts(p, height, width, 7), (height // 7) * (width // 7)))
+
+
+@REG.add(
+    with_tables("classes")
+    + """, e as (select status, max(row) + 1 as height, max(col) + 1 as width from classes group by 1 union all select -1, 3660, 3660 from region where r_regionkey = 0)
+select status, (height // 33) * (width // 33) as kept, (height // 33 + 1) * (width // 33 + 1) - (height // 33) * (width // 33) as dropped,
+case when (height // 33) * (width // 33) = 0 then 'raster (' || height || 'x' || width || ') too small for blocks of 33x33 pixels' end as error from e"""
+)
+def b01_block_grid(spark, sf_dir):
+    """Blocks of a kilometre at 30 m that each class's extent keeps and drops, and those of a whole tile."""
+    e = table(spark, sf_dir, "classes").groupBy("status").agg((F.max("row") + 1).alias("height"), (F.max("col") + 1).alias("width"))
+    tile = table(spark, sf_dir, "region").where("r_regionkey = 0").select(F.lit(-1).alias("status"), F.lit(3660).alias("height"), F.lit(3660).alias("width"))
+    return R.block_grid(e.unionByName(tile), 33).select("status", "kept", "dropped", "error")
+
+
+#: The thresholds of the whole grid: 45 by 31.
+_W, _A = [round(0.08 + 0.005 * k, 3) for k in range(45)], [round(-0.2 + 0.01 * k, 2) for k in range(31)]
+_BITS = "(mbsrv > mbsrn)::int + 2 * (mndwi > -0.44 and swir1 < 900 and nir < 1500 and ndvi < 0.7)::int + 4 * (mndwi > -0.44 and blue < 1000 and swir1 < 3000 and swir2 < 1000 and nir < 2500)::int"
+
 
+def _class_rules() -> list[list[bool]]:
+    """For each value of the three other bits, whether the class is water by which of the two thresholds are passed."""
+    def water(bit0: int, rest: int, bit2: int) -> bool:
+        return S.WATER_CLASS[bit0 + 2 * (rest & 1) + 4 * bit2 + 8 * (rest >> 1 & 1) + 16 * (rest >> 2)] in (1, 2, 3)
 
-_W, _A = [round(0.08 + 0.02 * k, 3) for k in range(12)], [float(-1000 + 500 * k) for k in range(7)]
+    return [[water(0, r, 0), water(1, r, 0), water(0, r, 1), water(1, r, 1)] for r in range(8)]
 
 
 @REG.add(
     with_tables("bands")
-    + f""", i as (select scene_id, (green - swir1) / (green + swir1 + 1e-10) as mndwi, blue + 2.5 * green - 1.5 * (nir + swir1) - 0.25 * swir2 as awesh, (green + red > nir + swir1) as bit1, (event_id % 3 = 0)::int as reference from bands where scl not in (3, 8, 9, 10)),
+    + f""", i as (select scene_id, (green - swir1) / (green + swir1 + 1e-10) as mndwi, (nir - red) / (nir + red + 1e-10) as ndvi, green + red as mbsrv, nir + swir1 as mbsrn,
+  (blue + 2.5 * green - 1.5 * (nir + swir1) - 0.25 * swir2) / 10000 as awesh, blue, nir, swir1, swir2, (event_id % 3 = 0)::int as reference from bands where scl not in (3, 8, 9, 10)),
+p as (select scene_id, mndwi, awesh, {_BITS} as rest, reference from i),
 g as (select w.wigt, a.awgt from (select unnest({_W})::double as wigt) w, (select unnest({_A})::double as awgt) a),
-c as (select scene_id, wigt, awgt, (case when bit1 then mndwi > wigt or awesh > awgt else mndwi > wigt and awesh > awgt end)::int as predicted, reference from i, g),
-s as (select scene_id, wigt, awgt, {_COUNTS} from c group by all) select scene_id, wigt, awgt, tp, fp, fn, tn, round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 6) as f1, round(coalesce(correct / nullif(total, 0), 0), 6) as accuracy from s"""
+c as (select scene_id, wigt, awgt, ({list(S.WATER_CLASS)}[1 + (mndwi > wigt)::int + 2 * (rest & 1) + 4 * (awesh > awgt)::int + 8 * ((rest >> 1) & 1) + 16 * (rest >> 2)] in (1, 2, 3))::int as predicted, reference from p, g),
+s as (select scene_id, wigt, awgt, {{_COUNTS}} from c group by all) select scene_id, wigt, awgt, tp, fp, fn, tn, round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 6) as f1, round(coalesce(correct / nullif(total, 0), 0), 6) as accuracy from s""".replace("{_COUNTS}", _COUNTS)
 )
 def c01_grid_search(spark, sf_dir):
+    """All 1,395 points of the grid, all five bits; the fixed thresholds stay as they are."""
     c = F.col
     b = table(spark, sf_dir, "bands").where(~c("scl").isin(*S.CLOUDS))
-    bit1 = c("green") + c("red") > c("nir") + c("swir1")
-    p = b.select("scene_id", ((c("green") - c("swir1")) / (c("green") + c("swir1") + 1e-10)).alias("mndwi"), (c("blue") + 2.5 * c("green") - 1.5 * (c("nir") + c("swir1")) - 0.25 * c("swir2")).alias("awesh"), bit1.alias("wet_by_one"), (~bit1).alias("wet_by_both"), (c("event_id") % 3 == 0).cast("int").alias("reference"))
-    return rounded(R.grid_search(p, _W, _A, ["scene_id"]).select("scene_id", "wigt", "awgt", "tp", "fp", "fn", "tn", "f1", "accuracy"))
+    b = b.withColumns({
+        "mndwi": (c("green") - c("swir1")) / (c("green") + c("swir1") + 1e-10), "ndvi": (c("nir") - c("red")) / (c("nir") + c("red") + 1e-10),
+        "awesh": (c("blue") + 2.5 * c("green") - 1.5 * (c("nir") + c("swir1")) - 0.25 * c("swir2")) / 10000,
+    })
+    bits = [
+        c("green") + c("red") > c("nir") + c("swir1"),
+        (c("mndwi") > -0.44) & (c("swir1") < 900) & (c("nir") < 1500) & (c("ndvi") < 0.7),
+        (c("mndwi") > -0.44) & (c("blue") < 1000) & (c("swir1") < 3000) & (c("swir2") < 1000) & (c("nir") < 2500),
+    ]
+    rest = sum(b_.cast("int") * (1 << k) for k, b_ in enumerate(bits))
+    p = b.select("scene_id", "mndwi", "awesh", rest.alias("rest"), (c("event_id") % 3 == 0).cast("int").alias("reference"))
+    return rounded(R.grid_search(p, _W, _A, ["scene_id"], _class_rules()).select("scene_id", "wigt", "awgt", "tp", "fp", "fn", "tn", "f1", "accuracy"))
 
 
 _BEST = ", b as (select wigt, awgt, avg(f1) as mean_f1 from scores group by 1, 2 order by 3 desc, 1, 2 limit 1)"

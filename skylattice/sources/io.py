@@ -8,8 +8,10 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.projections import from_laea
+
 LON, LAT = ("longitude", "lon", "x_lon"), ("latitude", "lat", "y_lat")
-STD = ("mean_velocity_std", "velocity_std", "std", "rmse")
+EAST, NORTH = ("easting",), ("northing",)
 
 
 # Names that a standard deviation goes by, and what is reported when none of them is there.
@@ -29,14 +31,18 @@ def std_ledger(df: DataFrame, most: float = 2.0) -> DataFrame:
 
 
 def points(df: DataFrame, velocity: str = "mean_velocity") -> DataFrame:
-    """lon, lat, mean_velocity, mean_velocity_std (null without such a column) of one layout, names in any case."""
+    """lon, lat, mean_velocity, mean_velocity_std (null without such a column) of one layout, names in any case. Without
+    longitude and latitude, easting and northing are taken, metres on the European equal-area grid."""
     names = {c.lower(): c for c in df.columns}
     pick = lambda options: next((names[o] for o in options if o in names), None)
-    lon, lat, v, s = pick(LON), pick(LAT), names.get(velocity), pick(STD)
-    if not (lon and lat and v):
+    number = lambda c: F.col(f"`{c}`").try_cast("double")
+    geographic, grid = (pick(LON), pick(LAT)), (pick(EAST), pick(NORTH))
+    v, s = names.get(velocity), pick(STD_ALIASES)
+    if not v or not (all(geographic) or all(grid)):
         raise ValueError(f"no position or {velocity} among {df.columns}")
-    std = F.col(f"`{s}`").try_cast("double") if s else F.lit(None).cast("double")
-    return df.select(F.col(f"`{lon}`").try_cast("double").alias("lon"), F.col(f"`{lat}`").try_cast("double").alias("lat"), F.col(f"`{v}`").try_cast("double").alias("mean_velocity"), std.alias("mean_velocity_std"))
+    lon, lat = map(number, geographic) if all(geographic) else from_laea(*map(number, grid))
+    std = number(s) if s else F.lit(None).cast("double")
+    return df.select(lon.alias("lon"), lat.alias("lat"), number(v).alias("mean_velocity"), std.alias("mean_velocity_std"))
 
 
 def read_points(spark: SparkSession, paths: list[str], velocity: str = "mean_velocity") -> DataFrame:
