@@ -25,7 +25,7 @@ from .shared import SPACE, read_table, word_count, written
 @dataclass
 class Mix:
     """documents: a row per document with what is taken of it; slots: the mix itself (shard, slot, source, block);
-    pieces: which words of which document each block holds, with the passes that take it."""
+    pieces: which words of which document each block holds, with the passes that take it; row is the document's hash."""
 
     documents: DataFrame
     slots: DataFrame
@@ -120,12 +120,15 @@ def mix(
     limit: float = 2.0,
     seed: int = 20240607,
     bucket_rows: int = 5000,
+    row: Column | None = None,
 ) -> Mix:
-    """Mix docs(doc_id, text, source). A source's words come within about a block of its target."""
-    sized = written(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")))
+    """Mix docs(doc_id, text, source). A source's words come within about a block of its target. row tells documents
+    apart, a long; else a hash of doc_id, source and text does."""
+    row = F.xxhash64("doc_id", "source", "text") if row is None else row
+    sized = written(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), row.alias("row")))
     n_rows = sized.count()
     n_buckets = min(100_000, max(1, -(-n_rows // bucket_rows)))
-    sized = sized.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(n_buckets)))
+    sized = sized.withColumn("bucket", F.pmod("row", F.lit(n_buckets)))
     segments = sized.groupBy("source", "bucket").agg(F.sum("size").alias("segment_size"))
     sources = source_targets(segments.groupBy("source").agg(F.sum("segment_size").alias("source_size")), weights, share, limit)
     blocks = F.expr(f"cast(ceil(source_size / {float(block_words)}D) as long)")
@@ -138,10 +141,10 @@ def mix(
     at = segments.select("source", "bucket", segment_from.alias("segment_from"))
     s, a = sources.alias("s"), at.alias("a")
     at = a.join(s, F.col("a.source").eqNullSafe(F.col("s.source"))).select("a.*", "s.sid", "s.source_size", "s.target")
-    inside = F.sum("size").over(W.partitionBy("source", "bucket").orderBy("doc_id", "size").rowsBetween(W.unboundedPreceding, 0)) - F.col("size")
+    inside = F.sum("size").over(W.partitionBy("source", "bucket").orderBy("row").rowsBetween(W.unboundedPreceding, 0)) - F.col("size")
     d, a = sized.withColumn("inside", inside).alias("d"), at.alias("a")
     placed = d.join(a, F.col("d.source").eqNullSafe(F.col("a.source")) & (F.col("d.bucket") == F.col("a.bucket"))).select(
-        "d.doc_id", "d.size", "a.sid", "a.source_size", "a.target", (F.col("a.segment_from") + F.col("d.inside")).alias("start")
+        "d.doc_id", "d.size", "d.row", "a.sid", "a.source_size", "a.target", (F.col("a.segment_from") + F.col("d.inside")).alias("start")
     )
 
     drawn = _draw(sources.select("sid", "quota"), int(n_slots), int(n_sources), shard_slots, seed)
@@ -154,7 +157,7 @@ def mix(
     b = block_words
     spread = placed.withColumn("block", F.explode_outer(F.expr(f"if(size > 0, sequence(start div {b}L, (start + size - 1) div {b}L), null)")))
     pieces = spread.join(times, ["sid", "block"], "left").select(
-        "sid", "start", "doc_id", "size", "source_size", "target", "block",
+        "sid", "start", "doc_id", "size", "row", "source_size", "target", "block",
         F.coalesce("times", F.lit(0)).alias("times"),
         (F.greatest(F.expr(f"block * {b}L"), F.col("start")) - F.col("start")).alias("from_word"),
         (F.least(F.expr(f"(block + 1) * {b}L"), F.col("start") + F.col("size")) - F.col("start")).alias("to_word"),
@@ -171,26 +174,22 @@ def mixed_texts(docs: DataFrame, **options) -> DataFrame:
     """The mix as rows with the columns of docs: one row for each run of a document's words that a pass takes. A text
     keeps the white space between its words; n_chars, where it is a column, counts the row's own characters.
 
-    A document is told by doc_id and a hash of its text; where such rows repeat, each run is given once per row taken."""
-    pieces = mix(docs, **options).pieces.where("times > 0")
+    A document is told by a hash of all its columns (maps left out), so what repeats is the same row: its runs are all
+    cut from one copy."""
+    row = F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind])
+    pieces = mix(docs, row=row, **options).pieces.where("times > 0")
     turns = pieces.withColumn("turn", F.explode(F.expr("sequence(1L, times)")))
-    by_turn = W.partitionBy("sid", "start", "doc_id", "turn").orderBy("block")
+    by_turn = W.partitionBy("sid", "start", "turn").orderBy("block")
     runs = (
         turns.withColumn("run", F.col("block") - F.row_number().over(by_turn))
-        .groupBy("sid", "start", "doc_id", "size", "turn", "run")
+        .groupBy("row", "sid", "start", "size", "turn", "run")
         .agg(F.min("from_word").alias("from_word"), F.max("to_word").alias("to_word"))
+        .select(F.col("row").alias("_of"), "size", "from_word", "to_word")
     )
-    # A document is joined back by doc_id and size; rows that agree in both take turns by a number.
-    again = W.partitionBy("doc_id", "size").orderBy("start")
-    runs = runs.withColumn("nth", F.dense_rank().over(again))
     mine = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    rows = docs.select(mine, "doc_id", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("h"))
-    rows = rows.where("size > 0").withColumn("nth", F.row_number().over(W.partitionBy("doc_id", "size").orderBy("h")))
-    starts = runs.select("doc_id", "size", F.col("nth").alias("_nth"), "from_word", "to_word")
-    # A difference is no join key, so the rows stay where the window has put them and texts move once.
-    starts = starts.withColumnsRenamed({"doc_id": "_doc_id", "size": "_size"})
-    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("size") == F.col("_size"))
-    joined = rows.join(starts, same & (F.col("nth") - F.col("_nth") == 0))
+    rows = docs.select(mine, row.alias("_hash"), word_count(F.col("text")).alias("_size")).where("_size > 0")
+    rows = rows.withColumn("_nth", F.row_number().over(W.partitionBy("_hash").orderBy("_size"))).where("_nth = 1")
+    joined = rows.join(runs, F.col("_hash") == F.col("_of"))
     words = F.split(F.regexp_replace(F.col("_row.text"), f"^[{SPACE}]+", ""), f"(?<=[{SPACE}])(?=[^{SPACE}])")
     cut = F.array_join(F.slice(words, (F.col("from_word") + 1).cast("int"), (F.col("to_word") - F.col("from_word")).cast("int")), "")
     whole = (F.col("from_word") == 0) & (F.col("to_word") == F.col("size"))

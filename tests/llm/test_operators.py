@@ -474,6 +474,31 @@ def test_mixing(spark, docs, empty):
     assert mixing.mix(empty).documents.count() == 0 and mixing.mixed_texts(empty).count() == 0
 
 
+def test_mixed_texts_of_rows_with_one_id(spark):
+    """Rows that share doc_id and word count in several sources, some of them never taken: each source's words are its own."""
+    text = lambda mark, n, k=0: " ".join(f"{mark}{k}x{i}" for i in range(n))
+    rows = [(1, text("a", 200), "a"), (1, text("b", 200), "b"), (None, text("a", 50, 1), "a"), (None, text("b", 50, 1), "b")]
+    rows += [(2, text("c", 40), "c")] * 3 + [(2, text("c", 40), "d")] + [(5, text("d", 40, k), "d") for k in range(6)]
+    table = spark.createDataFrame([(i, t, "en", s, len(t)) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    for seed in (1, 2, 3):
+        mix = mixing.mix(table, block_words=16, seed=seed, row=all_columns_hash(table))
+        want = Counter()
+        for r in mix.pieces.join(mix.slots.select("sid", "source").distinct(), "sid").collect():
+            want[r.source] += r.times * (r.to_word - r.from_word)
+        got = Counter()
+        for r in mixing.mixed_texts(table, block_words=16, seed=seed).collect():
+            n = len(WORD.findall(r.text))
+            got[r.source] += n
+            assert any(r.text in t for i, t, s in rows if (i, s) == (r.doc_id, r.source))
+        assert got == +want
+
+
+def all_columns_hash(table):
+    from pyspark.sql import functions as F
+
+    return F.xxhash64(*table.columns)
+
+
 def test_permutation(spark):
     from pyspark.sql import functions as F
 
