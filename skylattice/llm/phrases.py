@@ -36,9 +36,9 @@ LONGEST = 3
 TOP = 2000
 SHARDS = 3
 SLOT_BITS = 24
-#: Words that a task remembers the keys of before it starts anew, and keys it gathers before it counts them.
-CACHE_WORDS = 100_000
+#: Keys that a task gathers before it counts them, and bytes of text that it reads at a time.
 BUFFER_KEYS = 1_000_000
+STRETCH = 2**19
 
 LENGTH_BITS = 3
 NEVER = 255
@@ -57,45 +57,100 @@ def _mixed(a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
     return (x & ~np.uint64(2**LENGTH_BITS - 1)) | np.uint64(length)
 
 
-class Keys(dict):
-    """Keys of a language's words."""
+def _finished(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
-    def __init__(self, lang: str):
-        import xxhash
 
-        self.digest = xxhash.xxh3_64_intdigest
-        name = lang.encode("utf-8", "replace")
-        self.seed = xxhash.xxh3_64_intdigest(name)
-        self.total = self.key(b"\xff", 0)
+@dataclass
+class Tokens:
+    """Of some texts together: where in `data` each token begins and ends, and its key; 0 stands where a piece ends. of:
+    which text a token belongs to."""
 
-    def key(self, word: bytes, length: int) -> int:
-        return self.digest(word, self.seed) >> LENGTH_BITS << LENGTH_BITS | length
+    data: bytes
+    starts: np.ndarray
+    ends: np.ndarray
+    keys: np.ndarray
+    of: np.ndarray
 
-    def __missing__(self, word: bytes) -> int:
-        key = self[word] = 0 if word == _END else self.key(word, 1)
-        return key
+    def text(self, first: int, length: int) -> str:
+        return b" ".join(self.data[self.starts[first] : self.ends[first + length - 1]].split()).decode()
 
 
 class Reader:
-    """Texts as arrays of word keys; 0 stands where a piece ends."""
+    """Texts as tokens with keys. A word's hash is a polynomial of its bytes' random numbers, modulo 2 ** 64: running sums
+    over a stretch of text give the hashes of all its words at once, wherever they lie in it."""
+
+    BASE = 0x9E3779B97F4A7C15
 
     def __init__(self):
-        self.languages: dict[str, Keys] = {}
+        import xxhash
 
-    def split(self, text: bytes | None) -> list[bytes]:
-        return (text or b"").translate(_PLAIN).replace(_END, b" \xff ").split()
+        self.digest = xxhash.xxh3_64_intdigest
+        self.table = np.array([self.digest(bytes([b])) for b in range(256)], "uint64")
+        self.languages: dict[str | None, tuple[int, int]] = {}
+        self.powers = self.inverse = np.array([], "uint64")
 
-    def keys(self, lang: str | None) -> Keys:
+    def language(self, lang: str | None) -> tuple[int, int]:
+        """The seed of a language's words, and the key of its number of words."""
         got = self.languages.get(lang)
         if got is None:
-            got = self.languages[lang] = Keys("und" if lang is None else lang)
+            seed = self.digest(("und" if lang is None else lang).encode("utf-8", "replace"))
+            got = self.languages[lang] = seed, seed >> LENGTH_BITS << LENGTH_BITS
         return got
 
-    def read(self, lang: str | None, words: list[bytes]) -> np.ndarray:
-        keys = self.keys(lang)
-        if len(keys) > CACHE_WORDS:
-            keys.clear()
-        return np.fromiter(map(keys.__getitem__, words), "uint64", len(words))
+    def hashes(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        if len(data) > len(self.powers):
+            n = max(len(data), 2 * STRETCH)
+            inverse = pow(self.BASE, -1, 2**64)
+            self.powers, self.inverse = (np.cumprod(np.full(n, b, "uint64")) for b in (self.BASE, inverse))
+        sums = np.cumsum(self.table[data] * self.powers[: len(data)])
+        before = np.where(starts > 0, sums[starts - 1], np.uint64(0))
+        return (sums[ends - 1] - before) * self.inverse[starts]
+
+    def read(self, langs: list[str | None], texts: list[bytes | None]) -> Tokens:
+        plain = [(t or b"").translate(_PLAIN) + _END for t in texts]
+        data = b"".join(plain)
+        whole = np.frombuffer(data, "uint8")
+        parts, at = [], 0
+        while at < len(data):
+            # Stretches end at a blank or where a piece ends, so that no word is cut.
+            stop = min(len(data), at + STRETCH)
+            if stop < len(data):
+                blank, end = data.rfind(b" ", at, stop), data.rfind(_END, at, stop)
+                stop = max(blank, end) + 1 or min(x for x in (data.find(b" ", stop), data.find(_END, stop)) if x >= 0) + 1
+            part = whole[at:stop]
+            word, end = (part != 32) & (part != 255), part == 255
+            first, last = word.copy(), word.copy()
+            first[1:] &= ~word[:-1]
+            last[:-1] &= ~word[1:]
+            token = np.flatnonzero(first | end)
+            is_word = ~end[token]
+            ends, keys = token.copy(), np.zeros(len(token), "uint64")
+            ends[is_word] = np.flatnonzero(last) + 1
+            keys[is_word] = self.hashes(part, token[is_word], ends[is_word])
+            parts.append((token + at, ends + at, keys, is_word))
+            at = stop
+        starts, ends, keys, is_word = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.array([], "int64"),) * 2 + (np.array([], "uint64"), np.array([], bool))
+        begins = np.cumsum([0, *map(len, plain)])
+        counts = np.diff(np.searchsorted(starts, begins))
+        of = np.repeat(np.arange(len(texts)), counts)
+        seeds = np.array([self.language(x)[0] for x in langs], "uint64")[of]
+        mixed = _finished(keys + seeds) >> np.uint64(LENGTH_BITS) << np.uint64(LENGTH_BITS) | np.uint64(1)
+        return Tokens(data, starts, ends, np.where(is_word, mixed, np.uint64(0)), of)
+
+
+def _blocks(batches, texts_at: int):
+    """Columns of rows, some at a time: no more than 500, nor many more bytes of text than STRETCH."""
+    for batch in batches:
+        columns = [c.to_pylist() for c in batch.columns]
+        begin = size = 0
+        for k, text in enumerate(columns[texts_at]):
+            size += len(text or b"")
+            if size >= STRETCH or k + 1 - begin == 500 or k + 1 == batch.num_rows:
+                yield [c[begin : k + 1] for c in columns]
+                begin, size = k + 1, 0
 
 
 class Tally:
@@ -181,23 +236,18 @@ def _scanned(shard: DataFrame, slots, scan: int, shards: int, longest: int) -> D
                     part = keys[k : k + 100_000]
                     yield pa.RecordBatch.from_arrays([pa.array(part.view("int64")), pa.array(n[k : k + 100_000]), pa.array(np.full(len(part), start, "int32"))], schema=wanted)
 
-        for batch in batches:
-            for k in range(0, batch.num_rows, 500):
-                rows = batch.slice(k, 500)
-                arrays = [np.zeros(1, "uint64")]
-                for lang, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
-                    read = reader.read(lang, reader.split(text))
-                    if scan < shards:
-                        totals[reader.keys(lang).total] += int(np.count_nonzero(read))
-                    arrays += [read, arrays[0]]
-                words = np.concatenate(arrays)
-                if scan < shards:
-                    tally.add(0, words[words != 0])
-                for _, _, keys, start in phrases_of(words, table, longest):
-                    for s in range(max(1, scan - shards + 1), scan + 1):
-                        tally.add(s, keys[start == s])
-                if tally.full():
-                    yield from given()
+        for langs, texts in _blocks(batches, 1):
+            tokens = reader.read(langs, texts)
+            words = tokens.keys
+            if scan < shards:
+                tally.add(0, words[words != 0])
+                for lang, n in zip(langs, np.bincount(tokens.of[words != 0], minlength=len(langs)).tolist(), strict=True):
+                    totals[reader.language(lang)[1]] += n
+            for _, _, keys, start in phrases_of(words, table, longest):
+                for s in range(max(1, scan - shards + 1), scan + 1):
+                    tally.add(s, keys[start == s])
+            if tally.full():
+                yield from given()
         keys = np.array(list(totals), "uint64")
         tally.parts[0].append((keys, np.array(list(totals.values()), "int64")))
         yield from given()
@@ -222,16 +272,11 @@ def _resolved(dealt: DataFrame, slots, claims, longest: int) -> DataFrame:
         def block(shard, langs, texts):
             nonlocal told
             bit = np.uint8(1 << shard)
-            split = [reader.split(t) for t in texts]
-            arrays, starts, at = [], [], 0
-            for lang, words in zip(langs, split, strict=True):
-                starts.append(at)
-                arrays += [reader.read(lang, words), np.zeros(1, "uint64")]
-                at += len(words) + 1
-            words = np.concatenate(arrays)
+            tokens = reader.read(langs, texts)
+            words = tokens.keys
             one = np.flatnonzero(words)
             found = [(1, one, words[one]), *[(length, place, keys) for length, place, keys, _ in phrases_of(words, reached, longest)]]
-            out = [(reader.keys(lang).total, lang, "") for lang in set(langs) - totals]
+            out = [(reader.language(lang)[1], lang, "") for lang in set(langs) - totals]
             totals.update(langs)
             fresh = []
             for length, place, keys in found:
@@ -240,9 +285,7 @@ def _resolved(dealt: DataFrame, slots, claims, longest: int) -> DataFrame:
                 new = ~np.isin(keys, told, assume_unique=True)
                 keys, place = keys[new], place[here[first[new]]]
                 fresh.append(keys)
-                docs = np.searchsorted(starts, place, "right") - 1
-                for key, d, p in zip(keys.tolist(), docs.tolist(), (place - np.array(starts)[docs]).tolist(), strict=True):
-                    out.append((key, langs[d], b" ".join(split[d][p : p + length]).decode()))
+                out += [(key, langs[d], tokens.text(p, length)) for key, d, p in zip(keys.tolist(), tokens.of[place].tolist(), place.tolist(), strict=True)]
             told = np.concatenate([told, *fresh])
             if len(told) > BUFFER_KEYS:
                 told = told[:0]
@@ -251,12 +294,10 @@ def _resolved(dealt: DataFrame, slots, claims, longest: int) -> DataFrame:
             columns = [pa.array(np.array(keys, "uint64").view("int64")), pa.array(names, "string"), pa.array(phrases, "string")]
             return pa.RecordBatch.from_arrays(columns, names=["key", "lang", "phrase"])
 
-        for batch in batches:
-            for k in range(0, batch.num_rows, 500):
-                shards, langs, texts = (c.to_pylist() for c in batch.slice(k, 500).columns)
-                for shard in set(shards):
-                    mine = [i for i, x in enumerate(shards) if x == shard]
-                    yield block(shard, [langs[i] for i in mine], [texts[i] for i in mine])
+        for shards, langs, texts in _blocks(batches, 2):
+            for shard in set(shards):
+                mine = [i for i, x in enumerate(shards) if x == shard]
+                yield block(shard, [langs[i] for i in mine], [texts[i] for i in mine])
 
     return dealt.select("shard", "lang", F.col("text").cast("binary")).mapInArrow(run, schema)
 

@@ -105,10 +105,27 @@ def test_products_beyond_64_bits(spark):
 
 def test_a_longer_phrase_starts_after_its_parts():
     """A phrase of two starts in the scan after both words have reached the threshold, not where one has not."""
-    reader = phrases.Reader()
-    words = reader.read("en", reader.split(b"a b. a c"))
+    words = phrases.Reader().read(["en"], [b"a b. a c"]).keys
     slots = np.full(2**16, phrases.NEVER, "uint8")
     shift = np.uint64(48)
     slots[words[0] >> shift], slots[words[1] >> shift] = 1, 4
     length, at, keys, start = next(iter(phrases.phrases_of(words, slots, 2)))
     assert (length, at.tolist(), start.tolist(), len(keys)) == (2, [0], [5], 1)
+
+
+def test_tokens_in_stretches(monkeypatch):
+    """Words have one key wherever a stretch ends; texts, languages and lengths are told apart."""
+    rng = random.Random(2)
+    texts = [" ".join("abcé"[: rng.randrange(1, 5)] * rng.randrange(1, 30) for _ in range(rng.randrange(0, 60))) + rng.choice(["", " ", ".", "\n"]) for _ in range(30)] + ["x" * 5000 + " y", None, "", " . "]
+    langs = [rng.choice(["en", "de", None]) for _ in texts]
+    data = [None if t is None else t.encode() for t in texts]
+    want = phrases.Reader().read(langs, data)
+    for stretch in (1, 7, 100, 4000):
+        monkeypatch.setattr(phrases, "STRETCH", stretch)
+        got = phrases.Reader().read(langs, data)
+        assert got.keys.tolist() == want.keys.tolist() and got.of.tolist() == want.of.tolist() and got.starts.tolist() == want.starts.tolist()
+    seen = {}
+    for k in np.flatnonzero(want.keys).tolist():
+        word = langs[want.of[k]], want.text(k, 1)
+        assert seen.setdefault(int(want.keys[k]), word) == word
+    assert len(seen) == len(set(seen.values())) and want.text(0, 1) == texts[0].split()[0]
