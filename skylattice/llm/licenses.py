@@ -2,11 +2,16 @@
 
 Candidate blocks are the words around each cue, across line ends, as many on both sides as the longest template may take
 with its differences; blocks that overlap are one. They are cut into windows of at most `window` words with an overlap of
-half a window, so a text of any length is scanned whole. The exact wording tells where in a block a template may stand:
-words of the template that the stretch lacks, and words that it has in between, may be no more than a stated share of
-the template. Each such stretch is compressed with zstandard alone and with the template as a raw-content dictionary,
-and confirmed if the template makes it much smaller, whatever else is in the block. Of stretches that overlap, the one
-with most matched words less differences stays, then the greater reduction, then the first template.
+half a window, so a text of any length is scanned whole. Each block is compressed with zstandard alone and with every
+template as a raw-content dictionary, and the templates are ranked by the bytes they save. In this order their exact
+wording is held against the block: words of the template that a stretch lacks, and words that it has in between, may be
+no more than a stated share of the template, and the template must make the stretch itself much smaller, whatever else
+is in the block. Of stretches that overlap, the one with most matched words less differences stays, then the one whose
+template saves most bytes of it, then the higher ranked one: bytes saved alone would favour a stretch that reaches into
+the notice beside it.
+
+Cues are words that license notices have in common. A template that holds none of them brings its own: so many of its
+longest words that a stretch with few enough differences cannot lack them all.
 
 Defined results: a null or empty text has no blocks; a document without a confirmed template has license null; license
 is the confirmed one with fewest differences, then the greatest reduction, then by name; rows that repeat are scanned each.
@@ -61,15 +66,28 @@ class Scanner:
 
         self.window, self.least, self.most = window, least_reduction, most_differences
         self.plain = z.ZstdCompressor(level=3, write_content_size=False)
-        self.known = []
+        self.known, own = [], set()
         self.margin = max((int(len(words_of(t)) * (1 + most_differences)) for t in templates.values()), default=0)
         for name, text in templates.items():
             data = z.ZstdCompressionDict(text.encode(), dict_type=z.DICT_TYPE_RAWCONTENT)
             self.known.append((name, words_of(text), z.ZstdCompressor(level=3, dict_data=data, write_content_size=False, write_dict_id=False)))
+            if not _CUES.search(text.lower()):
+                own |= self.own_cues(words_of(text))
+        self.cues = re.compile("|".join([_CUES.pattern, *(rf"(?<![^\W_]){re.escape(w)}(?![^\W_])" for w in sorted(own))]))
+
+    def own_cues(self, words: list[str]) -> set[str]:
+        """The longest words of a template, in all places, until there are more places than it may have differences."""
+        cues, places = set(), 0
+        for w in sorted(set(words), key=lambda w: (-len(w), w)):
+            if places > self.most * len(words):
+                break
+            cues.add(w)
+            places += words.count(w)
+        return cues
 
     def blocks(self, text: str) -> list[tuple[int, str]]:
         """(number of its first word in the text, block)"""
-        cues = [m.span() for m in _CUES.finditer(text.lower())]
+        cues = [m.span() for m in self.cues.finditer(text.lower())]
         if not cues:
             return []
         text = text.lower() if len(text.lower()) != len(text) else text  # a few capitals grow: then cues have other places
@@ -110,28 +128,37 @@ class Scanner:
         ends = np.flatnonzero((row <= most) & (begin < places))
         return list(zip(begin[ends].tolist(), ends.tolist(), row[ends].tolist(), strict=True))
 
-    def block(self, block: str) -> list[tuple[int, float, int, int, int, int]]:
-        """(matched words less differences, reduction, -template, begin, end, differences) of all matches confirmed."""
+    def ranked(self, block: str) -> list[int]:
+        """The templates by the bytes that each saves on the block, most first."""
+        data = block.encode("utf-8", "replace")
+        size = [len(c.compress(data)) for _, _, c in self.known]
+        return sorted(range(len(size)), key=lambda k: (size[k], k))
+
+    def block(self, block: str) -> list[tuple[int, int, float, int, int, int, int, int]]:
+        """(bytes saved, matched words less differences, reduction, rank, template, begin, end, differences) of all matches
+        confirmed."""
         places = [m.span() for m in _WORDS.finditer(block)]
         words = [block[a:b].lower() for a, b in places]
         out = []
-        for k, (_, template, c) in enumerate(self.known):
+        for rank, k in enumerate(self.ranked(block)):
+            _, template, c = self.known[k]
             for begin, end, n in self.matches(template, words):
                 data = block[places[begin][0] : places[end - 1][1]].encode("utf-8", "replace")
-                gain = 1 - len(c.compress(data)) / len(self.plain.compress(data))
+                alone, given = len(self.plain.compress(data)), len(c.compress(data))
+                gain = 1 - given / alone
                 if gain >= self.least:
-                    out.append(((len(template) + end - begin - n) // 2 - n, round(gain, 6), -k, begin, end, n))
+                    out.append((alone - given, (len(template) + end - begin - n) // 2 - n, round(gain, 6), rank, k, begin, end, n))
         return out
 
     def text(self, text: str | None) -> tuple[int, int, str | None, str | None, float | None, int | None]:
         blocks = self.blocks(text or "")
-        every = [(score, gain, k, at + begin, at + end, n) for at, b in blocks for score, gain, k, begin, end, n in self.block(b)]
+        every = [(saved, score, gain, rank, k, at + begin, at + end, n) for at, b in blocks for saved, score, gain, rank, k, begin, end, n in self.block(b)]
         found, taken = [], []
-        for _, gain, k, begin, end, n in sorted(every, key=lambda m: (-m[0], -m[1], -m[2], m[3], m[4])):
+        for _, _, gain, _, k, begin, end, n in sorted(every, key=lambda m: (-m[1], -m[0], m[3], *m[4:7])):
             at = bisect_left(taken, (begin, end))
             if (at == 0 or taken[at - 1][1] <= begin) and (at == len(taken) or end <= taken[at][0]):
                 taken.insert(at, (begin, end))
-                found.append((self.known[-k][0], gain, n))
+                found.append((self.known[k][0], gain, n))
         if not found:
             return len(blocks), 0, None, None, None, None
         best = min(found, key=lambda x: (x[2], -x[1], x[0]))

@@ -337,6 +337,28 @@ def test_license_scan_returns_every_notice():
     assert again[1:3] == (6, "MIT")
 
 
+def test_license_templates_of_ones_own(spark):
+    """Templates without any of the usual words bring cues of their own, whichever words a notice lacks."""
+    own = {"house": "Copying this document elsewhere needs written consent from the archive in Ghent, Belgium", "short": "Keep inside", "MIT": licenses.TEMPLATES["MIT"]}
+    s = licenses.Scanner(own)
+    rng = random.Random(8)
+    body = own["house"].split()
+    for k in range(30):
+        lost = rng.sample(range(len(body)), 2)
+        kept = [w for i, w in enumerate(body) if i not in lost]
+        assert s.text(f"{words(rng, 200)}\n{' '.join(kept)}\n{words(rng, k)}")[1:4] == (1, "house", "house"), kept
+    assert s.text("x y Keep inside. z")[3] == "short" and s.text("Keep outside")[1] == 0
+    got = licenses.license_scan(spark.createDataFrame([(1, own["house"]), (2, "nothing")], "doc_id long, text string"), own).orderBy("doc_id").collect()
+    assert [r.license for r in got] == ["house", None]
+
+
+def test_license_templates_are_ranked():
+    s = licenses.Scanner(licenses.TEMPLATES)
+    for k, (name, template) in enumerate(licenses.TEMPLATES.items()):
+        saved = [len(c.compress(template.encode())) for _, _, c in s.known]
+        assert s.ranked(template) == sorted(range(len(saved)), key=lambda i: (saved[i], i)) and saved[k] == min(saved), name
+
+
 def _common(a, b):
     """Longest common subsequence."""
     row = [0] * (len(b) + 1)
