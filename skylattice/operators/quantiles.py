@@ -14,6 +14,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 BINS = 1024
+#: So many values one aggregate may hold.
+SMALL = 1_000_000
 
 
 def _bin(value: Column, cuts: Column) -> Column:
@@ -22,7 +24,7 @@ def _bin(value: Column, cuts: Column) -> Column:
     return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(cuts, at + step - 1) < value, at + step).otherwise(at))
 
 
-def exact_quantiles(df: DataFrame, column: str, shares: dict[str, float], keys: tuple[str, ...] = (), small: int = 1_000_000) -> DataFrame:
+def exact_quantiles(df: DataFrame, column: str, shares: dict[str, float], keys: tuple[str, ...] = (), small: int = SMALL) -> DataFrame:
     """One row of each key (one row without keys): keys and, by name, the quantile at each share, between neighbours in
     proportion. Null values are left out; a key without values has no row."""
     k = [F.col(f"`{c}`") for c in keys] or [F.lit(0).alias("_all")]

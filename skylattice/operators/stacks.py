@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .quantiles import exact_quantiles
+from .quantiles import SMALL, exact_quantiles
 
 MM_PER_RADIAN = 0.05546576 / (4 * math.pi) * 1000
 
@@ -24,12 +24,19 @@ def amplitude_rmse_db(pairs: DataFrame, key: str, least: float = 5.0, enough: in
     return sums.select(key, F.when(use, F.col("ns")).otherwise(F.col("na")).alias("n"), F.sqrt(F.when(use, F.col("vs")).otherwise(F.col("va"))).alias("rmse_db"))
 
 
-def coherence_stats(stack: DataFrame, least: float = 0.6) -> DataFrame:
-    """Six statistics of per-pixel coherence over time; null coherence counts as 0, an empty stack gives zeros."""
+def coherence_stats(stack: DataFrame, least: float = 0.6, small: int = SMALL) -> DataFrame:
+    """Six statistics of per-pixel coherence over time; null coherence counts as 0, an empty stack gives zeros. Up to
+    `small` pixels one aggregate gives them all; beyond, quantiles are found without one task's holding the pixels."""
     c = F.coalesce("coh", F.lit(0.0))
     pixel = stack.groupBy("row", "col").agg(F.avg(c).alias("mean"), F.bool_and(c >= least).alias("persistent"))
     z = lambda x, n: F.coalesce(x, F.lit(0.0)).alias(n)
-    means = pixel.agg(F.avg("mean").alias("_mean"), F.avg(F.col("persistent").cast("double")).alias("_share"))
+    averages = [F.avg("mean").alias("_mean"), F.avg(F.col("persistent").cast("double")).alias("_share")]
+    names = ["mean", "median", "p25", "p75", "persistently_coherent_fraction", "median_of_persistent"]
+    if pixel.count() <= small:
+        at = F.percentile("mean", F.array(F.lit(0.5), F.lit(0.25), F.lit(0.75)))
+        one = pixel.agg(*averages, at.alias("_at"), F.percentile(F.when(F.col("persistent"), F.col("mean")), F.lit(0.5)).alias("_steady"))
+        return one.select(*[z(x, n) for x, n in zip((F.col("_mean"), *(F.get("_at", k) for k in range(3)), F.col("_share"), F.col("_steady")), names, strict=True)])
+    means = pixel.agg(*averages)
     # One row each.
     every = F.broadcast(exact_quantiles(pixel, "mean", {"_p50": 0.5, "_p25": 0.25, "_p75": 0.75}))
     steady = F.broadcast(exact_quantiles(pixel.where("persistent"), "mean", {"_steady": 0.5}))

@@ -111,3 +111,13 @@ def test_planes_on_a_line(spark):
         assert [r.slope_x, r.slope_y, r.intercept] == pytest.approx(want[r.ifg_idx], abs=1e-8)
     few = stacks.planes(spark.createDataFrame(rows[:50], "ifg_idx int, row int, col int, phase double"), 100).first()
     assert few.slope_x is None
+
+
+def test_coherence_stats_either_way(spark):
+    rng = np.random.default_rng(3)
+    rows = [(r, c, float(x)) for r in range(12) for c in range(9) for x in rng.uniform(0.5, 1, 3)] + [(0, 0, None)]
+    stack = spark.createDataFrame(rows, "row int, col int, coh double")
+    one, other = stacks.coherence_stats(stack).first(), stacks.coherence_stats(stack, small=0).first()
+    assert one.asDict() == pytest.approx(other.asDict()) and 0 < one.persistently_coherent_fraction < 1
+    empty = stacks.coherence_stats(stack.limit(0)).first()
+    assert set(empty.asDict().values()) == {0.0}
