@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.texts import significant
+
+#: Fixed value: when criteria that are still being calibrated begin to bind.
+BINDS = "v1.2"
+
 
 def measurement_key(criterion: Column) -> Column:
     """Last part of a criterion's name without _min or _max."""
@@ -31,12 +36,16 @@ def evaluated(results: DataFrame, criteria: DataFrame, strict: bool = False) ->
 
 
 def rendered(verdicts: DataFrame) -> DataFrame:
-    """One text a cell: criteria in order, investigation triggers left out, an em dash if none is left."""
-    one = F.concat(F.format_number("value", 4), F.lit(" ("), F.col("comparator"), F.lit(" "), F.format_number("threshold", 4), F.lit(" "), F.col("verdict"), F.lit(")"))
-    text = F.when(F.col("verdict").isin("UNKNOWN", "MEASUREMENT_MISSING"), F.col("verdict")).otherwise(one)
-    shown = verdicts.where(F.coalesce(F.col("kind") != "INVESTIGATION_TRIGGER", F.lit(True)))
-    cells = shown.groupBy("cell").agg(F.array_sort(F.collect_list(F.struct("place", text.alias("t")))).alias("ts"))
+    """One text a cell: known criteria in order, investigation triggers left out, in italics if any is being calibrated; an
+    em dash if none is left."""
+    calibrating = F.col("kind") == "CALIBRATING"
+    result = F.concat(F.when(passes(F.col("value"), F.col("comparator"), F.col("threshold")), "PASS").otherwise("FAIL"), F.when(calibrating, f" (CALIBRATING — binds {BINDS})").otherwise(""))
+    one = F.concat(significant(F.col("value")), F.lit(" ("), F.col("comparator"), F.lit(" "), significant(F.col("threshold")), F.lit(" "), result, F.lit(")"))
+    text = F.when(F.col("value").isNull(), F.concat(F.lit("MEASUREMENT_MISSING:"), measurement_key(F.col("criterion")))).otherwise(one)
+    shown = verdicts.where("threshold is not null and kind <> 'INVESTIGATION_TRIGGER'")
+    cells = shown.groupBy("cell").agg(F.array_sort(F.collect_list(F.struct("place", text.alias("t")))).alias("ts"), F.bool_or(calibrating).alias("open"))
     joined = F.array_join(F.transform("ts", lambda x: x.t), " / ")
+    joined = F.when(F.col("open"), F.concat(F.lit("*"), joined, F.lit("*"))).otherwise(joined)
     all_cells = verdicts.select("cell").distinct().join(cells, "cell", "left")
     return all_cells.select("cell", F.regexp_replace(F.coalesce(joined, F.lit("—")), r"\|", r"\\|").alias("text"))
 

@@ -180,7 +180,13 @@ def v01_v02_evaluate(spark, sf_dir):
     return rounded(V.evaluated(_results(spark, sf_dir), criteria(spark)).select("cell", "place", "criterion", "kind", "value", "verdict"))
 
 
-@REG.add(_RES + ", t as (select cell, place, case when verdict in ('UNKNOWN', 'MEASUREMENT_MISSING') then verdict else format('{:.4f}', value) || ' (' || comparator || ' ' || format('{:.4f}', threshold) || ' ' || verdict || ')' end as t from w where coalesce(kind <> 'INVESTIGATION_TRIGGER', true)) select cell, string_agg(t, ' / ' order by place) as text from t group by 1")
+@REG.add(
+    _RES
+    + """, t as (select cell, place, kind = 'CALIBRATING' as open, case when value is null then 'MEASUREMENT_MISSING:' || regexp_replace(string_split(criterion, '.')[-1], '_(min|max)$', '')
+else format('{:.4g}', value) || ' (' || comparator || ' ' || format('{:.4g}', threshold) || ' ' || case when case comparator when '>' then value > threshold when '>=' then value >= threshold when '<' then value < threshold else value <= threshold end then 'PASS' else 'FAIL' end
+  || case when kind = 'CALIBRATING' then ' (CALIBRATING — binds v1.2)' else '' end || ')' end as t from w where threshold is not null and kind <> 'INVESTIGATION_TRIGGER')
+select cell, case when bool_or(open) then '*' else '' end || string_agg(t, ' / ' order by place) || case when bool_or(open) then '*' else '' end as text from t group by 1"""
+)
 def v03_v05_matrix(spark, sf_dir):
     return V.rendered(V.evaluated(_results(spark, sf_dir), criteria(spark)))
 

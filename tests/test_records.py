@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from skylattice.functions.texts import significant
 from skylattice.operators import catalogue, matrix, stacks
 from skylattice.plans.tables import CRITERIA
 
@@ -65,7 +66,7 @@ def test_matrix(spark):
 
 @pytest.mark.parametrize("value", [0.0, 1.0, -2.5, 0.92, 12345.678, 9999.6, 99994.0, 0.0001234567, 0.00001234567, 1e-300, -1e20, 100.0, 1234.0, 3.0000001, float("inf"), float("nan")])
 def test_significant_digits(spark, value):
-    assert spark.range(1).select(matrix.significant(F.lit(value))).first()[0] == f"{value:.4g}"
+    assert spark.range(1).select(significant(F.lit(value))).first()[0] == f"{value:.4g}"
 
 
 def test_event_rollup(spark):
