@@ -76,3 +76,12 @@ def held_out_gap(scores: DataFrame, pair: list[str], most: float = 0.02) -> Data
     best = joint_best(scores).select(F.col("mean_f1").alias("fit_mean_f1"))
     out = best.join(F.broadcast(folds)).withColumn("gap", F.col("fit_mean_f1") - F.col("loocv_mean_f1"))
     return out.withColumn("status", F.when(F.col("gap") >= most, "BLOCKER").otherwise("OK"))
+
+
+def backscatter_agreement(product: DataFrame, reference: DataFrame, factor: float = 1.0) -> DataFrame:
+    """product, reference(scene_id, row, col, value: power) -> by scene rmse, correlation, bias and n of decibels on the
+    reference's grid (bilinear), and ssim, their structural similarity."""
+    on_grid = N.bilinear(product, reference.select("scene_id", "row", "col"), factor).withColumnRenamed("value", "p")
+    pairs = on_grid.join(reference.withColumnRenamed("value", "r"), ["scene_id", "row", "col"])
+    pairs = pairs.select("scene_id", "row", "col", S.decibel(F.col("p")).alias("predicted"), S.decibel(F.col("r")).alias("reference"))
+    return M.continuous(pairs, "scene_id").join(N.ssim(pairs), "scene_id", "left")

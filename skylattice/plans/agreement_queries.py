@@ -88,3 +88,19 @@ select folds, round(mean_f1, 6) as fit_mean_f1, round(loocv, 6) as loocv_mean_f1
 def c05_held_out_gap(spark, sf_dir):
     s = table(spark, sf_dir, "scores")
     return rounded(A.held_out_gap(s, ["aoi", "season"]).select("folds", "fit_mean_f1", "loocv_mean_f1", "gap", "status"))
+
+
+@REG.add(
+    with_tables("grid")
+    + """, q as (select row, col, case when value > 0 then 10 * log10(value) end as x, case when value * 1.02 + 0.5 > 0 then 10 * log10(value * 1.02 + 0.5) end as y from grid),
+v as (select row, col, x is not null and y is not null as ok, x, y from q), p as (select row, col, case when ok then x else 0.0 end as x, case when ok then y else 0.0 end as y from v),
+rg as (select max(y) - min(y) as r, min(row) as r0, max(row) as r1, min(col) as c0, max(col) as c1 from v where ok),
+m as (select a.row, a.col, sum(b.x) / 49 as ux, sum(b.y) / 49 as uy, sum(b.x * b.x) / 49 as xx, sum(b.y * b.y) / 49 as yy, sum(b.x * b.y) / 49 as xy from p a, rg, p b where a.row between r0 + 3 and r1 - 3 and a.col between c0 + 3 and c1 - 3 and b.row between a.row - 3 and a.row + 3 and b.col between a.col - 3 and a.col + 3 group by 1, 2),
+s as (select avg(((2 * ux * uy + (0.01 * r) ^ 2) * (2 * 49.0 / 48 * (xy - ux * uy) + (0.03 * r) ^ 2)) / ((ux * ux + uy * uy + (0.01 * r) ^ 2) * (49.0 / 48 * (xx - ux * ux) + 49.0 / 48 * (yy - uy * uy) + (0.03 * r) ^ 2))) as ssim from m, rg),
+c as (select sqrt(avg((x - y) ^ 2)) as rmse, corr(x, y) as correlation, avg(x - y) as bias, count(*) as n from v where ok)
+select round(rmse, 6) as rmse, round(correlation, 6) as correlation, round(bias, 6) as bias, n, round(ssim, 6) as ssim from c, s"""
+)
+def m10_backscatter_whole(spark, sf_dir):
+    """Backscatter in decibels against its reference: the agreement, and the structural similarity as its quality."""
+    g = table(spark, sf_dir, "grid").select(F.lit(0).alias("scene_id"), "row", "col", "value")
+    return rounded(A.backscatter_agreement(g, g.withColumn("value", F.col("value") * 1.02 + 0.5)).drop("scene_id"))
