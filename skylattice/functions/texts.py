@@ -23,6 +23,6 @@ def significant(value: Column, digits: int = 4) -> Column:
         long = F.concat(bare(mantissa), F.lit("e"), F.when(power < 0, "-").otherwise("+"), F.lpad(F.abs(power).cast("string"), F.greatest(F.lit(2), F.length(F.abs(power).cast("string"))), F.lit("0")))
         shown = F.when((power < -4) | (power >= digits), long).when(power < 0, bare(small)).otherwise(bare(whole))
         infinite = F.abs(v) == float("inf")
-        return F.concat(F.when(v < 0, "-").otherwise(""), F.when(infinite, "inf").when(v == 0, "0").otherwise(shown))
+        return F.concat(F.when(v.cast("string").startswith("-"), "-").otherwise(""), F.when(infinite, "inf").when(v == 0, "0").otherwise(shown))
 
     return F.when(F.isnan(value), "nan").otherwise(bound(value, text))

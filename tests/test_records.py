@@ -64,7 +64,7 @@ def test_matrix(spark):
     assert got[99].pq == "RUN_FAILED (metrics.json invalid)" and len(got) == len(RECORDS) + 1
 
 
-@pytest.mark.parametrize("value", [0.0, 1.0, -2.5, 0.92, 12345.678, 9999.6, 99994.0, 0.0001234567, 0.00001234567, 1e-300, -1e20, 100.0, 1234.0, 3.0000001, float("inf"), float("nan")])
+@pytest.mark.parametrize("value", [0.0, -0.0, 1.0, -2.5, 0.92, 12345.678, 9999.6, 99994.0, 0.0001234567, 0.00001234567, 1e-300, -1e20, 100.0, 1234.0, 3.0000001, float("inf"), float("nan")])
 def test_significant_digits(spark, value):
     assert spark.range(1).select(significant(F.lit(value))).first()[0] == f"{value:.4g}"
 
