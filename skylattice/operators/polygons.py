@@ -5,8 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
-from .geometry import in_ring
+from . import rings
+from .geometry import met_in_cells
 
 #: No extent is so large: 2 ** MOST_LEVELS times the base.
 MOST_LEVELS = 60
@@ -25,31 +27,11 @@ def with_bounds(df: DataFrame, ring: str = "ring") -> DataFrame:
     return df.where(F.size(ring) > 0).withColumns(bounds)
 
 
-def _side(p: Column, q: Column, r: Column) -> Column:
-    """Which side of the line from p to q the point r lies on: above 0, below 0, or 0 on it."""
-    return (q.x - p.x) * (r.y - p.y) - (q.y - p.y) * (r.x - p.x)
+@F.arrow_udf(BooleanType())
+def _rings_meet(a, b):
+    import pyarrow as pa
 
-
-def segments_meet(s: Column, t: Column) -> Column:
-    """Whether two closed segments have a point in common."""
-    span = lambda axis: (F.greatest(s.a[axis], s.b[axis]) >= F.least(t.a[axis], t.b[axis])) & (F.greatest(t.a[axis], t.b[axis]) >= F.least(s.a[axis], s.b[axis]))
-    apart = lambda e, p, q: F.signum(_side(e.a, e.b, p)) * F.signum(_side(e.a, e.b, q)) > 0
-    return span("x") & span("y") & ~apart(s, t.a, t.b) & ~apart(t, s.a, s.b)
-
-
-def rings_meet(a: Column, b: Column) -> Column:
-    """Whether two structs (ring, xmin, ymin, xmax, ymax) have a point in common, touching counts: sides that meet, or a
-    corner of one inside the other. Only sides that reach the other's box are compared."""
-    def reaching(own: Column, other: Column) -> Column:
-        def reaches(e: Column) -> Column:
-            x = (F.greatest(e.a.x, e.b.x) >= other.xmin) & (F.least(e.a.x, e.b.x) <= other.xmax)
-            return x & (F.greatest(e.a.y, e.b.y) >= other.ymin) & (F.least(e.a.y, e.b.y) <= other.ymax)
-
-        return F.filter(edges(own.ring), reaches)
-
-    cross = F.exists(reaching(a, b), lambda s: F.exists(reaching(b, a), lambda t: segments_meet(s, t)))
-    first = lambda own, other: in_ring(F.get(own.ring, 0).x, F.get(own.ring, 0).y, other.ring)
-    return cross | first(a, b) | first(b, a)
+    return pa.array(rings.meet(rings.sides(a), rings.sides(b)))
 
 
 def _level(base: float) -> Column:
@@ -57,12 +39,17 @@ def _level(base: float) -> Column:
     return F.when(extent <= base, 0).otherwise(F.least(F.lit(MOST_LEVELS), F.ceil(F.log2(extent / base)))).cast("int")
 
 
-def _keyed(df: DataFrame, levels: list[int], base: float) -> DataFrame:
+def _keyed(df: DataFrame, levels: list[int], base: float, both: bool) -> DataFrame:
     """A row for each cell that a box meets, on its own level and all coarser ones that there are; a cell of a level is
-    as large as the boxes there, so these are four at most on each."""
+    as large as the boxes there, so these are four at most on each. In turn 0 of a level the left shapes of the level
+    meet the right ones that are no larger, in turn 1 smaller left shapes the right ones of the level: shapes of which
+    neither is of the level are not paired there. both: the right side, whose shapes of the level take both turns."""
     up = F.filter(F.array(*[F.lit(k) for k in levels]), lambda k: k >= F.col("own"))
     cell = lambda c: F.floor(F.col(c) / F.col("size")).cast("long")
     rows = df.withColumn("own", _level(base)).withColumn("level", F.explode(up)).withColumn("size", F.lit(float(base)) * F.pow(F.lit(2.0), F.col("level")))
+    level = F.col("own") == F.col("level")
+    turns = F.when(level, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))) if both else F.array(F.when(level, 0).otherwise(1))
+    rows = rows.withColumn("turn", F.explode(turns))
     return rows.withColumn("cx", F.explode(F.sequence(cell("xmin"), cell("xmax")))).withColumn("cy", F.explode(F.sequence(cell("ymin"), cell("ymax"))))
 
 
@@ -72,20 +59,19 @@ def polygons_meeting(a: DataFrame, b: DataFrame, base: float, exact: bool = True
     Shapes meet in the cells of the coarser one's level, so a large shape is a few rows and a small one no more than four
     a level that occurs; base is about the size of the smallest shapes. A pair is told in one cell only, the one that
     holds the lower left corner of what the boxes share, so nothing is made distinct. exact=False compares boxes alone."""
-    box = F.struct("ring", "xmin", "ymin", "xmax", "ymax")
     a, b = with_bounds(a.select("aid", "ring")), with_bounds(b.select("bid", "ring"))
     present = a.select(_level(base).alias("k")).unionByName(b.select(_level(base).alias("k"))).distinct().collect()  # MOST_LEVELS at most
     levels = sorted(r.k for r in present)
     if not levels:
         return a.select("aid").limit(0).crossJoin(b.select("bid").limit(0))
-    keys = ["level", "cx", "cy"]
-    left = _keyed(a, levels, base).select(*keys, "size", "aid", F.col("own").alias("a_own"), box.alias("a"))
-    right = _keyed(b, levels, base).select(*keys, "bid", F.col("own").alias("b_own"), box.alias("b"))
-    x, y = F.greatest("a.xmin", "b.xmin"), F.greatest("a.ymin", "b.ymin")
-    here = (F.floor(x / F.col("size")) == F.col("cx")) & (F.floor(y / F.col("size")) == F.col("cy")) & (F.greatest("a_own", "b_own") == F.col("level"))
-    boxes = (x <= F.least("a.xmax", "b.xmax")) & (y <= F.least("a.ymax", "b.ymax"))
-    pairs = left.join(right, keys).where(here & boxes)
-    return (pairs.where(rings_meet(F.col("a"), F.col("b"))) if exact else pairs).select("aid", "bid")
+    keys = ["level", "turn", "cx", "cy"]
+    named = lambda d, of: d.select(*keys, f"{of}id", *[F.col(c).alias(f"{of}_{c}") for c in ("xmin", "ymin", "xmax", "ymax", "ring")])
+    left, right = named(_keyed(a, levels, base, False), "a"), named(_keyed(b, levels, base, True), "b")
+    x, y, size = F.greatest("a_xmin", "b_xmin"), F.greatest("a_ymin", "b_ymin"), F.lit(float(base)) * F.pow(F.lit(2.0), F.col("level"))
+    here = (F.floor(x / size) == F.col("cx")) & (F.floor(y / size) == F.col("cy"))
+    boxes = (x <= F.least("a_xmax", "b_xmax")) & (y <= F.least("a_ymax", "b_ymax"))
+    pairs = met_in_cells(left, right, keys, boxes & here)
+    return (pairs.where(_rings_meet("a_ring", "b_ring")) if exact else pairs).select("aid", "bid")
 
 
 def touched_spans(polygons: DataFrame, size: float) -> DataFrame:
