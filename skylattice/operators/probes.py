@@ -54,11 +54,16 @@ def candidate_probe(areas: DataFrame, granules: DataFrame, listing: DataFrame, s
     granules of the time window meet it, the earliest one (then by name), and the first archive of its folder in the
     listing: zipped ones before unpacked ones. Areas without granules or archives stay, with 0 and nulls."""
     inside = granules.where(F.col("sensing").between(F.lit(start).cast("timestamp"), F.lit(stop).cast("timestamp")))
-    met = polygons_meeting(areas, inside, base).join(inside.select("bid", "sensing", "granule"), "bid")
-    found = met.groupBy("aid").agg(F.count("*").alias("granules"), F.min(F.struct("sensing", "granule")).alias("_e"))
+    # Granules of one ring are one, and so are equal areas, named by their least aid: what they tell is summed up before
+    # they meet. Rings are sorted by a hash first, which is cheaper to compare.
+    by_ring = lambda d: d.groupBy(F.xxhash64("ring").alias("_h"), "ring")
+    told = by_ring(inside).agg(F.struct(F.count("*").alias("n"), F.min(F.struct("sensing", "granule")).alias("e")).alias("bid"))
+    places = by_ring(areas).agg(F.min("aid").alias("aid"))
+    met = polygons_meeting(places, told, base)
+    found = met.groupBy("aid").agg(F.sum("bid.n").alias("granules"), F.min("bid.e").alias("_e")).join(places.select("aid", "ring"), "aid").drop("aid")
     archive = listing.where(F.col("file").rlike(r"^S1.*_SLC.*\.(zip|SAFE)$"))
     hits = archive.groupBy("folder").agg(F.min(F.struct((~F.col("file").endswith(".zip")).alias("unpacked"), "file"))["file"].alias("cached"))
-    out = areas.select("aid", "folder").join(found, "aid", "left").join(hits, "folder", "left")
+    out = areas.select("aid", "ring", "folder").join(found, "ring", "left").join(hits, "folder", "left")
     return out.select("aid", F.coalesce("granules", F.lit(0)).alias("granules"), F.col("_e.sensing").alias("earliest"), F.col("_e.granule").alias("granule"), "cached")
 
 

@@ -32,3 +32,15 @@ def test_long_rings_and_full_levels(spark, monkeypatch):
     frame = lambda rows, name: spark.createDataFrame(rows, f"{name} long, ring array<struct<x:double,y:double>>")
     got = Counter(map(tuple, P.polygons_meeting(frame(a, "aid"), frame(b, "bid"), 0.5).collect()))
     assert got == Counter((i, j) for i, p in a for j, q in b if meet_by_hand(p, q))
+
+
+def test_probe_of_repeated_rings(spark):
+    """100,000 granules of one ring over 400 equal areas: what they tell is summed up once, not pair by pair."""
+    box = lambda x: probes.box_ring(F.lit(x), F.lit(0.0), F.lit(x + 1), F.lit(1.0))
+    areas = spark.range(400).select(F.col("id").alias("aid"), box(0.0).alias("ring"), F.lit("f").alias("folder"))
+    areas = areas.unionByName(spark.range(400, 401).select(F.col("id").alias("aid"), box(9.0).alias("ring"), F.lit("f").alias("folder")))
+    stamp = F.to_timestamp(F.when(F.col("id") % 7 == 3, "2024-06-02").otherwise("2024-06-03"))
+    granules = spark.range(100_000).select(F.col("id").alias("bid"), box(0.5).alias("ring"), stamp.alias("sensing"), F.format_string("g%06d", "id").alias("granule"))
+    listing = spark.createDataFrame([("f", "S1A_SLC_1.zip")], "folder string, file string")
+    got = {r.aid: (r.granules, r.granule, r.cached) for r in probes.candidate_probe(areas, granules, listing, "2024-05-01", "2024-10-31", 1.0).collect()}
+    assert got == {k: (100_000, "g000003", "S1A_SLC_1.zip") for k in range(400)} | {400: (0, None, "S1A_SLC_1.zip")}
