@@ -17,9 +17,17 @@ from ..functions.texts import bound, significant
 from .verdicts import BINDS, measurement_key, passes
 
 DASH = "—"
+#: Up to a negative zero: what is neither a text nor a sign, whole texts, and signs of exponents and other numbers.
+_TO_NEGATIVE_ZERO = r'(?s)\G((?:[^"\-]++|"(?:[^"\\]++|\\.)*+"|(?<=[eE])-|-(?!0(?:\.0+)?(?![0-9.eE])))*+)-0(?:\.0+)?(?![0-9.eE])'
 WARNING = " ⚠"
 
 
+def parsed(text: Column) -> Column:
+    """JSON as VARIANT. A negative zero is written with an exponent first: without one it is read as a decimal or a whole
+    number, which have no such sign."""
+    return F.try_parse_json(F.when(text.contains("-0"), F.regexp_replace(text, _TO_NEGATIVE_ZERO, "$1-0e0")).otherwise(text))
+
+
 def fixed(value: Column, digits: int, sign: bool = False) -> Column:
     return F.when(value.isNull() | F.isnan(value), "nan").otherwise(F.format_string(f"%{'+' if sign else ''}.{digits}f", value))
 
@@ -169,7 +177,7 @@ def matrix(cells: DataFrame, files: DataFrame, criteria: list[tuple[str, float,
     """cells(product, region, path), files(path, content) -> each cell with shape, pq and ra, its two columns' texts, and
     line, its row of a Markdown table."""
     known = registry(criteria)
-    j = cells.join(files.select("path", "content"), "path", "left").withColumn("_v", F.try_parse_json("content"))
+    j = cells.join(files.select("path", "content"), "path", "left").withColumn("_v", parsed(F.col("content")))
     v = F.col("_v")
     has = lambda key: F.try_variant_get(v, f"$.{key}", "variant").isNotNull()
     every = shapes(v, F.col("region"), known)

@@ -122,3 +122,14 @@ def test_coherence_stats_either_way(spark):
     assert one.asDict() == pytest.approx(other.asDict()) and 0 < one.persistently_coherent_fraction < 1
     empty = stacks.coherence_stats(stack.limit(0)).first()
     assert set(empty.asDict().values()) == {0.0}
+
+
+def test_negative_zero_in_records(spark):
+    """A negative zero keeps its sign, a text that looks like one is left alone, and exponents too."""
+    known = [("a_max", 1.0, "<", "BINDING"), ("b_max", 1.0, "<", "BINDING"), ("c_max", 1.0, "<", "BINDING"), ("d_max", 1.0, "<", "BINDING")]
+    side = '{"measurements":{"a":-0.0,"b": -0 ,"c":1e-0,"d":-0.05},"criterion_ids":["a_max","b_max","c_max","d_max"]}'
+    files = [("p", f'{{"note":"x\\":-0.0,","product_quality":{side},"reference_agreement":{side}}}'), ("q", '{"unblock_condition":"at: -0.0, \\"-0\\" -0.0","n":-0.0}')]
+    cells = spark.createDataFrame([("rtc", "eu", "p"), ("rtc", "eu", "q")], "product string, region string, path string")
+    got = {r.path: (r.pq, r.ra) for r in matrix.matrix(cells, spark.createDataFrame(files, "path string, content string"), known).collect()}
+    text = "-0 (< 1 PASS) / -0 (< 1 PASS) / 1 (< 1 FAIL) / -0.05 (< 1 PASS)"
+    assert got == {"p": (text, text), "q": ("—", 'DEFERRED — at: -0.0, "-0" -0.0')}
