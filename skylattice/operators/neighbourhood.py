@@ -134,16 +134,17 @@ def sample_bilinear(src: DataFrame, points: DataFrame) -> DataFrame:
 
 
 def sample_block_mean(src: DataFrame, points: DataFrame, reach: int = 6) -> DataFrame:
-    """Mean within `reach` pixels of the pixel nearest to each point. Pixels are binned by the window's width, so a
-    point meets four bins by an equi-join."""
+    """Mean within `reach` pixels of the pixel nearest to each point. A window is worked out once, however many points
+    have it. Pixels are binned by its width, so a window meets four bins by an equi-join."""
     size = 2 * reach + 1
-    p = points.withColumn("_r", F.bround("y").cast("int")).withColumn("_c", F.bround("x").cast("int"))
+    near_to = points.select("pid", F.bround("y").cast("int").alias("_r"), F.bround("x").cast("int").alias("_c"))
+    p = near_to.select("_r", "_c").distinct()
     bins = lambda c: F.sequence(F.floor((F.col(c) - reach) / size), F.floor((F.col(c) + reach) / size))
     p = p.withColumn("_br", F.explode(bins("_r"))).withColumn("_bc", F.explode(bins("_c")))
     s = src.where("value is not null").select("row", "col", "value", F.floor(F.col("row") / size).alias("_br"), F.floor(F.col("col") / size).alias("_bc"))
     near = p.join(s, ["_br", "_bc"]).where((F.abs(F.col("row") - F.col("_r")) <= reach) & (F.abs(F.col("col") - F.col("_c")) <= reach))
-    means = near.groupBy("pid").agg(F.avg("value").alias("value"))
-    return points.select("pid").join(means, "pid", "left")
+    means = near.groupBy("_r", "_c").agg(F.avg("value").alias("value"))
+    return near_to.join(means, ["_r", "_c"], "left").select("pid", "value")
 
 
 def ssim(pairs: DataFrame, size: int = 7, k1: float = 0.01, k2: float = 0.03) -> DataFrame:

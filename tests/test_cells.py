@@ -6,6 +6,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from skylattice.operators import geometry as G
+from skylattice.operators import neighbourhood as N
 from skylattice.operators import polygons as P
 from skylattice.operators import probes
 
@@ -72,3 +73,12 @@ def test_distance_of_repeated_places(spark):
     pixels = spark.range(20_000).select(F.col("id").alias("pid"), F.when(F.col("id") % 4 == 0, 9.0).otherwise(0.5).alias("x"), F.lit(1.0).alias("y"))
     segments = spark.range(20_000).select(F.lit(0.0).alias("x0"), F.lit(0.0).alias("y0"), F.lit(2.0).alias("x1"), F.lit(0.0).alias("y1"))
     assert G.within_distance(pixels, segments, 1.0).count() == 15_000
+
+
+def test_block_mean_of_repeated_places(spark):
+    """A point of a place that many have, beside one that is null and one far off."""
+    grid = spark.range(400).select(F.lit(0).alias("scene_id"), (F.col("id") / 20).cast("int").alias("row"), (F.col("id") % 20).cast("int").alias("col"), F.when(F.col("id") % 7 > 0, F.col("id").cast("double")).alias("value"))
+    points = spark.range(1_000_000).select(F.col("id").alias("pid"), F.when(F.col("id") == 1, None).when(F.col("id") == 2, 90.0).otherwise(9.5).alias("x"), F.lit(10.5).alias("y"))
+    means = N.sample_block_mean(grid, points).groupBy("value").count().collect()
+    near = [v for v in range(400) if v % 7 and abs(v // 20 - 10) <= 6 and abs(v % 20 - 10) <= 6]
+    assert {(r.value and round(r.value, 9), r["count"]) for r in means} == {(None, 2), (round(sum(near) / len(near), 9), 999_998)}
