@@ -107,11 +107,21 @@ def filled_spans(polygons: DataFrame, size: float) -> DataFrame:
     return spans.where("first <= last")
 
 
+def covered(polygons: DataFrame, size: float) -> DataFrame:
+    """(id, row, col, centre) of the cells that a side passes through or whose centres lie inside; centre: whether it
+    does. Spans are brought together by row, and only then become cells: no cell is shuffled or kept to be told apart."""
+    of = lambda d, centre: d.select("id", "row", F.struct("first", "last", F.lit(centre).alias("centre")).alias("s"))
+    spans = of(filled_spans(polygons, size), True).unionByName(of(touched_spans(polygons, size), False))
+    rows = spans.groupBy("id", "row").agg(F.collect_set("s").alias("s"))
+    columns = lambda centre: F.array_distinct(F.flatten(F.transform(F.filter("s", lambda s: s.centre == centre), lambda s: F.sequence(s.first, s.last))))
+    rows = rows.select("id", "row", columns(True).alias("f"), columns(False).alias("t"))
+    cells = rows.select("id", "row", F.size("f").alias("n"), F.posexplode(F.concat("f", F.array_except("t", "f"))).alias("k", "col"))
+    return cells.select("id", "row", "col", (F.col("k") < F.col("n")).alias("centre"))
+
+
 def rasterised(polygons: DataFrame, size: float, all_touched: bool = False) -> DataFrame:
     """(id, row, col) of the cells of a grid of the given size that a polygon covers: those whose centres it holds, and
     with all_touched those too that a side passes through."""
-    spans = filled_spans(polygons, size)
     if all_touched:
-        spans = spans.unionByName(touched_spans(polygons, size))
-    cells = spans.select("id", "row", F.explode(F.sequence("first", "last")).alias("col"))
-    return cells.distinct() if all_touched else cells
+        return covered(polygons, size).drop("centre")
+    return filled_spans(polygons, size).select("id", "row", F.explode(F.sequence("first", "last")).alias("col"))

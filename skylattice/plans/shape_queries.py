@@ -72,9 +72,7 @@ select id, row, col, bool_or(centre) as centre from both_ group by 1, 2, 3"""
 )
 def g05_touched_polygons(spark, sf_dir):
     """The cells each shape touches, and whether it holds their centres too."""
-    shapes = _rings(spark, sf_dir, "corners")
-    centres = P.rasterised(shapes, 0.5).withColumn("centre", F.lit(True))
-    return P.rasterised(shapes, 0.5, all_touched=True).join(centres, ["id", "row", "col"], "left").withColumn("centre", F.coalesce("centre", F.lit(False)))
+    return P.covered(_rings(spark, sf_dir, "corners"), 0.5)
 
 
 @REG.add(with_tables("points") + "select pid, floor((lon + 180) / 6)::int + 1 as zone, round(lon, 6) as lon, round(case when pid % 2 = 0 then lat else -lat end, 6) as lat, true as agrees from points")

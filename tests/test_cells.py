@@ -82,3 +82,14 @@ def test_block_mean_of_repeated_places(spark):
     means = N.sample_block_mean(grid, points).groupBy("value").count().collect()
     near = [v for v in range(400) if v % 7 and abs(v // 20 - 10) <= 6 and abs(v % 20 - 10) <= 6]
     assert {(r.value and round(r.value, 9), r["count"]) for r in means} == {(None, 2), (round(sum(near) / len(near), 9), 999_998)}
+
+
+def test_covered_cells(spark):
+    """Each cell once with whether its centre is inside, a row of the grid being told by its spans."""
+    ring = [(0.0, 0.0), (6.0, 0.0), (6.0, 4.0), (3.0, 1.25), (0.0, 4.0)]
+    shapes = spark.createDataFrame([(1, ring), (2, [(0.1, 0.1), (6.3, 4.05), (6.3, 4.1)]), (3, [])], "id long, ring array<struct<x:double,y:double>>")
+    rows = P.covered(shapes, 1.0).collect()
+    assert len({(r.id, r.row, r.col) for r in rows}) == len(rows)
+    assert {(r.id, r.row, r.col) for r in rows if r.centre} == {tuple(r) for r in P.rasterised(shapes, 1.0).collect()}
+    spans = {(r.id, r.row, c) for r in P.touched_spans(shapes, 1.0).collect() for c in range(r.first, r.last + 1)}
+    assert {(r.id, r.row, r.col) for r in rows} == spans | {(r.id, r.row, r.col) for r in rows if r.centre} and not any(r.centre for r in rows if r.id == 2)
