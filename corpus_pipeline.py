@@ -44,9 +44,10 @@ def mixing(spark, docs, sf_dir):
 
 
 def packing(spark, docs, sf_dir):
-    """The mixed texts are packed into sequences of at most 2048 tokens."""
+    """The mixed texts are packed into sequences of at most 2048 tokens. Workers of all the stages before are still
+    there, so each keeps few words."""
     small_batches(spark)
-    return pack_documents(docs)
+    return pack_documents(docs, cache_words=16_000)
 
 
 STAGES = [

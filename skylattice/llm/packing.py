@@ -21,7 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .shared import by_batch, read_table, written
-from .tokenfiles import WordIds
+from .tokenfiles import CACHE_WORDS, WordIds
 
 CAPACITY = 2048
 END = 0
@@ -147,12 +147,12 @@ def pack(pieces: DataFrame, *, capacity: int = CAPACITY, nodes: int = 3000, buck
     return placed.select(*own, F.col("_at.sequence_id").alias("sequence_id"), F.col("_at.offset").alias("offset"))
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, cache_words: int = CACHE_WORDS) -> DataFrame:
     """docs(doc_id, text) -> (doc_id, piece, start, length, ids_crc32): each text's ids and a closing id 0, cut every
-    `capacity` ids. A null text is empty: its only id is 0."""
+    `capacity` ids. A null text is empty: its only id is 0. cache_words trades a worker's memory for time, never ids."""
 
     def start():
-        words = WordIds(tokenizer)
+        words = WordIds(tokenizer, cache_words)
         end, step = np.array([END], "<u4").tobytes(), 4 * capacity
 
         def work(doc_ids, texts):
@@ -169,13 +169,13 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> D
     return by_batch(docs, ["doc_id", "text"], "doc_id long, piece int, start long, length long, ids_crc32 long", start)
 
 
-def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, nodes: int = 3000) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, nodes: int = 3000, cache_words: int = CACHE_WORDS) -> DataFrame:
     """Tokenize, cut and pack all documents. Rows with one doc_id are documents of their own."""
     if tokenizer is None:
         import public_tokenizers
 
         tokenizer = public_tokenizers.path("word_bpe_49k.json")
-    pieces = written(token_pieces(docs, tokenizer, capacity))
+    pieces = written(token_pieces(docs, tokenizer, capacity, cache_words))
     keyed = pieces.withColumn("key", F.xxhash64("doc_id", "piece"))
     return pack(keyed, capacity=capacity, nodes=nodes).drop("key")
 
