@@ -12,10 +12,11 @@ import re
 import unicodedata
 from array import array
 
-#: Words a cache keeps before it starts anew: bounds a Python worker's memory.
+#: Words that each of a cache's two generations keeps: bounds a Python worker's memory.
 CACHE_WORDS = 100_000
-#: An ASCII or Latin-1 lower-case letter in UTF-8, stops and commas, then white space or the end.
-_STOPS = re.compile(rb"([a-z]|\xc3[\x9f-\xb6\xb8-\xbf])([,.]+)(?=[\x09-\x0d\x20]|$)")
+#: Stops and commas behind an ASCII or Latin-1 lower-case letter in UTF-8 and before white space or the end. The stop
+#: comes first, so that the search passes quickly over letters.
+_STOPS = re.compile(rb"[,.](?:(?<=[a-z].)|(?<=\xc3[\x9f-\xb6\xb8-\xbf].))[,.]*(?=[\x09-\x0d\x20]|$)")
 _MARKS = re.compile("[̀-ͯ҃-҉֑-ֽؐ-ٟۖ-ܑۭ-ँ़-्ั-๎᪰-᫿᷀-᷿⃐-⃿〪-゙〯-゚︠-︯]")
 
 
@@ -36,14 +37,22 @@ def may_compose(text: str) -> bool:
 
 
 class _Cache(dict):
+    """Words in use and those of the generation before: what is used again comes over, so that frequent words are
+    tokenized once, however many rare ones pass."""
+
     def __init__(self, encode):
         super().__init__()
-        self.encode = encode
+        self.encode, self.before = encode, {}
 
     def __missing__(self, word: bytes) -> bytes:
-        self[word] = ids = self.encode(word)
+        ids = self.before.get(word)
+        self[word] = ids = self.encode(word) if ids is None else ids
         return ids
 
+    def age(self) -> None:
+        self.before = dict(self)
+        self.clear()
+
 
 class WordIds:
     """ids_bytes(texts): each text's ids as little-endian unsigned 32-bit numbers."""
@@ -61,10 +70,12 @@ class WordIds:
         self.cache_words = cache_words
 
     def _encode(self, word: bytes) -> bytes:
+        if word.isalpha() and word.islower():  # bytes: ASCII only
+            return array("I", [t.id for t in self.model.tokenize(word.decode())]).tobytes()
         text = word.decode()
         # A word of lower-case composed letters is one run, to which normalizing does nothing.
-        if text.isalpha() and text == text.lower() and (text.isascii() or (unicodedata.is_normalized("NFC", text) and "ı" not in text and "ß" <= max(text) < "ƀ")):
-            text = text if text.isascii() else "".join([self.letters[b] for b in word])
+        if text.isalpha() and text == text.lower() and unicodedata.is_normalized("NFC", text) and "ı" not in text and "ß" <= max(text) < "ƀ":
+            text = "".join([self.letters[b] for b in word])
             return array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
@@ -74,7 +85,7 @@ class WordIds:
         data = text.encode("utf-8", "replace")
         if b"<|" in data or may_compose(text):
             return data.split()
-        return _STOPS.sub(rb"\1 \2", data.lower()).split()
+        return _STOPS.sub(rb" \g<0>", data.lower()).split()
 
     def ids_bytes(self, texts: list[str | None]) -> list[bytes]:
         """Null counts as empty."""
@@ -82,5 +93,5 @@ class WordIds:
         for text in texts:
             out.append(b"".join(map(cache.__getitem__, self._pieces(text))))
             if len(cache) > self.cache_words:
-                cache.clear()
+                cache.age()
         return out
