@@ -11,12 +11,13 @@ from skylattice.llm.ngram_join import one_of_each
 from skylattice.llm.packing import pack_documents
 from skylattice.llm.quality_rules import passing
 from skylattice.llm.repeats import PASSAGE, without_repeats
-from skylattice.llm.shared import read_table, written
+from skylattice.llm.shared import BATCHES, read_table, written
 
 
 def small_batches(spark):
     """The pipeline owns its session: rows hold whole texts, so few of them go to Python at a time."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    for name, value in BATCHES.items():
+        spark.conf.set(name, value)
 
 
 def quality(spark, docs, sf_dir):
@@ -45,9 +46,9 @@ def mixing(spark, docs, sf_dir):
 
 def packing(spark, docs, sf_dir):
     """The mixed texts are packed into sequences of at most 2048 tokens. Workers of all the stages before are still
-    there, so each keeps few words."""
+    there, so each keeps few words: twice 8,000."""
     small_batches(spark)
-    return pack_documents(docs, cache_words=16_000)
+    return pack_documents(docs, cache_words=8_000)
 
 
 STAGES = [

@@ -17,10 +17,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"\x20\x09-\x0D"
 
 
-#: Rows of an Arrow batch in what is written between jobs: texts are long, and small batches bound what a task holds
-#: outside the heap and in Python.
-BATCH_ROWS = 1000
-BATCHES = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: An Arrow batch in what is written between jobs takes so many rows and about so many bytes: that bounds what a task
+#: holds outside the heap and in Python, however long texts and sets are.
+BATCH_ROWS, BATCH_BYTES = 1000, 1 << 20
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS), "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES)}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,12 +45,14 @@ def written(df: DataFrame, by: str | None = None) -> DataFrame:
     whose values get folders of their own, so that a filter on it reads no more than it asks for."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
-    before = spark.conf.get(BATCHES)
-    spark.conf.set(BATCHES, str(BATCH_ROWS))
+    before = {name: spark.conf.get(name) for name in BATCHES}
     try:
+        for name, value in BATCHES.items():
+            spark.conf.set(name, value)
         df.write.parquet(path, partitionBy=by)
     finally:
-        spark.conf.set(BATCHES, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_at = path
     return out
