@@ -5,14 +5,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType
+from pyspark.sql.types import StructType
 
-from . import rings
-from .geometry import met_in_cells
+from . import ring_pairs
+from .geometry import dealt_in_lots
 
 #: No extent is so large: 2 ** MOST_LEVELS times the base.
 MOST_LEVELS = 60
 
+#: Rows of one side of a cell that meet as many of the other in one go.
+LOT = 4000
+
 
 def edges(ring: Column) -> Column:
     """array<struct<a, b>>: the ring's sides."""
@@ -27,13 +30,6 @@ def with_bounds(df: DataFrame, ring: str = "ring") -> DataFrame:
     return df.where(F.size(ring) > 0).withColumns(bounds)
 
 
-@F.arrow_udf(BooleanType())
-def _rings_meet(a, b):
-    import pyarrow as pa
-
-    return pa.array(rings.meet(rings.sides(a), rings.sides(b)))
-
-
 def _level(base: float) -> Column:
     extent = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"))
     return F.when(extent <= base, 0).otherwise(F.least(F.lit(MOST_LEVELS), F.ceil(F.log2(extent / base)))).cast("int")
@@ -65,13 +61,14 @@ def polygons_meeting(a: DataFrame, b: DataFrame, base: float, exact: bool = True
     if not levels:
         return a.select("aid").limit(0).crossJoin(b.select("bid").limit(0))
     keys = ["level", "turn", "cx", "cy"]
-    named = lambda d, of: d.select(*keys, f"{of}id", *[F.col(c).alias(f"{of}_{c}") for c in ("xmin", "ymin", "xmax", "ymax", "ring")])
-    left, right = named(_keyed(a, levels, base, False), "a"), named(_keyed(b, levels, base, True), "b")
-    x, y, size = F.greatest("a_xmin", "b_xmin"), F.greatest("a_ymin", "b_ymin"), F.lit(float(base)) * F.pow(F.lit(2.0), F.col("level"))
-    here = (F.floor(x / size) == F.col("cx")) & (F.floor(y / size) == F.col("cy"))
-    boxes = (x <= F.least("a_xmax", "b_xmax")) & (y <= F.least("a_ymax", "b_ymax"))
-    pairs = met_in_cells(left, right, keys, boxes & here)
-    return (pairs.where(_rings_meet("a_ring", "b_ring")) if exact else pairs).select("aid", "bid")
+    low = lambda c, axis: (F.floor(F.col(f"{axis}min") / F.col("size")) == F.col(c)).alias(f"low_{axis}")
+    named = lambda d, of: d.select(*keys, f"{of}id", low("cx", "x"), low("cy", "y"), "ring")
+    left, right, tasks = dealt_in_lots(named(_keyed(a, levels, base, False), "a"), named(_keyed(b, levels, base, True), "b"), keys, LOT)
+    keys = [*keys, "_pl", "_pr"]
+    rows = left.withColumn("right", F.lit(False)).unionByName(right.withColumn("right", F.lit(True)), allowMissingColumns=True)
+    rows = rows.repartition(tasks, *keys).sortWithinPartitions(*keys, "right")
+    schema = StructType([a.schema["aid"], b.schema["bid"]])
+    return rows.mapInArrow(lambda batches: ring_pairs.meeting(batches, keys, exact), schema)
 
 
 def touched_spans(polygons: DataFrame, size: float) -> DataFrame:

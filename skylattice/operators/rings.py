@@ -31,6 +31,14 @@ def sides(batch) -> Sides:
     return Sides(n, end - n, x, y, x[after], y[after])
 
 
+def taken(s: Sides, k: np.ndarray) -> Sides:
+    """The sides of rings k, in this order."""
+    n = s.n[k]
+    end = np.cumsum(n)
+    at = np.repeat(s.start[k] - (end - n), n) + np.arange(n.sum())
+    return Sides(n, end - n, s.ax[at], s.ay[at], s.bx[at], s.by[at])
+
+
 def hold(x: np.ndarray, y: np.ndarray, s: Sides) -> np.ndarray:
     """Whether each ring holds its point, by the even-odd rule."""
     if not len(x):
