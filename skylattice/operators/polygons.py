@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructField, StructType
 
 from . import ring_pairs
 from .geometry import dealt_in_lots
@@ -14,7 +14,10 @@ from .geometry import dealt_in_lots
 MOST_LEVELS = 60
 
 #: Rows of one side of a cell that meet as many of the other in one go.
-LOT = 4000
+LOT = 12_000
+
+#: Pairs of boxes that a task looks at.
+PAIRS = 1 << 24
 
 
 def edges(ring: Column) -> Column:
@@ -63,12 +66,13 @@ def polygons_meeting(a: DataFrame, b: DataFrame, base: float, exact: bool = True
     keys = ["level", "turn", "cx", "cy"]
     low = lambda c, axis: (F.floor(F.col(f"{axis}min") / F.col("size")) == F.col(c)).alias(f"low_{axis}")
     named = lambda d, of: d.select(*keys, f"{of}id", low("cx", "x"), low("cy", "y"), "ring")
-    left, right, tasks = dealt_in_lots(named(_keyed(a, levels, base, False), "a"), named(_keyed(b, levels, base, True), "b"), keys, LOT)
+    left, right, tasks = dealt_in_lots(named(_keyed(a, levels, base, False), "a"), named(_keyed(b, levels, base, True), "b"), keys, LOT, PAIRS)
     keys = [*keys, "_pl", "_pr"]
     rows = left.withColumn("right", F.lit(False)).unionByName(right.withColumn("right", F.lit(True)), allowMissingColumns=True)
     rows = rows.repartition(tasks, *keys).sortWithinPartitions(*keys, "right")
-    schema = StructType([a.schema["aid"], b.schema["bid"]])
-    return rows.mapInArrow(lambda batches: ring_pairs.meeting(batches, keys, exact), schema)
+    schema = StructType([a.schema["aid"], StructField("bids", ArrayType(b.schema["bid"].dataType, b.schema["bid"].nullable))])
+    met = rows.mapInArrow(lambda batches: ring_pairs.meeting(batches, keys, exact), schema)
+    return met.select("aid", F.explode("bids").alias("bid"))
 
 
 def touched_spans(polygons: DataFrame, size: float) -> DataFrame:
